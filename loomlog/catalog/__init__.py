@@ -1,6 +1,6 @@
 """Registered queries, by subject."""
 
-from loomlog.catalog import web  # noqa: F401
+from loomlog.catalog import lines, tags, web  # noqa: F401
 from loomlog.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -303,9 +303,12 @@ FAMILY_READERS = {
 }
 
 
-def structured_rows(df: DataFrame) -> DataFrame:
-    """The four-column log from any structured family; no rows for an unknown one."""
-    family = structured_family(df.columns)
+def structured_rows(df: DataFrame, family: str | None = None) -> DataFrame:
+    """The four-column log from any structured family; no rows for an unknown one.
+
+    An HDFS table that carries a Level column also satisfies the BGL set, which is tried first: name its family.
+    """
+    family = family or structured_family(df.columns)
     if family is None:
         return df.sparkSession.createDataFrame([], schema.APP_LOG)
     return FAMILY_READERS[family](df)
