@@ -167,7 +167,7 @@ def enrich(ip_counts: DataFrame, scores: DataFrame, ranges: DataFrame | None = N
         out = with_geo(out, ranges)
     risk = F.when(F.col("abuse_score").isNotNull(), (F.col("n") * F.col("abuse_score")).cast("long"))
     return (
-        out.withColumnRenamed("n", "events").withColumn("risk", risk)
+        out.withColumn("risk", risk).withColumnRenamed("n", "events")
         .orderBy(F.desc(F.coalesce(F.col("risk"), F.lit(0))), F.desc("events"), "ip")
     )
 

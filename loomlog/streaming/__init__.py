@@ -15,6 +15,11 @@ from loomlog.options import WebOptions
 from loomlog.rules import BASELINE_RULES, RuleSet
 
 
+def _timed(stream: DataFrame, ts: str, delay: str) -> DataFrame:
+    """Watermark on ``ts``; event time has to be a TIMESTAMP, so zone-less times are read on the session's clock."""
+    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+
+
 def parse_and_tag(lines: DataFrame, format_name: str, rules: RuleSet = BASELINE_RULES, opts: WebOptions = WebOptions()) -> DataFrame:
     """Parse a stream of lines and add its categories and, for access formats, its signals. Stateless."""
     parsed = parse_lines(lines, format_name)
@@ -26,7 +31,7 @@ def parse_and_tag(lines: DataFrame, format_name: str, rules: RuleSet = BASELINE_
 def ip_rate_offenders(stream: DataFrame, threshold: int, ts: str = "ts", delay: str = "2 minutes") -> DataFrame:
     """window_start, ip, n for addresses at or over the per-minute threshold, emitted once a minute is final."""
     return (
-        stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 minute").alias("w"), schema.text_or(stream, "ip").alias("ip"))
+        _timed(stream, ts, delay).groupBy(F.window(ts, "1 minute").alias("w"), schema.text_or(stream, "ip").alias("ip"))
         .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= threshold)
         .select(F.col("w.start").alias("window_start"), "ip", "n")
     )
@@ -38,7 +43,7 @@ def bruteforce_bursts(stream: DataFrame, opts: WebOptions = WebOptions(), ts: st
     stream = with_request_parts(stream)
     hits = stream.filter(signal_columns(stream, opts)["bruteforce_events"])
     return (
-        hits.withWatermark(ts, delay).groupBy(F.window(ts, window, slide).alias("w"), schema.text_or(stream, "ip").alias("ip"))
+        _timed(hits, ts, delay).groupBy(F.window(ts, window, slide).alias("w"), schema.text_or(stream, "ip").alias("ip"))
         .agg(F.count(F.lit(1)).alias("failures")).filter(F.col("failures") >= opts.bruteforce_threshold)
         .select(F.col("w.start").alias("window_start"), "ip", "failures")
     )
@@ -48,7 +53,7 @@ def template_counts(stream: DataFrame, templates: DataFrame, key: str, ts: str =
                     delay: str = "2 minutes") -> DataFrame:
     """window_start, template, n against a static template table joined on ``key``."""
     return (
-        stream.withWatermark(ts, delay).join(templates, key)
+        _timed(stream, ts, delay).join(templates, key)
         .groupBy(F.window(ts, width).alias("w"), "template").agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), "template", "n")
     )
