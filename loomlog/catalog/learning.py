@@ -164,14 +164,14 @@ def stream_ip_rate(spark, d):
 _HITS = f"(SELECT * FROM {ACCESS} WHERE {_signals()['bruteforce_events']})"
 
 
-@query("stream_bruteforce", f"SELECT {_W} AS window_start, ip, n AS failures FROM (SELECT date_trunc('minute', ts) - to_minutes(k) AS w, ip, count(*) AS n FROM {_HITS}, (SELECT unnest(range(0, 720)) AS k) GROUP BY 1, 2) WHERE n >= 2 AND w + INTERVAL 720 MINUTE <= {_FINAL.format(_HITS)}")
+@query("stream_bruteforce", f"SELECT {_W} AS window_start, ip, n AS failures FROM (SELECT date_trunc('hour', ts) - to_hours(k) AS w, ip, count(*) AS n FROM {_HITS}, (SELECT unnest(range(0, 12)) AS k) GROUP BY 1, 2) WHERE n >= 2 AND w + INTERVAL 12 HOUR <= {_FINAL.format(_HITS)}")
 def stream_bruteforce(spark, d):
-    """Failed logins per address in twelve-hour windows that slide by a minute, two or more."""
-    out = streaming.bruteforce_bursts(_stream_view(spark, d, "access_log"), OPTS.replace(bruteforce_threshold=2), window="720 minutes")
+    """Failed logins per address in twelve-hour windows that slide by the hour, two or more."""
+    out = streaming.bruteforce_bursts(_stream_view(spark, d, "access_log"), OPTS.replace(bruteforce_threshold=2), window="12 hours", slide="1 hour")
     return _text(streaming.run_available(out, "bruteforce"))
 
 
-@query("stream_template_counts", f"SELECT {_W} AS window_start, template, n FROM (SELECT date_trunc('minute', ts) AS w, 'event ' || event_type AS template, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1, 2) WHERE w + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 MINUTE FROM events)")
+@query("stream_template_counts", f"SELECT {_W} AS window_start, template, n FROM (SELECT date_trunc('minute', ts) AS w, 'event ' || event_type AS template, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1, 2) WHERE w + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 MINUTE FROM events WHERE event_type <> 'view')")
 def stream_template_counts(spark, d):
     kinds = table(spark, d, "events").select("event_type").distinct().filter("event_type <> 'view'")
     templates = kinds.select("event_type", F.concat(F.lit("event "), "event_type").alias("template"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import ipaddress
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,14 +47,29 @@ def ipv4_number(col: Column) -> Column:
     return F.when(is_valid_ipv4(col), value)
 
 
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+
+
+def _block_pattern(first: str, prefix: int) -> str:
+    """Regex of the addresses in one block, octet by octet."""
+    octets = []
+    for i, value in enumerate(int(p) for p in first.split(".")):
+        fixed = min(max(prefix - 8 * i, 0), 8)
+        if fixed == 0:
+            octets.append(_OCTET)
+        elif fixed == 8:
+            octets.append(str(value))
+        else:
+            octets.append("(?:" + "|".join(str(v) for v in range(value, value + 2 ** (8 - fixed))) + ")")
+    return r"\.".join(octets)
+
+
+PRIVATE_IPV4 = "^(?:" + "|".join(_block_pattern(*block) for block in fv.NON_GLOBAL_IPV4) + ")$"
+
+
 def is_private(col: Column) -> Column:
     """Not globally reachable. A malformed quad counts as not private."""
-    number = ipv4_number(col)
-    out = F.lit(False)
-    for first, prefix in fv.NON_GLOBAL_IPV4:
-        low = int(ipaddress.IPv4Address(first))
-        out = out | number.between(low, low + 2 ** (32 - prefix) - 1)
-    return F.coalesce(out, F.lit(False))
+    return F.coalesce(col.rlike(PRIVATE_IPV4), F.lit(False))
 
 
 def has_external_ip(text: Column) -> Column:

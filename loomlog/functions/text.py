@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +12,11 @@ from loomlog import fixed_values as fv
 _NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row however often ``body`` mentions it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def to_number(col: Column) -> Column:
     """Text to double; anything that is not a plain decimal number becomes null."""
     text = col.cast("string")

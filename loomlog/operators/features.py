@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomlog import fixed_values as fv
 from loomlog.functions.severity import any_healthcheck_usage, classify_entry
-from loomlog.functions.text import to_number
+from loomlog.functions.text import let
 
 WORDS = r"[\p{L}\p{N}_]{2,}"
 MAX_CATEGORIES = 100_000
@@ -30,9 +30,13 @@ def terms_of(text: Column, stop_words: list[str] | None = None, bigrams: bool =
         words = F.filter(words, lambda w: ~w.isin(*stop_words))
     if not bigrams:
         return words
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    whole = F.filter(pairs, lambda p: p.contains(" "))
-    return F.concat(words, whole)
+
+    def with_pairs(w: Column) -> Column:
+        after = F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0)))
+        before = F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
+        return F.concat(w, F.zip_with(before, after, lambda a, b: F.concat_ws(" ", a, b)))
+
+    return let(words, with_pairs)
 
 
 # ---------------------------------------------------------------- TF-IDF

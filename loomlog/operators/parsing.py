@@ -43,7 +43,8 @@ class LineFormat:
         rewrite = _MARK.join(f"${i + 1}" for i in range(n))
         one_pass = F.split(F.regexp_replace(value, anchored + r"[\s\S]*$", rewrite), _MARK, -1)
         # A line that itself holds the mark is read group by group.
-        by_group = F.array(*[F.regexp_extract(value, anchored, i + 1) for i in range(n)])
+        by_group = F.transform(
+            F.sequence(F.lit(1), F.lit(n)), lambda i: F.call_function("regexp_extract", value, F.lit(anchored), i))
         return F.when(value.rlike(anchored), F.when(value.contains(_MARK), by_group).otherwise(one_pass))
 
     def field(self, parts: Column, name: str) -> Column:

@@ -21,11 +21,11 @@ def file_quotas(counts: DataFrame, source: str, target: int) -> DataFrame:
     return off.select(source, (F.col("quota") + step).alias("quota"))
 
 
-def sample_by_quota(df: DataFrame, group: str, quotas: DataFrame, ids: list[str], seed: int = 42) -> DataFrame:
-    """Exactly ``quota`` rows of each group: those with the smallest seeded hash of ``ids``.
+def mark_by_quota(df: DataFrame, group: str, quotas: DataFrame, ids: list[str], seed: int = 42) -> DataFrame:
+    """All rows with ``_in`` true for exactly ``quota`` rows of each group: the smallest seeded hashes of ``ids``.
 
-    A histogram of hash prefixes finds the prefix at which a group's quota is reached. Rows below it are
-    taken by a filter; only rows with that very prefix (one in 65,536 of a group) are ranked.
+    A histogram of hash prefixes finds the prefix at which a group's quota is reached. Rows with another prefix
+    are decided by comparing it; only rows with that very prefix (one in 65,536 of a group) are ranked.
     """
     h = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))
     rows = df.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned("_h", 64 - _BITS).cast("int"))
@@ -39,11 +39,17 @@ def sample_by_quota(df: DataFrame, group: str, quotas: DataFrame, ids: list[str]
         .filter((F.col("_cum") >= F.col("_want")) & (F.col("_cum") - F.col("n") < F.col("_want")))
         .select(group, F.col("_b").alias("_edge"), (F.col("_want") - F.col("_cum") + F.col("n")).alias("_left"))
     )
-    cut = lookup(rows, edges, [group], "inner", spread=ids)
-    below = cut.filter(F.col("_b") < F.col("_edge"))
+    cut = lookup(rows, edges, [group], "left", spread=ids)
+    clear = cut.filter(F.col("_edge").isNull() | (F.col("_b") != F.col("_edge")))
     rank = Window.partitionBy(group).orderBy("_h", *ids)
-    at = cut.filter(F.col("_b") == F.col("_edge")).withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= F.col("_left")).drop("_r")
-    return below.unionByName(at).select(*df.columns)
+    tied = cut.filter(F.col("_b") == F.col("_edge")).withColumn("_r", F.row_number().over(rank))
+    decided = clear.select(*df.columns, F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)).alias("_in"))
+    return decided.unionByName(tied.select(*df.columns, (F.col("_r") <= F.col("_left")).alias("_in")))
+
+
+def sample_by_quota(df: DataFrame, group: str, quotas: DataFrame, ids: list[str], seed: int = 42) -> DataFrame:
+    """Exactly ``quota`` rows of each group (all of a smaller group)."""
+    return mark_by_quota(df, group, quotas, ids, seed).filter("_in").drop("_in")
 
 
 def proportional_sample(df: DataFrame, source: str, target: int, ids: list[str], seed: int = 42) -> DataFrame:
@@ -62,6 +68,5 @@ def sample_rows(df: DataFrame, n: int, ids: list[str], seed: int = 42) -> DataFr
 def stratified_split(df: DataFrame, stratum: str, ids: list[str], test_share: float = 0.25, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, test): exactly ``ceil(test_share * n)`` rows of every class go to the test side."""
     quotas = df.groupBy(stratum).agg(F.ceil(F.count(F.lit(1)) * F.lit(test_share)).cast("long").alias("quota"))
-    test = sample_by_quota(df, stratum, quotas, ids, seed)
-    train = df.join(test.select(*ids), ids, "left_anti")
-    return train, test
+    marked = mark_by_quota(df, stratum, quotas, ids, seed)
+    return marked.filter(~F.col("_in")).drop("_in"), marked.filter("_in").drop("_in")

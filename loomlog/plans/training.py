@@ -99,8 +99,10 @@ def train_log_model(logs: DataFrame, test: DataFrame | None = None, kind: str =
         train, held = stratified_split(labelled, "y", ids)
     else:
         train, held = labelled, with_label(test, test_levels)
+    # Fitting reads the training rows and then their vectors many times over.
+    train = train.select(*ids, "log_level", "module", "message", "y").persist()
     featurizer = fit_log_featurizer(train, **featurizer_options)
-    x_train = featurizer.transform(train).select(*ids, "y", "features")
+    x_train = featurizer.transform(train).select(*ids, "y", "features").persist()
     x_test = featurizer.transform(held).select(*ids, "y", "features")
     if kind == "supervised":
         logistic = fit_logistic(x_train)
@@ -112,6 +114,8 @@ def train_log_model(logs: DataFrame, test: DataFrame | None = None, kind: str =
     else:
         model = LogModel(featurizer, "forest", forest=fit_forest(x_train, ids, opts=forest))
         pred = model.forest.predict(x_test).withColumnRenamed("is_anomaly", "pred")
+    x_train.unpersist()
+    train.unpersist()
     return model, evaluation.classification_report(pred)
 
 
@@ -143,7 +147,7 @@ def leave_one_out(logs: DataFrame, source: str = "source_file", contaminations:
     The forest does not depend on the contamination, only its cut does: one fit and one scoring pass per source.
     """
     ids, cuts = ids or ["line_id"], contaminations or CONTAMINATIONS
-    labelled = with_label(logs)
+    labelled = with_label(logs).persist()
     sources = [r[0] for r in labelled.select(source).distinct().orderBy(source).collect()]
     results = None
     for held in sources:
@@ -152,9 +156,10 @@ def leave_one_out(logs: DataFrame, source: str = "source_file", contaminations:
         if train.isEmpty():
             continue
         featurizer = fit_log_featurizer(train, **featurizer_options)
-        x_train = featurizer.transform(train).select(*ids, "features")
+        x_train = featurizer.transform(train).select(*ids, "features").persist()
         model = fit_forest(x_train, ids, opts=ForestOptions(trees=trees), calibrate=False)
         offsets = offsets_for(model, x_train, cuts)
+        x_train.unpersist()
         scored = model.with_scores(featurizer.transform(test).select(*ids, "y", "features")).select("y", "iso_score")
         # Each row is counted once per contamination inside one aggregate, not copied per contamination.
         table = F.explode(F.array(*[
@@ -176,8 +181,9 @@ def train_all_and_save(spark: SparkSession, logs: DataFrame, path: str, contamin
     """Fit a forest on every row and save it with a manifest."""
     ids = ids or ["line_id"]
     featurizer = fit_log_featurizer(logs, **featurizer_options)
-    rows = featurizer.transform(logs).select(*ids, "features")
+    rows = featurizer.transform(logs).select(*ids, "features").persist()
     forest = fit_forest(rows, ids, opts=ForestOptions(trees=200, contamination=contamination))
+    rows.unpersist()
     model = LogModel(featurizer, "forest", forest=forest)
     model.save(spark, path)
     manifest = json.dumps({"contamination": contamination, "features": featurizer.size})

@@ -53,7 +53,7 @@ def template_counts(stream: DataFrame, templates: DataFrame, key: str, ts: str =
                     delay: str = "2 minutes") -> DataFrame:
     """window_start, template, n against a static template table joined on ``key``."""
     return (
-        _timed(stream, ts, delay).join(templates, key)
+        _timed(stream.join(templates, key), ts, delay)
         .groupBy(F.window(ts, width).alias("w"), "template").agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), "template", "n")
     )
