@@ -172,7 +172,8 @@ def time_range(df: DataFrame) -> DataFrame:
             add(F.when((number >= 1e9) & (number < 1e10), epoch_to_ntz(number.cast("long"))))
         else:
             add(F.when(col.rlike("^[0-9]{10}$"), epoch_to_ntz(number.cast("long"))))
-            add(F.when(~col.rlike(r"^[0-9.]+$"), F.try_to_timestamp(F.translate(col, ",", ".")).cast("timestamp_ntz")))
+            # A clock time alone names no day and is not usable.
+            add(F.when(col.rlike(r"[0-9]{4}[-/]"), F.try_to_timestamp(F.translate(col, ",/", ".-")).cast("timestamp_ntz")))
     for d in ("Date", "date"):
         for t in ("Time", "time"):
             if {d, t} <= set(df.columns):

@@ -161,16 +161,14 @@ def fit_minmax(df: DataFrame, columns: list[str]) -> MinMax:
 
 
 def fit_categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct values per column, refused past ``limit``: they become model state on the driver."""
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first() if columns else {}
-    over = [c for c in columns if sizes[c] > limit]
-    if over:
-        raise ValueError(f"columns with more than {limit} values cannot be one-hot encoded: {over}")
-    out: dict[str, list[str]] = {}
-    for c in columns:
-        values = df.select(F.col(c).cast("string").alias("v")).filter("v is not null").distinct().orderBy("v").collect()
-        out[c] = [r["v"] for r in values]
-    return out
+    """Sorted distinct values per column, refused past ``limit`` in all: they become model state on the driver."""
+    if not columns:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
+    rows = df.select(pairs.alias("p")).select("p.c", "p.v").filter("v is not null").distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} distinct values in {columns}: too many to one-hot encode")
+    return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in columns}
 
 
 def one_hot(df: DataFrame, categories: dict[str, list[str]], suffix: str = "_vec") -> DataFrame:

@@ -34,32 +34,36 @@ def masked(tokens: Column) -> Column:
     return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(_VALUE_TOKEN), WILD).otherwise(t)), " ")
 
 
+def _templates_of(texts: list[str], similarity: float) -> list[str]:
+    """Greedy merge of one group's distinct messages, in text order; the template of each input text."""
+    if len(texts) == 1:
+        return list(texts)
+    order = sorted(range(len(texts)), key=lambda i: texts[i])
+    ids: dict[str, int] = {WILD: 0}
+    rows = np.array([[ids.setdefault(t, len(ids)) for t in texts[i].split(" ")] for i in order], dtype=np.int64)
+    words = list(ids)
+    clusters, owner, used = np.empty_like(rows), [0] * len(texts), 0
+    for at, row in zip(order, rows):
+        best = -1
+        if used:
+            live = clusters[:used]
+            same = ((live == row) & (live != 0)).sum(axis=1) / rows.shape[1]
+            best = int(same.argmax())
+            if same[best] < similarity:
+                best = -1
+        if best < 0:
+            best, used = used, used + 1
+            clusters[best] = row
+        else:
+            clusters[best] = np.where(clusters[best] == row, row, 0)
+        owner[at] = best
+    names = [" ".join(words[w] for w in clusters[c]) for c in range(used)]
+    return [names[c] for c in owner]
+
+
 def _merge(similarity: float):
-    """Greedy merge of one group's distinct messages, in text order."""
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = sorted(pdf["current"])
-        token_rows = [t.split(" ") for t in texts]
-        ids: dict[str, int] = {WILD: 0}
-        rows = np.array([[ids.setdefault(t, len(ids)) for t in r] for r in token_rows], dtype=np.int64)
-        words = list(ids)
-        clusters = np.empty_like(rows)
-        used, owner = 0, np.empty(len(rows), dtype=np.int64)
-        for i, row in enumerate(rows):
-            best = -1
-            if used:
-                live = clusters[:used]
-                same = ((live == row) & (live != 0)).sum(axis=1) / rows.shape[1]
-                best = int(same.argmax())
-                if same[best] < similarity:
-                    best = -1
-            if best < 0:
-                clusters[used] = row
-                owner[i], used = used, used + 1
-            else:
-                clusters[best] = np.where(clusters[best] == row, row, 0)
-                owner[i] = best
-        names = [" ".join(words[w] for w in clusters[c]) for c in range(used)]
-        return pd.DataFrame({"current": texts, "template": [names[c] for c in owner]})
+    def merge(groups: pd.Series) -> pd.Series:
+        return pd.Series([_templates_of(list(texts), similarity) for texts in groups])
     return merge
 
 
@@ -103,11 +107,12 @@ def template_table(df: DataFrame, message: str, opts: TemplateOptions = Template
         F.concat_ws(" ", F.size(parts).cast("string"), F.get(parts, F.lit(0))).alias("key"),
     )
     work = _shrink_groups(work, opts)
-    merged = (
-        work.select("key", "current").distinct().groupBy("key")
-        .applyInPandas(_merge(opts.similarity), "current string, template string")
-    )
-    return lookup(work.select("masked", "current"), merged.distinct(), ["current"], "inner", spread=["masked"]).select(
+    merge = F.pandas_udf(_merge(opts.similarity), "array<string>")
+    # One row per group, at most group_limit messages each; Arrow carries many groups per batch.
+    groups = work.groupBy("key").agg(F.collect_set("current").alias("texts"))
+    pairs = groups.select(F.explode(F.arrays_zip("texts", merge("texts").alias("made"))).alias("p"))
+    merged = pairs.select(F.col("p.texts").alias("current"), F.col("p.made").alias("template"))
+    return lookup(work.select("masked", "current"), merged, ["current"], "inner", spread=["masked"]).select(
         "masked", F.xxhash64("template").alias("template_id"), "template")
 
 
