@@ -17,7 +17,7 @@ from loomlog.operators.forest import fit_forest
 from loomlog.options import COMPACT_TEMPLATES, ForestOptions, ReportOptions
 from loomlog.plans import reports, training, unsupervised
 from loomlog.sources import readers, sinks
-from loomlog.sources.views import VIEWS, geo_ranges, render, reputation, table, view
+from loomlog.sources.views import VIEWS, geo_ranges, render, reputation, spread, table, view
 
 APP = frm("app_log")
 STOP = ["the", "for", "by", "from", "on", "at"]
@@ -44,11 +44,11 @@ def template_params(spark, d):
 @query("document_line_templates", "SELECT count(*) AS lines, count(*) AS fitting FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE len(list_filter(regexp_split_to_array(line, '[ \\t\\n\\v\\f\\r]+'), lambda t: t <> '')) > 0")
 def document_line_templates(spark, d):
     """Whole document texts as lines: every non-blank line gets a template it fits."""
-    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = spread(table(spark, d, "documents"), "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.filter(F.size(tpl.tokens_of(F.col("line"))) > 0)
     mined = tpl.mine_templates(lines, "line", ["doc_id", "pos"], COMPACT_TEMPLATES)
-    fits = tpl.fits(tpl.tokens_of(F.col("line"), COMPACT_TEMPLATES), F.col("template"))
-    blank = F.size(tpl.tokens_of(F.col("line"), COMPACT_TEMPLATES)) == 0
+    tokens = tpl.tokens_of(F.col("line"), COMPACT_TEMPLATES)
+    fits, blank = tpl.fits(tokens, F.col("template")), tpl.clean_text(F.col("line"), COMPACT_TEMPLATES) == ""
     return mined.agg(F.count(F.lit(1)).alias("lines"), F.count_if(blank | fits).alias("fitting"))
 
 
@@ -78,7 +78,7 @@ def window_anomalies(spark, d):
 
 
 def _flows(spark, d):
-    return table(spark, d, "lineitem").select(
+    return spread(table(spark, d, "lineitem"), "l_orderkey").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"), "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_linestatus", F.when(F.col("l_returnflag") == "N", "benign").otherwise("attack").alias("label"))
 

@@ -13,7 +13,7 @@ from loomlog.operators import evaluation as ev
 from loomlog.operators import features as feat
 from loomlog.operators import sampling, windows
 from loomlog.operators.quantiles import exact_quantiles
-from loomlog.sources.views import table, view
+from loomlog.sources.views import spread, table, view
 
 APP = frm("app_log")
 FLAG = f"({has('text', fv.BASE64_LIKE)} OR {has('text', 'http')} OR n_chars > 3000)"
@@ -229,7 +229,7 @@ def _tfidf_sql(source: str, doc: str, text: str, terms: int, min_docs: int = 1)
 
 @query("tfidf_terms", _tfidf_sql("documents", "doc_id", "text", 200))
 def tfidf_terms(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     out = feat.fit_tfidf(docs, "doc_id", "text", 200).weights(docs, "doc_id", "text")
     return out.select(F.col("doc_id").alias("doc"), "term", F.round("weight", 6).alias("weight"))
 

@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomlog.functions.text import let
 from loomlog.operators.quantiles import exact_quantiles
 from loomlog.operators.sampling import sample_rows
 from loomlog.options import ForestOptions
@@ -110,15 +111,16 @@ class ForestModel:
         index = {f: i for i, f in enumerate(self.used)}
         local["feature"] = [index.get(f, -1) for f in local["feature"]]
         walk = F.pandas_udf(_walker(local, self.trees, self.psi), "double")
-        full = features_array(df, features)
-        narrow = F.array(*[F.get(full, F.lit(i)) for i in self.used]) if self.used else F.array(F.lit(0.0))
+        # Only the features some node tests travel to Python; the vector is unpacked once per row.
+        narrow = F.array(F.lit(0.0))
+        if self.used:
+            narrow = let(features_array(df, features), lambda a: F.array(*[F.get(a, F.lit(i)) for i in self.used]))
         return df.withColumn(name, walk(narrow))
 
     def calibrated(self, train: DataFrame, features: str = "features", contamination: float | None = None) -> "ForestModel":
         """Place the cut so that the given share of the training rows falls below it."""
         share = self.contamination if contamination is None else contamination
-        scored = self.with_scores(train, features).select((-F.col("iso_score")).alias("s"))
-        return self.with_offset(exact_quantiles(scored, "s", [share])[0], share)
+        return self.with_offset(offsets_for(self, train, [share], features)[share], share)
 
     def with_offset(self, offset: float, contamination: float) -> "ForestModel":
         return ForestModel(self.nodes, self.trees, self.psi, self.used, contamination, offset)

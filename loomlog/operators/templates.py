@@ -19,19 +19,27 @@ from loomlog.options import TemplateOptions
 
 WILD = "<*>"
 # A token of digits and punctuation only, or a long hex number.
-_VALUE_TOKEN = r"^(?:[^A-Za-z]*[0-9][^A-Za-z]*|(?:0[xX])?[0-9a-fA-F]*[0-9][0-9a-fA-F]{5,}|(?:0[xX])[0-9a-fA-F]+)$"
+_VALUE_TOKEN = (
+    r"(?<!\S)(?:[^A-Za-z0-9\s]*[0-9][^A-Za-z\s]*|0[xX][0-9a-fA-F]+"
+    r"|(?=[0-9a-fA-F]*[0-9])[0-9a-fA-F]{6,})(?!\S)"
+)
 
 
-def tokens_of(message: Column, opts: TemplateOptions = TemplateOptions()) -> Column:
-    """Tokens of a message; extra delimiters count as blanks."""
+def clean_text(message: Column, opts: TemplateOptions = TemplateOptions()) -> Column:
+    """Single blanks between tokens; extra delimiters count as blanks."""
     if opts.extra_delimiters:
         message = F.translate(message, "".join(opts.extra_delimiters), " " * len(opts.extra_delimiters))
-    return F.filter(F.split(message, r"\s+"), lambda t: t != "")
+    return F.trim(F.regexp_replace(message, r"\s+", " "))
+
+
+def tokens_of(message: Column, opts: TemplateOptions = TemplateOptions()) -> Column:
+    """Tokens of a message; none for a blank one."""
+    return F.array_remove(F.split(clean_text(message, opts), " "), "")
 
 
-def masked(tokens: Column) -> Column:
-    """Message with plain values (numbers, addresses, hex) replaced by the wildcard."""
-    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(_VALUE_TOKEN), WILD).otherwise(t)), " ")
+def masked(message: Column, opts: TemplateOptions = TemplateOptions()) -> Column:
+    """Message with plain values (numbers, addresses, hex) replaced by the wildcard, in two regex passes."""
+    return F.regexp_replace(clean_text(message, opts), _VALUE_TOKEN, WILD)
 
 
 def _templates_of(texts: list[str], similarity: float) -> list[str]:
@@ -99,8 +107,8 @@ def _shrink_groups(work: DataFrame, opts: TemplateOptions) -> DataFrame:
 
 def template_table(df: DataFrame, message: str, opts: TemplateOptions = TemplateOptions()) -> DataFrame:
     """masked, template_id, template for every distinct masked message."""
-    toks = tokens_of(F.col(message), opts)
-    distinct = df.select(masked(toks).alias("masked")).filter(F.length("masked") > 0).distinct()
+    # The distinct messages are the small side of everything below: written once, read several times.
+    distinct = cut_lineage(df.select(masked(F.col(message), opts).alias("masked")).filter(F.length("masked") > 0).distinct())
     parts = F.split("masked", " ")
     work = distinct.select(
         "masked", F.col("masked").alias("current"),
@@ -121,7 +129,7 @@ def mine_templates(df: DataFrame, message: str, spread: list[str], opts: Templat
 
     ``spread`` identifies a row; it salts the join back, since one message may make up much of the data.
     """
-    rows = df.withColumn("masked", masked(tokens_of(F.col(message), opts)))
+    rows = df.withColumn("masked", masked(F.col(message), opts))
     table = template_table(df, message, opts)
     joined = lookup(rows, table, ["masked"], "left", spread=spread)
     return joined.withColumn("params", params_of(tokens_of(F.col(message), opts), F.col("template"))).drop("masked")

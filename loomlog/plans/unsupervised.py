@@ -13,7 +13,8 @@ from loomlog.functions import severity as sev
 from loomlog.functions.text import extract_or_null, parse_time
 from loomlog.operators import evaluation
 from loomlog.operators.features import fit_categories, fit_minmax, fit_tfidf, one_hot
-from loomlog.operators.forest import ForestModel, fit_forest, offsets_for
+from loomlog.operators.forest import ForestModel, fit_forest
+from loomlog.operators.quantiles import exact_quantiles
 from loomlog.operators.templates import mine_templates
 from loomlog.operators.windows import top_templates, with_event_frequency
 from loomlog.options import ForestOptions, TemplateOptions
@@ -96,10 +97,10 @@ def detect_line_anomalies(lines: DataFrame, line: str = "line", ids: list[str] |
     A forest with a fixed seed is the same for every contamination, so it is grown and scored once.
     """
     ids, cuts_wanted = ids or ["line_id"], contaminations or CONTAMINATIONS
-    feats = line_features(lines, line, ids, **feature_options)
+    feats = line_features(lines, line, ids, **feature_options).persist()
     model = fit_forest(feats, ids, opts=forest, calibrate=False)
-    cuts = offsets_for(model, feats, cuts_wanted)
-    scored = model.with_scores(feats).withColumn("decision", -F.col("iso_score")).drop("features")
+    scored = model.with_scores(feats).withColumn("decision", -F.col("iso_score")).drop("features").persist()
+    cuts = dict(zip(cuts_wanted, exact_quantiles(scored, "decision", cuts_wanted)))
     sweep = contamination_sweep(scored, cuts, line)
     position = {c: i for i, c in enumerate(cuts_wanted)}
     rows = sweep.collect()   # one row per contamination

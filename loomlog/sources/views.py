@@ -169,9 +169,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when the scan yields fewer partitions than there are cores; otherwise untouched.
+
+    Regex work on a small file would run in one task. A large table has enough partitions and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the derived log tables as a DataFrame; unused columns are pruned down to the scan."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"), "event_id")
     return events.select(*[F.expr(render(e, True)).alias(c) for c, e in VIEWS[name].items()])
 
 
