@@ -53,3 +53,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; fingerprints link at two or fewer differing bits."""
     from loomlog.llm.simhash import simhash_groups
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+#: Verdict, host and path of the written URL rules.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, fitting rule and verdict of every page."""
+    from loomlog.llm.urls import judged_urls
+    return judged_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    from loomlog.llm.minhash import edit_likeness
+    return edit_likeness(table(spark, sf_dir, "documents"))
