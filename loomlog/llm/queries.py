@@ -74,3 +74,17 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likeness."""
     from loomlog.llm.minhash import edit_likeness
     return edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data found in every document."""
+    from loomlog.llm.pii import personal_data
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests read back from every formatted conversation."""
+    from loomlog.llm.chat import formatted, linear_tree, read_back, with_probe
+    return read_back(formatted(linear_tree(with_probe(table(spark, sf_dir, "conversations")))))
