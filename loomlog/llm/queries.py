@@ -88,3 +88,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digests read back from every formatted conversation."""
     from loomlog.llm.chat import formatted, linear_tree, read_back, with_probe
     return read_back(formatted(linear_tree(with_probe(table(spark, sf_dir, "conversations")))))
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and prediction of every document."""
+    from loomlog.llm.classifier import scored
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
