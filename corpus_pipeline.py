@@ -25,8 +25,8 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest doc_id."""
-    return simhash.first_of_each(docs)
+    """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest doc_id."""
+    return simhash.first_of_each(docs, simhash.near_components(docs))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

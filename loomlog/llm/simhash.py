@@ -9,6 +9,10 @@ more than ``shard_limit`` fingerprints is split in turn: among its members the o
 they fall into shards by blocks of those bits, and so on. Each tree yields a spanning forest of its links, never all pairs,
 and the forests are merged by label propagation with pointer jumping over links between distinct fingerprints only.
 
+:func:`near_components` finds near copies by a similarity of five-word shingles instead. That takes more differing bits than
+blocks can bridge, so it uses wider fingerprints and shards keyed by random bits, several tables of them; each shard is
+again searched as a BK-tree.
+
 Nulls: a null text is empty and gets the fingerprint zero, which links like any other; a null doc_id takes part, but
 is never a group's smallest id while there is another. Repeated rows stay apart and share a component. Extra columns are
 ignored by :func:`components` and carried along by :func:`first_of_each`. Empty table: no rows.
@@ -16,6 +20,7 @@ ignored by :func:`components` and carried along by :func:`first_of_each`. Empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm.common import saved, texts_of
+from loomlog.llm.minhash import shingle_hashes
 
 BITS = 64
 #: A shard with more fingerprints is split by further blocks.
@@ -192,6 +198,11 @@ def components(docs: DataFrame, shingle: int = 3, radius: int = 2, shard_limit:
     marked = saved(fingerprints(docs, shingle), "fingerprints")
     distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     labels = labels_of(links(distinct.select("fp"), radius, shard_limit))
+    return _with_smallest(marked, distinct, labels)
+
+
+def _with_smallest(marked: DataFrame, distinct: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, fp and component_id of ``marked``; fingerprints without a label are components of their own."""
     grouped = distinct.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     smallest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
     of_fp = grouped.join(smallest, "label").select("fp", "component_id")
@@ -204,12 +215,144 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def first_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` with one document of each group: the one with the smallest doc_id.
+# Wide fingerprints: groups by similarity of five-word shingles.
+
+#: 64-bit words of a wide fingerprint; with WIDE bits the share of differing bits has a standard deviation near 2 %.
+WORDS = 4
+WIDE = 64 * WORDS
+#: Share of pairs right at the similarity that a search should find.
+RECALL = 0.97
+#: Members of a shard searched at once, and those of each component found before that the next ones still meet.
+CHUNK, CARRIED = 1_000, 32
+
+_COLUMNS = [f"w{k}" for k in range(WORDS)]
+
+
+def wide_fingerprint(text: str) -> np.ndarray:
+    """WORDS longs: the SimHash of the five-word shingles' hashes, mixed anew for each word; 0 without words."""
+    hashes = np.unique(shingle_hashes(text))  # a set: a repeated shingle must not outweigh the others
+    if not len(hashes):
+        return np.zeros(WORDS, dtype=np.int64)
+    out = []
+    for k in range(WORDS):
+        mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        total = np.zeros(64, dtype=np.int64)
+        for at in range(0, len(mixed), 4096):
+            bits = np.unpackbits(mixed[at:at + 4096].view(np.uint8).reshape(-1, 8), axis=1)
+            total += bits.sum(axis=0, dtype=np.uint16 if len(bits) < 65536 else np.int64)
+        out.append(np.packbits(2 * total > len(mixed)).view(np.int64)[0])
+    return np.array(out, dtype=np.int64)
+
+
+def wide_radius(similarity: float) -> int:
+    """Differing bits of texts with this Jaccard similarity, and one and a half standard deviations more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(WIDE * share + 1.5 * math.sqrt(WIDE * share * (1 - share)))
+
+
+def sampled_bits(count: int, similarity: float) -> np.ndarray:
+    """The bits each shard table is keyed by: as many bits as give ``count`` texts keys of their own, in as many tables as
+    make texts of this similarity meet in one of them with chance RECALL."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    width = max(12, math.ceil(math.log2(max(2, count))))
+    tables = math.ceil(-math.log(1 - RECALL) / (1 - share) ** width)
+    return np.stack([np.random.default_rng(t).permutation(WIDE)[:width] for t in range(tables)])
+
+
+def chunked_forest(members: list[int], radius: int) -> list[tuple[int, int]]:
+    """As :func:`forest`, in pieces of CHUNK: a later piece meets up to CARRIED members of each component before."""
+    found: list[tuple[int, int]] = []
+    carried: list[int] = []
+    for at in range(0, len(members), CHUNK):
+        piece = carried + members[at:at + CHUNK]
+        links_here = forest(piece, radius)
+        found += links_here
+        if at + CHUNK < len(members):
+            parent = {m: m for m in piece}
+            for a, b in links_here:
+                ra, rb = _root(parent, a), _root(parent, b)
+                parent[rb] = ra
+            groups: dict[int, list[int]] = {}
+            for m in piece:
+                groups.setdefault(_root(parent, m), []).append(m)
+            carried = [m for g in groups.values() if len(g) > 1 for m in g[:CARRIED]]
+    return found
+
+
+def _root(parent: dict[int, int], a: int) -> int:
+    while parent[a] != a:
+        parent[a] = parent[parent[a]]
+        a = parent[a]
+    return a
+
+
+def near_links(distinct: DataFrame, count: int, similarity: float) -> DataFrame:
+    """a, b: linked wide fingerprints (hex); ``distinct`` has ``count`` of them as ``fp``."""
+    tables, radius = sampled_bits(count, similarity), wide_radius(similarity)
+    powers = 1 << np.arange(tables.shape[1], dtype=np.int64)
+
+    def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 1_000):
+                fps = b.fp[at:at + 1_000].tolist()
+                raw = np.frombuffer(bytes.fromhex("".join(fps)), dtype=np.uint8).reshape(-1, WIDE // 8)
+                bits, words = np.unpackbits(raw, axis=1), np.ascontiguousarray(raw).view(np.int64)
+                keys = np.stack([bits[:, t].astype(np.int64) @ powers for t in tables])
+                yield pd.DataFrame({
+                    "shard": np.repeat(np.arange(len(tables), dtype=np.int32), len(fps)), "key": keys.ravel(),
+                    **{c: np.tile(words[:, k], len(tables)) for k, c in enumerate(_COLUMNS)}})
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = None  # the last shard of the batch before, which may go on
+        for b in batches:
+            b = b if left is None else pd.concat([left, b])
+            marks = (b["shard"].to_numpy() * np.int64(1 << 40)) + b["key"].to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(b) else np.array([], dtype=int)
+            if not len(starts):
+                continue
+            left = b.iloc[starts[-1]:]
+            yield _wide_pairs(b, starts, radius)
+        if left is not None:
+            yield _wide_pairs(left, np.array([0, len(left)]), radius)
+
+    columns = ", ".join(f"{c} long" for c in _COLUMNS)
+    rows = distinct.select("fp").mapInPandas(shard, f"shard int, key long, {columns}")
+    return rows.repartition("shard", "key").sortWithinPartitions("shard", "key", *_COLUMNS).mapInPandas(search, "a string, b string")
+
+
+def _wide_pairs(rows: pd.DataFrame, starts: np.ndarray, radius: int) -> pd.DataFrame:
+    """The links inside the shards that begin at ``starts``; the last entry is where they end."""
+    words, found = rows[_COLUMNS].to_numpy(), []
+    for a, b in zip(starts[:-1], starts[1:]):
+        if b - a > 1:
+            found += chunked_forest([int.from_bytes(w.tobytes(), "big") for w in words[a:b]], radius)
+    size = WIDE // 4
+    return pd.DataFrame([(f"{x:0{size}x}", f"{y:0{size}x}") for x, y in found], columns=["a", "b"], dtype="str")
+
+
+def near_components(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """doc_id and component_id of every row: texts whose wide fingerprints speak for this Jaccard similarity are linked.
+
+    Equal fingerprints always link. Others are searched in the shards of several tables, each keyed by some of the bits;
+    more texts take more bits and tables, so that a shard stays small and the chance to find a pair stays the same.
+    """
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "fp": [wide_fingerprint(t).tobytes().hex() for t in b.text]})
+
+    marked = saved(texts_of(docs).mapInPandas(compute, "doc_id long, fp string"), "fingerprints")
+    distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    labels = labels_of(near_links(distinct, distinct.count(), similarity))
+    return _with_smallest(marked, distinct, labels).select("doc_id", "component_id")
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one document of each component in ``found``: the one with the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays; documents without a doc_id stay only where a group has no other.
+    Of repeated rows with that doc_id one stays; documents without a doc_id stay only where a component has no other.
     """
-    found = components(docs, shingle, radius)
     chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     rows = docs.select(F.col("doc_id").alias("id"), F.struct("*").alias("row")).join(
         chosen, F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
