@@ -72,7 +72,7 @@ def linear_tree(conversations: DataFrame) -> DataFrame:
         "tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def branches(messages: DataFrame, best: int | None = None, max_joins: int = 40) -> DataFrame:
+def branches(messages: DataFrame, best: int | None = None) -> DataFrame:
     """tree, branch (its rank), depth and node of the messages on each chosen branch.
 
     ``messages`` has tree, node, parent and score. A branch's score is the sum over its messages; ties go to the smaller
@@ -84,13 +84,14 @@ def branches(messages: DataFrame, best: int | None = None, max_joins: int = 40)
     linked = known.join(parents, known.tree.eqNullSafe(F.col("t")) & (known.parent == F.col("p")), "left").select(
         "tree", "node", F.col("p").alias("parent"), "score")
     # reach: each message with all ancestors found so far; up: its farthest ancestor's parent, if any
-    step = saved(linked.select("tree", "node", F.col("parent").alias("up"), F.lit(1).alias("depth"), F.col("score").alias("total")), "chat-up")
+    step = saved(linked.select("tree", "node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "chat-up")
     links = saved(linked.select("tree", "node", "parent"), "chat-links")
-    for _ in range(max_joins):
+    # a chain has at most as many messages as there are; what is still open after the last join leads into a cycle
+    for _ in range(links.count().bit_length()):
         above = step.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
         step = saved(
             step.join(above, step.tree.eqNullSafe(F.col("t")) & (step.up == F.col("n")), "left").select(
-                "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
+                "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0).cast("long"))).alias("depth"),
                 (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total")), "chat-up")
         if not step.filter("up is not null").limit(1).count():
             break
@@ -104,7 +105,7 @@ def branches(messages: DataFrame, best: int | None = None, max_joins: int = 40)
     return _on_paths(chosen, rooted, links)
 
 
-def _on_paths(chosen: DataFrame, rooted: DataFrame, links: DataFrame, max_joins: int = 40) -> DataFrame:
+def _on_paths(chosen: DataFrame, rooted: DataFrame, links: DataFrame) -> DataFrame:
     """The messages of each chosen leaf's path. Paths without a fork are taken from depths alone, others walked by doubling."""
     forks = links.groupBy("tree", "parent").count().filter("parent is not null and count > 1").select(F.col("tree").alias("t")).distinct()
     roots = links.filter("parent is null").groupBy("tree").count().filter("count > 1").select(F.col("tree").alias("t"))
@@ -116,7 +117,7 @@ def _on_paths(chosen: DataFrame, rooted: DataFrame, links: DataFrame, max_joins:
     jump = links.join(forked, on_forked, "left_semi").select("tree", "node", "parent")
     jump = saved(jump, "chat-jump")
     path = chosen.join(forked, on_forked, "left_semi").select("tree", "branch", "node")
-    for _ in range(max_joins):
+    for _ in range(links.count().bit_length()):
         up = jump.filter("parent is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("parent").alias("up"))
         if not up.limit(1).count():
             break

@@ -6,8 +6,7 @@ stands for: look-alike letters, digits and signs; spelled digits that stand in a
 words between parts of an address. Identifiers found in the rewritten text are mapped back to the source characters. A
 mapped span counts only where it changed something and overlaps no base span, so base spans stay as they are.
 
-Only stretches around a sign of disguise are rewritten: a word of blanks-free text is looked at if it holds a look-alike,
-a bracketed sign or a spelled digit.
+Only texts with a sign of disguise are rewritten: a look-alike, a bracketed or worded sign, or a row with spelled digits.
 
 Nulls: a null text is empty and holds nothing; a null doc_id is kept. Repeated rows are searched each. Extra columns are
 ignored by :func:`personal_data` and carried along by :func:`masked`. Empty table: no rows. Work on a text grows with its
@@ -63,9 +62,9 @@ _ONE_DIGIT = re.compile(rf"{_DIGIT_WORD}|[0-9]", re.I)
 _ANY_SPELLED = re.compile(rf"\b{_DIGIT_WORD}\b", re.I)
 _BRACKETED = re.compile(r" ?[\[({<] ?(at|dot|@|\.) ?[\])}>] ?", re.I)
 #: "name at host dot org": the words only count together, the dot word right after one label.
-_WORDED = re.compile(r"(?<=[A-Za-z0-9._%+-])( at )(?=[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+)", re.I)
+_WORDED = re.compile(r"(?<=[A-Za-z0-9._%+-])( at )(?=[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+)", re.I)
 _DOT_WORD = re.compile(r"(?: dot (?=[A-Za-z0-9-]))", re.I)
-_DOT_CHAIN = re.compile(r"[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+", re.I)
+_DOT_CHAIN = re.compile(r"(?<=@)[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+", re.I)
 
 
 def emails(text: str) -> list[Span]:
@@ -85,7 +84,7 @@ def emails(text: str) -> list[Span]:
 
 
 def ips(text: str) -> list[Span]:
-    return [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    return [m.span() for m in _IP.finditer(text) if all(len(n := p.lstrip("0")) <= 3 and int(n or 0) <= 255 for p in m[0].split("."))]
 
 
 def luhn(digits: str) -> bool:
@@ -153,8 +152,7 @@ def plain_signs(t: Traced) -> Traced:
     t = t.replaced([(m.start(), m.end(), "@") for m in _WORDED.finditer(t.text)])
     edits = []
     for m in _DOT_CHAIN.finditer(t.text):
-        if m.start() and t.text[m.start() - 1] == "@":
-            edits += [(d.start(), d.end(), ".") for d in _DOT_WORD.finditer(t.text, m.start(), m.end())]
+        edits += [(d.start(), d.end(), ".") for d in _DOT_WORD.finditer(t.text, m.start(), m.end())]
     return t.replaced(edits)
 
 
@@ -163,7 +161,7 @@ def disguised(text: str) -> bool:
     return bool(
         (not text.isascii() and _ALIKE.search(text))
         or (any(s in low for s in ("at)", "at]", "at}", "at>", "at ", "@ ")) and (" dot " in low or _BRACKETED.search(text)))
-        or _SPELLED_RUN.search(text))
+        or (_ANY_SPELLED.search(text) and any(_ANY_SPELLED.search(m[0]) for m in _SPELLED_RUN.finditer(text))))
 
 
 def uncovered_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]:
