@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +31,11 @@ AGREE = 4
 FIRST_WINDOW = 32
 #: Words whose ids a worker keeps (about 250 bytes each); words beyond are encoded when met.
 KEPT_WORDS = 400_000
+#: Documents of a batch whose words are held at once.
+SLICE = 200
 
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-PART = "doc_id long, text_key string, part int, parts int, text string"
-ENCODED = PART + ", start long, ids binary, starts binary, ends binary"
+PART = "doc_id long, text_key string, part int, text string"
 
 
 def load(path: str):
@@ -186,26 +188,35 @@ def digest_short(path: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.Data
         return
     codes = kept_in_worker(f"words:{path}", lambda: WordCodes(tokenizer))
     for b in batches:
-        split = [codes.words(t) for t in b.text]
-        known = codes.learn(split)
-        out = []
-        for doc_id, words in zip(b.doc_id, split):
-            got = [c for c in (known[w] for w in words if w) if c[0]]
-            out.append((doc_id, sum(c[0] for c in got), _sha(" ".join([c[1] for c in got])), _sha(" ".join([c[2] for c in got]))))
-        yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+        for k in range(0, len(b), SLICE):
+            out = []
+            split = [codes.words(t) for t in b.text[k:k + SLICE]]
+            known = codes.learn(split)
+            for doc_id, words in zip(b.doc_id[k:k + SLICE], split):
+                got = [c for c in (known[w] for w in words if w) if c[0]]
+                out.append((doc_id, sum(c[0] for c in got), _sha(" ".join([c[1] for c in got])), _sha(" ".join([c[2] for c in got]))))
+            yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
 
 def _digest(tokenizer, ids: list[int]) -> tuple[int, str, str]:
     return len(ids), _sha(" ".join(map(str, ids))), _sha(tokenizer.decode(ids, skip_special_tokens=False))
 
 
-def encode_parts(path: str, batches: Iterator[pd.DataFrame], part_chars: int) -> Iterator[pd.DataFrame]:
+def packed_numbers(x: np.ndarray) -> bytes:
+    return zlib.compress(x.astype("<u4").tobytes(), 1)
+
+
+def unpacked_numbers(x: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(x), dtype="<u4")
+
+
+def encode_parts(path: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     tokenizer = load(path)
     for b in batches:
         rows = []
         for r in b.itertuples(index=False):
             ids, starts, ends = encode_tokens(tokenizer, r.text)
-            rows.append((*[x.astype("<u4").tobytes() for x in (ids, starts, ends - starts)],))
+            rows.append((packed_numbers(ids), packed_numbers(np.diff(starts, prepend=0)), packed_numbers(ends - starts)))
         yield b.assign(**{c: [x[k] for x in rows] for k, c in enumerate(("ids", "starts", "ends"))})
 
 
@@ -215,8 +226,8 @@ def join_parts(path: str, group: pd.DataFrame) -> Node:
     group = group.sort_values("part").drop_duplicates("part")
     nodes, at, pieces = [], 0, group.text.tolist()
     for text, i, s, n in zip(pieces, group.ids, group.starts, group.ends):
-        ids, starts, sizes = (np.frombuffer(x, dtype="<u4") for x in (i, s, n))
-        starts = starts.astype(np.int64) + at
+        ids, steps, sizes = (unpacked_numbers(x) for x in (i, s, n))
+        starts = steps.astype(np.int32).cumsum(dtype=np.int64) + at
         nodes.append(Node(at, at + len(text), ids, starts, starts + sizes))
         at += len(text)
     return concat_tree(nodes, "".join(pieces), tokenizer)
@@ -230,8 +241,8 @@ def parts_of(docs: DataFrame, part_chars: int) -> DataFrame:
             for r in b.itertuples(index=False):
                 borders = cuts(len(r.text), part_chars)
                 key = hashlib.md5(r.text.encode()).hexdigest()
-                out += [(r.doc_id, key, k, len(borders) - 1, r.text[x:y]) for k, (x, y) in enumerate(zip(borders, borders[1:]))]
-            yield pd.DataFrame(out, columns=["doc_id", "text_key", "part", "parts", "text"]).astype({"doc_id": "Int64"})
+                out += [(r.doc_id, key, k, r.text[x:y]) for k, (x, y) in enumerate(zip(borders, borders[1:]))]
+            yield pd.DataFrame(out, columns=["doc_id", "text_key", "part", "text"]).astype({"doc_id": "Int64"})
     return docs.mapInPandas(cut, PART)
 
 
@@ -249,7 +260,6 @@ def encoded_digests(docs: DataFrame, path: str, part_chars: int = 32_768) -> Dat
     tokens = "doc_id long, text_key string, part int, text string, ids binary, starts binary, ends binary"
     encoded = (
         parts_of(texts.filter(long), part_chars).repartition("doc_id", "text_key", "part")
-        .select("doc_id", "text_key", "part", "text")
-        .mapInPandas(lambda batches: encode_parts(path, batches, part_chars), tokens)
+        .mapInPandas(lambda batches: encode_parts(path, batches), tokens)
     )
     return short.unionByName(encoded.groupBy("doc_id", "text_key").applyInPandas(finish, DIGEST))
