@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from loomlog.llm.checks import CHAT, QUALITY
 from loomlog.llm.common import table
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT}
 
 
 def query(fn):
