@@ -36,7 +36,7 @@ def bruteforce_buckets(spark, d):
 def offender_rows(spark, d):
     rows = view(spark, d, "auth_log").select("line_id", "ip", "Content")
     found = threats.bruteforce_buckets(rows, DOMAIN_RULES.matches("brute_force", F.col("Content")), T)
-    return threats.rows_of(rows, found.filter("bucket = 'high'"), spread=["line_id"]).select("line_id", "ip")
+    return threats.rows_of(rows, found.filter("bucket = 'high'")).select("line_id", "ip")
 
 
 def _label_rows() -> str:

@@ -28,14 +28,14 @@ STOP = ["the", "for", "by", "from", "on", "at"]
 @query("mine_templates")
 def mine_templates(spark, d):
     """Templates of the application log with their row counts."""
-    mined = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message", ["line_id"])
+    mined = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message")
     return mined.groupBy("template_id", "template").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("template_params", f"SELECT line_id, true AS fits, true AS params_match FROM {APP}")
 def template_params(spark, d):
     """Every message fits its template, and the template filled with its params is the message."""
-    mined = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message", ["line_id"])
+    mined = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message")
     tokens, parts = tpl.tokens_of(F.col("message")), F.split("template", " ")
     stars = F.size(F.filter(parts, lambda p: p == tpl.WILD))
     return mined.select("line_id", tpl.fits(tokens, F.col("template")).alias("fits"), (F.size("params") == stars).alias("params_match"))
@@ -46,7 +46,7 @@ def document_line_templates(spark, d):
     """Whole document texts as lines: every non-blank line gets a template it fits."""
     lines = spread(table(spark, d, "documents"), "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.filter(F.size(tpl.tokens_of(F.col("line"))) > 0)
-    mined = tpl.mine_templates(lines, "line", ["doc_id", "pos"], COMPACT_TEMPLATES)
+    mined = tpl.mine_templates(lines, "line", COMPACT_TEMPLATES)
     tokens = tpl.tokens_of(F.col("line"), COMPACT_TEMPLATES)
     fits, blank = tpl.fits(tokens, F.col("template")), tpl.clean_text(F.col("line"), COMPACT_TEMPLATES) == ""
     return mined.agg(F.count(F.lit(1)).alias("lines"), F.count_if(blank | fits).alias("fitting"))
@@ -245,7 +245,7 @@ def text_files_parsed(spark, d):
     """Raw lines written as one text folder per source, read back, numbered, and parsed by detected format."""
     path = fresh_path(spark, "raw")
     lines = view(spark, d, "raw_lines")
-    lines.repartitionByRange(8, "source_file", "line_id").sortWithinPartitions("source_file", "line_id").select("source_file", "value").write.partitionBy("source_file").text(path)
+    lines.repartitionByRange("source_file", "line_id").sortWithinPartitions("source_file", "line_id").select("source_file", "value").write.partitionBy("source_file").text(path)
     read = readers.read_text_lines(spark, path, recursive=True, glob="*.txt")
     parsed = readers.parse_by_source(read, "source_file", "line_num")
     name = F.regexp_extract("source_file", r"source_file=([^/]+)/", 1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomlog import fixed_values as fv
 from loomlog.catalog.registry import query
 from loomlog.catalog.sql import contains_any, frm, group, has, lit, union
-from loomlog.functions.text import extract_level, extract_timestamp
+from loomlog.functions.text import extract_level, extract_timestamp, parse_month_day
 from loomlog.operators import parsing
 from loomlog.sources.views import view
 
@@ -159,6 +159,13 @@ def structured_hdfs(spark, d):
 _SYS = _matches("syslog")
 
 
+@query("parse_month_day_times", f"SELECT line_id, CASE WHEN {_SYS} THEN strftime(strptime('2024 ' || {_field('timestamp', 'syslog', 1)}, '%Y %b %d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') END AS at FROM {RAW}")
+def parse_month_day_times(spark, d):
+    """Syslog times, which name no year, in the year 2024."""
+    parsed = parsing.parse_lines(view(spark, d, "raw_lines").select("line_id", "value"), "syslog")
+    return parsed.select("line_id", F.date_format(parse_month_day(F.col("timestamp"), 2024), "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
 @query("standard_log_json", f"SELECT CASE WHEN {_SYS} THEN {_field('message', 'syslog', 5)} ELSE '' END AS message, CAST(line_id AS varchar) AS log_id, {_SYS} AS parsed, CASE WHEN {_SYS} THEN {_field('timestamp', 'syslog', 1)} END AS timestamp, CASE WHEN {_SYS} THEN {_field('host', 'syslog', 2)} END AS host, 'seen' AS tag FROM {RAW}")
 def standard_log_json(spark, d):
     parsed = parsing.parse_lines(view(spark, d, "raw_lines").select("line_id", "value"), "syslog")

@@ -158,7 +158,7 @@ def entity_template_long(spark, d):
 
 @query("event_frequency", "SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type) AS event_freq FROM events")
 def event_frequency(spark, d):
-    return windows.with_event_frequency(table(spark, d, "events").select("event_id", "event_type"), "event_type", ["event_id"])
+    return windows.with_event_frequency(table(spark, d, "events").select("event_id", "event_type"), "event_type")
 
 
 # ---------------------------------------------------------------- samples

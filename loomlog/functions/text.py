@@ -54,6 +54,12 @@ def parse_time(col: Column, *formats: str) -> Column:
     return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
+def parse_month_day(col: Column, year: int) -> Column:
+    """``MMM d HH:mm:ss`` in ``year``, days of one or two digits; null when it does not parse."""
+    text = F.trim(F.regexp_replace(col, r"\s+", " "))
+    return parse_time(F.concat(F.lit(f"{year} "), text), "yyyy MMM d HH:mm:ss")
+
+
 def percent(part: Column, whole: Column, digits: int | None = None) -> Column:
     """``part / whole * 100``, 0 for an empty whole."""
     value = F.coalesce(F.try_divide(part * F.lit(100.0), whole), F.lit(0.0))

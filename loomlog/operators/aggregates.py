@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomlog import fixed_values as fv
 from loomlog import schema
 from loomlog.functions.ip import extract_ip_loose
-from loomlog.functions.text import percent
+from loomlog.functions.text import let, percent, to_number
 from loomlog.operators.parsing import epoch_to_ntz
 from loomlog.operators.quantiles import exact_quantiles
 from loomlog.operators.websignals import number_column
@@ -20,7 +20,8 @@ def count_rows() -> Column:
 
 def status_distribution(df: DataFrame) -> DataFrame:
     """status, n, pct of all rows; rows without a numeric status count only in the total."""
-    code = F.col("status") if dict(df.dtypes)["status"] != "string" else F.col("status").try_cast("int")
+    kind = dict(df.dtypes)["status"]
+    code = to_number(F.col("status")) if kind == "string" else F.col("status")
     groups = df.groupBy(code.cast("int").alias("status")).agg(count_rows().alias("n"))
     total = F.sum("n").over(Window.partitionBy())  # over the grouped rows: one per status code
     return (
@@ -65,7 +66,7 @@ def top_attackers(df: DataFrame, flagged: Column, top: int = 10, message: str |
         msg = message or schema.message_column(df)
         other = "Content" if msg != "Content" else "message"
         names = ([other] if other in df.columns else []) + [msg]
-        ip = extract_ip_loose(F.concat_ws(" ", *[F.col(n).cast("string") for n in names]))
+        ip = let(F.concat_ws(" ", *[F.col(n).cast("string") for n in names]), extract_ip_loose)
     return value_counts(df.filter(flagged).select(ip.alias("ip")), "ip", top)
 
 

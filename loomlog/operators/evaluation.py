@@ -15,14 +15,19 @@ def f1_of(precision: Column, recall: Column) -> Column:
 
 
 def truth_table(truth: DataFrame, key: str = "LineId", order: str | None = None) -> DataFrame:
-    """key, y: positives from ``is_error``, else a true-like ``label``, else presence. The last duplicate wins."""
+    """key, y: positives from ``is_error``, else a true-like ``label``, else presence. The last duplicate in ``order`` wins.
+
+    Without ``order`` duplicates must agree, as they have no last one: contradicting ones raise when they are read.
+    """
     if "is_error" in truth.columns:
         y = F.col("is_error").cast("int")
     elif "label" in truth.columns:
         y = F.lower(F.col("label").cast("string")).isin("1", "true", "error").cast("int")
     else:
         y = F.lit(1)
-    last = F.max_by("y", "_o") if order else F.max("y")
+    agreed = F.when(F.min("y") == F.max("y"), F.max("y")).when(F.count("y") == 0, None).otherwise(
+        F.raise_error(F.lit("the truth table contradicts itself: name its row order")).cast("int"))
+    last = F.max_by("y", "_o") if order else agreed
     rows = truth.select(F.col(key), y.alias("y"), *([F.col(order).alias("_o")] if order else []))
     return rows.groupBy(key).agg(last.alias("y"))
 

@@ -1,34 +1,33 @@
 """Joins of rows to one-row-per-key tables.
 
-No join here forces a broadcast: the tables come from data, so their size is the
-planner's call (static size limit, or AQE on the measured size). Row-level joins
-on keys that may be hot are salted, so that one key's rows spread over tasks
-even when the table is too large to broadcast.
+The tables come from data, so their size is measured: a table of at most
+``BROADCAST_BYTES`` is sent to all tasks and the rows stay where they are.
+A larger one is joined by shuffle, where adaptive execution splits the partitions
+of hot keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomlog.checkpoints import written
 from loomlog.functions.ip import ipv4_number
 
-SALTS = 16
+#: Size of a lookup table that may be sent to every task: its texts, and 16 bytes for every value.
+BROADCAST_BYTES = 16 << 20
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left",
-           spread: list[str] | None = None, salts: int = SALTS) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``rows`` to ``table`` (unique on ``keys``); ``how`` is left, inner, left_semi or left_anti.
 
-    ``spread`` names columns that identify a row; their hash picks one of ``salts`` copies of the table,
-    so each row still meets exactly one copy. The hash is a function of the row, so a recomputed
-    task sends every row where the lost one did.
+    The table is written first, so that measuring it does not compute it twice.
     """
-    if not spread:
-        return rows.join(table, keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    table = written(table, "lookup")
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in table.dtypes if kind == "string"]
+    each = sum(texts, F.lit(16 * len(table.columns)).cast("long"))
+    small = (table.agg(F.sum(each)).first()[0] or 0) <= BROADCAST_BYTES
+    return rows.join(F.broadcast(table) if small else table, keys, how)
 
 
 def with_reputation(ips: DataFrame, scores: DataFrame) -> DataFrame:
@@ -42,13 +41,20 @@ def with_reputation(ips: DataFrame, scores: DataFrame) -> DataFrame:
 def with_geo(ips: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
     """Attach country and city by address range (``start``..``end`` inclusive).
 
-    Ranges are cut at /16 borders and joined on the /16 block, then filtered, so the join is an equi-join.
-    Call it on one row per address: a block then holds at most 65,536 rows.
+    Ranges do not overlap. They are cut at /16 borders; within a /16 block addresses and range starts are put in
+    order, and an address takes the last start at or before it, if that range reaches so far. No pairs are formed.
+    Call it on one row per address: a block then holds at most 65,536 of each. Null places are kept apart by a hash.
     """
-    cut = ranges.select(
-        F.col("start").alias("_start"), F.col("end").alias("_end"), "country", "city",
+    place = F.struct(F.col("end").alias("_end"), "country", "city")
+    starts = ranges.select(
+        F.col("start").alias("_num"), place.alias("_place"),
         F.explode(F.sequence(F.shiftright("start", 16), F.shiftright("end", 16))).alias("_block"),
-    )
-    left = ips.withColumn("_num", ipv4_number(F.col(ip))).withColumn("_block", F.shiftright("_num", 16))
-    on = [left["_block"] == cut["_block"], left["_num"] >= cut["_start"], left["_num"] <= cut["_end"]]
-    return left.join(cut, on, "left").select(*[left[c] for c in ips.columns], "country", "city")
+    ).select("_block", F.greatest("_num", F.shiftleft("_block", 16)).alias("_num"), F.lit(None).alias("_row"), "_place")
+    number = ipv4_number(F.col(ip))
+    rows = ips.select(
+        F.coalesce(F.shiftright(number, 16), -1 - F.abs(F.xxhash64(F.col(ip)) % 65_536)).alias("_block"), number.alias("_num"),
+        F.struct("*").alias("_row"), F.lit(None).alias("_place"))
+    before = Window.partitionBy("_block").orderBy("_num", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = starts.unionByName(rows).withColumn("_last", F.last("_place", ignorenulls=True).over(before)).filter(F.col("_row").isNotNull())
+    inside = F.col("_last._end") >= F.col("_num")
+    return found.select("_row.*", *[F.when(inside, F.col(f"_last.{c}")).alias(c) for c in ("country", "city")])

@@ -83,8 +83,12 @@ def event_time(fields: dict[str, Column]) -> Column | None:
 
 def clean_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Trim, then drop blank lines. Number lines before this step."""
-    text = F.regexp_replace(F.col(value), r"^\s+|\s+$", "")
-    return lines.withColumn(value, text).filter(F.length(value) > 0)
+    return lines.withColumn(value, stripped(value)).filter(F.length(value) > 0)
+
+
+def stripped(value: str) -> Column:
+    """Text without white space at its ends."""
+    return F.regexp_replace(F.col(value), r"^\s+|\s+$", "")
 
 
 def parse_lines(lines: DataFrame, format_name: str, value: str = "value") -> DataFrame:
@@ -111,7 +115,7 @@ def detect_formats(lines: DataFrame, source: str, order: str, value: str = "valu
     head = (
         lines.select(source, order, value)
         .withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= sample)
-        .withColumn("_t", F.trim(value))
+        .withColumn("_t", stripped(value))
     )
     real = F.length("_t") > 0
     hits = head.groupBy(source).agg(
@@ -136,7 +140,7 @@ def parse_by_source(lines: DataFrame, source: str, order: str, value: str = "val
     Sources with no known format are dropped, as a directory run skips files it cannot parse.
     """
     chosen = detect_formats(lines, source, order, value).filter(F.col("format") != "unknown").drop("match_ratio")
-    tagged = lookup(clean_lines(lines, value), chosen, [source], how="inner", spread=[order])
+    tagged = lookup(clean_lines(lines, value), chosen, [source], how="inner")
     parts = F.lit(None).cast("array<string>")
     for name, fmt in FORMATS.items():
         parts = F.when(F.col("format") == name, fmt.parts(F.col(value))).otherwise(parts)
@@ -251,21 +255,21 @@ def epoch_to_ntz(seconds: Column) -> Column:
 
 
 def apache_rows(df: DataFrame) -> DataFrame:
-    """``EEE MMM dd HH:mm:ss yyyy``; NOTICE becomes INFO; rows whose time does not parse are dropped."""
-    weekday_off = F.regexp_extract(F.trim(F.col("Time")), r"^[A-Za-z]{3} (.*)$", 1)
+    """``EEE MMM d HH:mm:ss yyyy``, days of one or two digits; NOTICE becomes INFO; rows whose time does not parse are dropped."""
+    single = F.trim(F.regexp_replace("Time", r"\s+", " "))
+    weekday_off = F.regexp_extract(single, r"^[A-Za-z]{3} (.*)$", 1)
     level = F.upper(_clean(df, "Level", "INFO"))
     out = _app_rows(
-        df, parse_time(weekday_off, "MMM dd HH:mm:ss yyyy"),
+        df, parse_time(weekday_off, "MMM d HH:mm:ss yyyy"),
         F.when(level == "NOTICE", "INFO").otherwise(level), F.lit("apache"), _clean(df, "Content", ""),
     )
     return out.filter(F.col("timestamp").isNotNull())
 
 
 def hdfs_rows(df: DataFrame, date_order: str = "MMddyy") -> DataFrame:
-    """Six-digit date and time, zero-padded. Real HDFS dates are year first: pass ``yyMMdd`` for those."""
+    """Six-digit date and time, zero-padded, also where a reader made them fractional (``81109.0``). Real HDFS dates are year first: pass ``yyMMdd`` for those."""
     stamp = F.concat(
-        F.lpad(F.col("Date").try_cast("long").cast("string"), 6, "0"),
-        F.lpad(F.col("Time").try_cast("long").cast("string"), 6, "0"),
+        *[F.lpad(F.col(c).try_cast("double").cast("long").cast("string"), 6, "0") for c in ("Date", "Time")]
     )
     out = _app_rows(
         df, parse_time(stamp, date_order + "HHmmss"),

@@ -39,7 +39,7 @@ def mark_by_quota(df: DataFrame, group: str, quotas: DataFrame, ids: list[str],
         .filter((F.col("_cum") >= F.col("_want")) & (F.col("_cum") - F.col("n") < F.col("_want")))
         .select(group, F.col("_b").alias("_edge"), (F.col("_want") - F.col("_cum") + F.col("n")).alias("_left"))
     )
-    cut = lookup(rows, edges, [group], "left", spread=ids)
+    cut = lookup(rows, edges, [group], "left")
     clear = cut.filter(F.col("_edge").isNull() | (F.col("_b") != F.col("_edge")))
     rank = Window.partitionBy(group).orderBy("_h", *ids)
     tied = cut.filter(F.col("_b") == F.col("_edge")).withColumn("_r", F.row_number().over(rank))

@@ -1,19 +1,22 @@
 """Message templates: what stays the same between similar messages.
 
 Only distinct messages are compared, and only inside groups that share a token
-count and leading tokens. A group too large for one task is split further by its
-next token, or has that position wildcarded when it takes too many values, until
-every group fits; the result does not depend on row order or partitioning.
+count and the first token. A group is streamed in text order and merged greedily;
+the task holds its clusters, never its messages, so a group has no size limit and
+its templates depend on its messages alone, not on row order, partitioning or
+what else is in the data.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.checkpoints import cut_lineage
+from loomlog.checkpoints import written
 from loomlog.operators.lookups import lookup
 from loomlog.options import TemplateOptions
 
@@ -42,96 +45,76 @@ def masked(message: Column, opts: TemplateOptions = TemplateOptions()) -> Column
     return F.regexp_replace(clean_text(message, opts), _VALUE_TOKEN, WILD)
 
 
-def _templates_of(texts: list[str], similarity: float) -> list[str]:
-    """Greedy merge of one group's distinct messages, in text order; the template of each input text."""
-    if len(texts) == 1:
-        return list(texts)
-    order = sorted(range(len(texts)), key=lambda i: texts[i])
-    ids: dict[str, int] = {WILD: 0}
-    rows = np.array([[ids.setdefault(t, len(ids)) for t in texts[i].split(" ")] for i in order], dtype=np.int64)
-    words = list(ids)
-    clusters, owner, used = np.empty_like(rows), [0] * len(texts), 0
-    for at, row in zip(order, rows):
-        best = -1
-        if used:
-            live = clusters[:used]
-            same = ((live == row) & (live != 0)).sum(axis=1) / rows.shape[1]
+class _Clusters:
+    """The greedy merge of one group's messages, fed in text order: only clusters are held, not messages."""
+
+    def __init__(self, width: int, similarity: float):
+        self.ids: dict[str, int] = {WILD: 0}
+        self.rows, self.used, self.similarity = np.empty((8, width), dtype=np.int64), 0, similarity
+
+    def add(self, text: str) -> int:
+        ids = self.ids
+        row = np.array([ids.setdefault(t, len(ids)) for t in text.split(" ")], dtype=np.int64)
+        if self.used:
+            live = self.rows[:self.used]
+            same = ((live == row) & (live != 0)).sum(axis=1) / len(row)
             best = int(same.argmax())
-            if same[best] < similarity:
-                best = -1
-        if best < 0:
-            best, used = used, used + 1
-            clusters[best] = row
-        else:
-            clusters[best] = np.where(clusters[best] == row, row, 0)
-        owner[at] = best
-    names = [" ".join(words[w] for w in clusters[c]) for c in range(used)]
-    return [names[c] for c in owner]
+            if same[best] >= self.similarity:
+                live[best] = np.where(live[best] == row, row, 0)
+                return best
+        if self.used == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[self.used] = row
+        self.used += 1
+        return self.used - 1
+
+    def templates(self) -> list[str]:
+        words = list(self.ids)
+        return [" ".join(words[w] for w in row) for row in self.rows[:self.used]]
 
 
 def _merge(similarity: float):
-    def merge(groups: pd.Series) -> pd.Series:
-        return pd.Series([_templates_of(list(texts), similarity) for texts in groups])
+    """Streams groups in text order; gives each message its cluster, and after a group its clusters' templates."""
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, clusters = None, None
+
+        def closed() -> list[tuple]:
+            return [] if clusters is None else [(group, n, None, t) for n, t in enumerate(clusters.templates())]
+
+        for b in batches:
+            out = []
+            for key, text in zip(b.key, b.masked):
+                if key != group:
+                    out += closed()
+                    group, clusters = key, _Clusters(text.count(" ") + 1, similarity)
+                out.append((key, clusters.add(text), text, None))
+            yield _merged(out)
+        yield _merged(closed())
     return merge
 
 
-def _shrink_groups(work: DataFrame, opts: TemplateOptions) -> DataFrame:
-    """Refine group keys until no group holds more than ``group_limit`` distinct messages.
-
-    ``work`` has masked, current and key. At depth d an oversize group either takes its d-th token into the key
-    or, when that position has more than ``max_children`` values, drops it to the wildcard. After the last
-    position a group is a single message, so this ends.
-    """
-    depth = 1
-    while True:
-        sizes = work.groupBy("key").agg(F.count_distinct("current").alias("_n"))
-        big = sizes.filter(F.col("_n") > opts.group_limit)
-        if big.isEmpty():
-            return work
-        token = F.coalesce(F.get(F.split("current", " "), F.lit(depth)), F.lit(""))
-        fan = (
-            work.withColumn("_t", token).join(big, "key", "left_semi").groupBy("key")
-            .agg(F.count_distinct("_t").alias("_fan"))
-        )
-        joined = lookup(work.withColumn("_t", token), fan, ["key"], "left", spread=["masked"])
-        wide = F.col("_fan") > opts.max_children
-        swapped = F.array_join(F.transform(
-            F.split("current", " "), lambda t, i: F.when(i == depth, WILD).otherwise(t)), " ")
-        work = cut_lineage(joined.select(
-            "masked", F.when(wide, swapped).otherwise(F.col("current")).alias("current"),
-            F.when(F.col("_fan").isNull(), F.col("key")).when(wide, F.concat("key", F.lit(" " + WILD)))
-            .otherwise(F.concat("key", F.lit(" "), "_t")).alias("key"),
-        ))
-        depth += 1
+def _merged(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["key", "cluster", "masked", "template"]).astype({"cluster": "int32"})
 
 
 def template_table(df: DataFrame, message: str, opts: TemplateOptions = TemplateOptions()) -> DataFrame:
     """masked, template_id, template for every distinct masked message."""
-    # The distinct messages are the small side of everything below: written once, read several times.
-    distinct = cut_lineage(df.select(masked(F.col(message), opts).alias("masked")).filter(F.length("masked") > 0).distinct())
+    distinct = df.select(masked(F.col(message), opts).alias("masked")).filter(F.length("masked") > 0).distinct()
     parts = F.split("masked", " ")
-    work = distinct.select(
-        "masked", F.col("masked").alias("current"),
-        F.concat_ws(" ", F.size(parts).cast("string"), F.get(parts, F.lit(0))).alias("key"),
-    )
-    work = _shrink_groups(work, opts)
-    merge = F.pandas_udf(_merge(opts.similarity), "array<string>")
-    # One row per group, at most group_limit messages each; Arrow carries many groups per batch.
-    groups = work.groupBy("key").agg(F.collect_set("current").alias("texts"))
-    pairs = groups.select(F.explode(F.arrays_zip("texts", merge("texts").alias("made"))).alias("p"))
-    merged = pairs.select(F.col("p.texts").alias("current"), F.col("p.made").alias("template"))
-    return lookup(work.select("masked", "current"), merged, ["current"], "inner", spread=["masked"]).select(
+    keyed = distinct.select("masked", F.concat_ws(" ", F.size(parts).cast("string"), F.get(parts, F.lit(0))).alias("key"))
+    # Messages and templates come from one pass; it is written, since both of its parts are read.
+    merged = written(
+        keyed.repartition("key").sortWithinPartitions("key", "masked")
+        .mapInPandas(_merge(opts.similarity), "key string, cluster int, masked string, template string"), "templates")
+    names = merged.filter(F.col("template").isNotNull()).select("key", "cluster", "template")
+    return lookup(merged.filter(F.col("masked").isNotNull()).select("key", "cluster", "masked"), names, ["key", "cluster"], "inner").select(
         "masked", F.xxhash64("template").alias("template_id"), "template")
 
 
-def mine_templates(df: DataFrame, message: str, spread: list[str], opts: TemplateOptions = TemplateOptions()) -> DataFrame:
-    """The input rows with template_id, template and params (the values under the wildcards).
-
-    ``spread`` identifies a row; it salts the join back, since one message may make up much of the data.
-    """
+def mine_templates(df: DataFrame, message: str, opts: TemplateOptions = TemplateOptions()) -> DataFrame:
+    """The input rows with template_id, template and params (the values under the wildcards)."""
     rows = df.withColumn("masked", masked(F.col(message), opts))
-    table = template_table(df, message, opts)
-    joined = lookup(rows, table, ["masked"], "left", spread=spread)
+    joined = lookup(rows, template_table(df, message, opts), ["masked"], "left")
     return joined.withColumn("params", params_of(tokens_of(F.col(message), opts), F.col("template"))).drop("masked")
 
 

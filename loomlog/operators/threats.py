@@ -31,9 +31,9 @@ def bruteforce_buckets(df: DataFrame, hit: Column, threshold: int = 10, ip: str
     return counts.filter(F.col("n") >= low).withColumn("bucket", F.when(F.col("n") >= high, "high").otherwise("low"))
 
 
-def rows_of(df: DataFrame, offenders: DataFrame, ip: str = "ip", spread: list[str] | None = None) -> DataFrame:
-    """Rows whose address is in the offender set; ``spread`` salts a dominant address."""
-    return lookup(df, offenders.select(F.col("ip").alias(ip)), [ip], "left_semi", spread)
+def rows_of(df: DataFrame, offenders: DataFrame, ip: str = "ip") -> DataFrame:
+    """Rows whose address is in the offender set."""
+    return lookup(df, offenders.select(F.col("ip").alias(ip)), [ip], "left_semi")
 
 
 def _label_hits(df: DataFrame, rules: RuleSet, message: Column, ip: Column | None, agent: Column | None,
@@ -77,7 +77,7 @@ def threat_counts(df: DataFrame, rules: RuleSet = DOMAIN_RULES, threshold: int =
     origin = F.substring("key", 1, 1)
     split = counts.select(
         F.when(origin == "p", "primary").when(origin == "i", "by_ip").otherwise("fallback").alias("origin"),
-        F.substring("key", 3, 100).alias("label"), "ip", "n",
+        F.expr("substring(key, 3)").alias("label"), "ip", "n",
     )
     if ip is None:
         return split
@@ -245,7 +245,7 @@ def recommendations(counters: DataFrame, error_counts: DataFrame, top_ips: DataF
     )
     row = both.agg(
         F.map_from_entries(F.collect_list(F.struct("k", F.coalesce("n", F.lit(0)).alias("n")))).alias("m"),
-        F.max(F.when(F.col("k").startswith("top:"), F.substring("k", 5, 100))).alias("top_ip"),
+        F.max(F.when(F.col("k").startswith("top:"), F.expr("substring(k, 5)"))).alias("top_ip"),
     )
     has_top = F.col("top_ip").isNotNull()
     linux_configured = F.exists(F.map_keys("m"), lambda k: k.startswith("cat:linux_auth"))

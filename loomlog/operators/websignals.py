@@ -109,13 +109,18 @@ def bruteforce_offenders(df: DataFrame, opts: WebOptions = WebOptions()) -> Data
     )
 
 
-def requests_per_minute(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """ip, minute, n: one count per address and minute; rows without a time are dropped."""
+def minute_of(df: DataFrame, ts: str) -> Column:
+    """The minute of a time column, which may be text; null when it has no time."""
     time = F.col(ts)
     if dict(df.dtypes)[ts] == "string":
         time = F.try_to_timestamp(time).cast("timestamp_ntz")
+    return F.date_trunc("minute", time)
+
+
+def requests_per_minute(df: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """ip, minute, n: one count per address and minute; rows without a time are dropped."""
     return (
-        df.select(schema.text_or(df, "ip").alias("ip"), F.date_trunc("minute", time).alias("minute"))
+        df.select(schema.text_or(df, "ip").alias("ip"), minute_of(df, ts).alias("minute"))
         .filter(F.col("minute").isNotNull()).groupBy("ip", "minute").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -133,18 +138,24 @@ def signal_counters(df: DataFrame, opts: WebOptions = WebOptions(), ts: str = "t
     if not is_access_like(df):
         return df.sparkSession.createDataFrame([(NOTE, None)], "counter string, n long")
     df = with_request_parts(df)
-    one = df.agg(*[F.count_if(c).alias(n) for n, c in signal_columns(df, opts).items()])
-    rows = one.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("counter"), F.col(n).alias("n")) for n in fv.SIGNAL_NAMES
+    signals = signal_columns(df, opts)
+    minute = minute_of(df, ts) if ts in df.columns else F.lit(None).cast("timestamp")
+    # One scan: counts per address and minute, rolled up to addresses and then to one row.
+    by_minute = (
+        df.select(schema.text_or(df, "ip").alias("_ip"), minute.alias("_minute"), *[c.alias(n) for n, c in signals.items()])
+        .groupBy("_ip", "_minute").agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(n).alias(n) for n in signals])
+    )
+    by_ip = by_minute.groupBy("_ip").agg(
+        F.max(F.when(F.col("_minute").isNotNull(), F.col("_n"))).alias("_most"), *[F.sum(n).alias(n) for n in signals])
+    failures = F.col("bruteforce_events")
+    one = by_ip.agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in signals],
+        F.count_if((failures > 0) & (failures >= opts.bruteforce_threshold)).alias("bruteforce_offenders"),
+        F.count_if(F.col("_most") >= opts.requests_per_minute).alias("high_freq_offenders"))
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("counter"), F.col(n).alias("n"))
+        for n in (*fv.SIGNAL_NAMES, "bruteforce_offenders", "high_freq_offenders")
     ])))
-    brute = bruteforce_offenders(df, opts).agg(
-        F.lit("bruteforce_offenders").alias("counter"), F.count(F.lit(1)).alias("n"))
-    if ts in df.columns:
-        fast = high_frequency_ips(df, opts, ts).agg(
-            F.lit("high_freq_offenders").alias("counter"), F.count(F.lit(1)).alias("n"))
-    else:
-        fast = df.sparkSession.createDataFrame([("high_freq_offenders", 0)], "counter string, n long")
-    return rows.unionByName(brute).unionByName(fast)
 
 
 def top_values(df: DataFrame, condition: Column, column: str, n: int = 5) -> DataFrame:

@@ -151,10 +151,10 @@ def top_templates(counts: DataFrame, template: str, n: int = 3, keys: list[str]
     return counts.filter(F.col("n") > 0).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def with_event_frequency(df: DataFrame, event: str, spread: list[str], name: str = "event_freq") -> DataFrame:
+def with_event_frequency(df: DataFrame, event: str, name: str = "event_freq") -> DataFrame:
     """How often the row's event type occurs, on each row: count first, then a salted join.
 
     A window over the event type would sort all rows of a dominant type in one task.
     """
     counts = df.groupBy(event).agg(F.count(F.lit(1)).alias(name))
-    return lookup(df, counts, [event], "left", spread)
+    return lookup(df, counts, [event], "left")

@@ -66,17 +66,14 @@ class ReportOptions:
 
 @dataclass(frozen=True)
 class TemplateOptions:
-    """Template mining: merge similarity, tree fan-out and the largest group handed to one task."""
+    """Template mining: the share of equal tokens that merges messages, and characters that count as blanks."""
 
     similarity: float = 0.4
-    max_children: int = 100
-    group_limit: int = 2000
     extra_delimiters: tuple[str, ...] = ()
 
 
 COMPACT_TEMPLATES = TemplateOptions(
     similarity=0.2,
-    max_children=20,
     extra_delimiters=(",", ";", ":", "(", ")", "[", "]", "{", "}", "<", ">", "\t"),
 )
 

@@ -43,7 +43,7 @@ def rules_for(opts: ReportOptions) -> RuleSet:
 
 def standard_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth: DataFrame | None = None,
                       scores: DataFrame | None = None, ranges: DataFrame | None = None,
-                      order: str = "line_id") -> dict[str, DataFrame]:
+                      order: str = "line_id", truth_order: str | None = None) -> dict[str, DataFrame]:
     """The standard report: parsing, HTTP distributions, categories, signals, performance, insights, advice."""
     df = web.with_request_parts(df)
     msg, rules = schema.message_column(df), rules_for(opts)
@@ -83,7 +83,7 @@ def standard_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), trut
     if truth is not None:
         scored = evaluation.score_against_truth(
             df.select("LineId", _any_category(F.col(msg), rules).alias("flagged")),
-            truth)
+            truth, order=truth_order)
         out["performance"] = _wide(scored, "performance")
     else:
         out["performance"] = _wide(df.agg(F.count_if(flagged).alias("alerts_flagged")), "performance")
@@ -107,7 +107,7 @@ def _any_category(message: Column, rules: RuleSet) -> Column:
 
 def intel_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth: DataFrame | None = None,
                    scores: DataFrame | None = None, ranges: DataFrame | None = None,
-                   order: str = "line_id") -> dict[str, DataFrame]:
+                   order: str = "line_id", truth_order: str | None = None) -> dict[str, DataFrame]:
     """The threat-intelligence report: headline, ranked addresses, threat summaries, actions, evidence."""
     df = web.with_request_parts(df)
     msg, rules = schema.message_column(df), rules_for(opts)
@@ -139,7 +139,7 @@ def intel_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth:
     first = threats.evidence(df, ranked.filter(F.col("rank") == 1).select("ip", "n"), 2, msg, order, 1)
     out["evidence"] = section(first, "evidence", "ip", msg, ["ip", "pos"])
     if truth is not None and "LineId" in df.columns:
-        out["performance"] = _wide(evaluation.score_against_truth(df.select("LineId", flagged.alias("flagged")), truth), "performance")
+        out["performance"] = _wide(evaluation.score_against_truth(df.select("LineId", flagged.alias("flagged")), truth, order=truth_order), "performance")
     return out
 
 

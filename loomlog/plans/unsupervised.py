@@ -28,14 +28,14 @@ def line_features(lines: DataFrame, line: str = "line", ids: list[str] | None =
     """Template, severity, event type and its frequency, keyword weight, health-check usage and TF-IDF as one vector."""
     ids = ids or ["line_id"]
     text = F.col(line)
-    rows = mine_templates(lines, line, spread=ids, opts=templates)
+    rows = mine_templates(lines, line, opts=templates)
     cpu, mem = sev.passed_healthcheck_usage(text)
     rows = rows.withColumns({
         "severity": sev.line_severity(text), "event_type": sev.event_type(text, F.col("template")),
         "keyword_severity": sev.keyword_severity(text), "hc_cpu": cpu, "hc_mem": mem,
         "truth": sev.rule_truth(text).cast("int"),
     })
-    rows = with_event_frequency(rows, "event_type", spread=ids)
+    rows = with_event_frequency(rows, "event_type")
     # Fitting makes several passes over rows that cost a join and regexes to make.
     rows = rows.persist()
     hot = fit_categories(rows.select("template", "severity", "event_type"), ["template", "severity", "event_type"])

@@ -165,17 +165,21 @@ def render(expr: str, spark: bool) -> str:
     return out.replace("{string}", "string" if spark else "varchar")
 
 
+#: Splits from which a table is spread enough.
+FEW_PARTITIONS = 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores when the scan yields fewer partitions than there are cores; otherwise untouched.
+    """The rows of a one-file table over ``FEW_PARTITIONS`` tasks; any table with more partitions is left as it is.
 
-    Regex work on a small file would run in one task. A large table has enough partitions and is not shuffled.
+    Regex work on one small file would run in one task. The rule looks at the input's own few partitions, never at the
+    cluster: from ``FEW_PARTITIONS`` splits on (about 1 GB) nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(FEW_PARTITIONS, *keys) if df.rdd.getNumPartitions() < FEW_PARTITIONS else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

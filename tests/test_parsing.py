@@ -118,3 +118,17 @@ def test_standard_log_json_round_trip(spark):
     assert back[0]["message"] == "hello" and back[0]["raw_content"] == "hello" and back[0]["metadata"]["Component"] == "c"
     iso = spark.createDataFrame([("2024-01-01T00:00:00Z",)], "t string").select(parsing.iso_time(F.col("t"))).first()[0]
     assert str(iso) == "2024-01-01 00:00:00"
+
+
+def test_dates_with_short_days_and_fractions_keep_their_rows(spark):
+    apache = spark.createDataFrame([("Sun Dec  4 04:47:44 2005", "notice"), ("Sun Dec 14 04:47:44 2005", "error"), ("Sun Dec 4 04:47:44 2005", "error"), ("x", "error")],
+                                   "Time string, Level string")
+    assert [str(r.timestamp) for r in parsing.apache_rows(apache).collect()] == ["2005-12-04 04:47:44", "2005-12-14 04:47:44", "2005-12-04 04:47:44"]
+    hdfs = spark.createDataFrame([("81109.0", "203615"), ("081109", "203615.0"), ("no", "1")], "Date string, Time string")
+    assert [str(r.timestamp) for r in parsing.hdfs_rows(hdfs).collect()] == ["2009-08-11 20:36:15"] * 2
+
+
+def test_indented_files_are_detected(spark):
+    lines = spark.createDataFrame([("f", k, "\t127.0.0.1 - - [10/Oct/2000:13:55:36 +0000] \"GET /a HTTP/1.0\" 200 5\t") for k in range(3)], "source string, line_id int, value string")
+    parsed = parsing.parse_by_source(lines, "source", "line_id").collect()
+    assert len(parsed) == 3 and all(r.parsed for r in parsed)

@@ -44,13 +44,15 @@ def test_greedy_across_days_matches_a_plain_loop(spark):
     assert got == want
 
 
-def test_event_frequency_and_salted_lookup(spark):
+def test_event_frequency_and_lookup_of_any_size(spark, monkeypatch):
     df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
-    freq = windows.with_event_frequency(df, "k", ["id"])
+    freq = windows.with_event_frequency(df, "k")
     assert freq.count() == 1000 and freq.filter("k = 'hot'").select("event_freq").distinct().first()[0] == 334
     table = spark.createDataFrame([("hot", 1)], "k string, v int")
-    assert lookups.lookup(df, table, ["k"], "left_semi", ["id"]).count() == 334
-    assert lookups.lookup(df, table, ["k"], "left_anti", ["id"]).count() == 666
+    for limit in (lookups.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(lookups, "BROADCAST_BYTES", limit)
+        assert lookups.lookup(df, table, ["k"], "left_semi").count() == 334
+        assert lookups.lookup(df, table, ["k"], "left_anti").count() == 666
 
 
 @pytest.mark.parametrize("target", [0, 1, 97, 1000, 5000])
@@ -95,3 +97,17 @@ def test_sweep_counts_each_threshold(spark):
     got = {r["threshold"]: (r["tp"], r["fp"], r["fn"]) for r in ev.threshold_sweep(df).collect()}
     assert len(got) == 45 and got[0.05] == (3, 1, 0) and got[0.51] == (2, 0, 1) and got[0.93] == (1, 0, 2)
     assert ev.best_threshold(ev.threshold_sweep(df)).first()["threshold"] == 0.05
+
+
+def test_fractional_status_texts_count(spark):
+    from loomlog.operators import aggregates
+    df = spark.createDataFrame([("200.0",), ("200",), ("x",)], "status string")
+    assert [(r.status, r.n) for r in aggregates.status_distribution(df).collect()] == [(200, 2)]
+
+
+def test_truth_without_an_order_must_agree(spark):
+    pred = spark.createDataFrame([(1, True)], "LineId long, flagged boolean")
+    truth = spark.createDataFrame([(1, 1, "error"), (2, 1, "not an error")], "o int, LineId long, label string")
+    assert ev.score_against_truth(pred, truth, order="o").first()["tp"] == 0
+    with pytest.raises(Exception, match="row order"):
+        ev.score_against_truth(pred, truth).collect()
