@@ -98,4 +98,4 @@ def test_buckets_and_actions(spark):
     ranked = threats.ranked_threat_ips(summary)
     assert [r["ip"] for r in ranked.orderBy("rank").collect()] == ["1.1.1.1", "2.2.2.2"]
     assert threats.ip_actions(ranked).count() == 2
-    assert threats.rows_of(df, ranked.filter(F.col("rank") == 1), spread=["line_id"]).count() == 12
+    assert threats.rows_of(df, ranked.filter(F.col("rank") == 1)).count() == 12
