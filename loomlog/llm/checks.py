@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomlog.llm.rules import ALPHA, DELTA, RULES, STRATA, TOP
+from loomlog.llm.rules import ALPHA, COST, DELTA, RULES, STRATA, TOP
 
 _MESSAGES = """SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'"""
@@ -50,14 +50,17 @@ c AS (SELECT s.r, doc_id, lang, CAST(len(w) AS bigint) AS n_words, CAST(length(a
 m AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   CASE WHEN lang IN ({", ".join(f"'{x}'" for x in STRATA)}) THEN lang ELSE 'other' END AS stratum,
   {", ".join(f"{_measure(r)} AS {r}" for r in RULES)} FROM c),
-good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
-v AS (SELECT stratum, rule, value FROM (UNPIVOT (SELECT stratum, {", ".join(RULES)} FROM m
-  WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)) ON {", ".join(RULES)} INTO NAME rule VALUE value)),
-b AS (SELECT stratum, rule, value, count(*) AS n FROM v GROUP BY ALL),
+known AS (SELECT doc_id, min(quality) AS q FROM labels GROUP BY doc_id HAVING min(quality) = max(quality)),
+v AS (SELECT stratum, q, rule, value FROM (UNPIVOT (SELECT stratum, q, {", ".join(RULES)} FROM m JOIN known USING (doc_id)
+  WHERE NOT base_failed) ON {", ".join(RULES)} INTO NAME rule VALUE value)),
+b AS (SELECT stratum, rule, value, count(*) FILTER (q = 1) AS n, count(*) FILTER (q = 0) AS bad FROM v GROUP BY ALL),
 t AS (SELECT stratum, rule, value, sum(n) OVER (PARTITION BY stratum, rule) AS n,
-  sum(n) OVER (PARTITION BY stratum, rule) - sum(n) OVER (PARTITION BY stratum, rule ORDER BY value) AS k FROM b),
-cut AS (SELECT stratum, rule, min(value) AS most FROM t
-  WHERE k <= n * {_P!r}::double AND list_sum(list_transform(range(0, CAST(k AS bigint) + 1), lambda i:
+  sum(n) OVER (PARTITION BY stratum, rule) - sum(n) OVER (PARTITION BY stratum, rule ORDER BY value) AS k,
+  sum(bad) OVER (PARTITION BY stratum, rule) AS bad,
+  sum(bad) OVER (PARTITION BY stratum, rule) - sum(bad) OVER (PARTITION BY stratum, rule ORDER BY value) AS caught FROM b),
+g AS (SELECT *, CAST(caught AS double) / bad - {COST}::double * (CAST(k AS double) / n) AS gain FROM t WHERE n > 0 AND bad > 0),
+cut AS (SELECT stratum, rule, arg_max(value, {{'g': gain, 'v': value}}) AS most FROM g
+  WHERE gain > 0 AND k <= n * {_P!r}::double AND list_sum(list_transform(range(0, CAST(k AS bigint) + 1), lambda i:
     exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_P!r}::double) + (n - i) * ln(1 - {_P!r}::double)))) <= {DELTA / _TESTS!r}::double
   GROUP BY stratum, rule)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -3,10 +3,12 @@
 Every document gets six measures in thousandths. A rule rejects a document whose measure lies beyond a cutoff, and the
 cutoffs are chosen per stratum on labelled good documents: a cutoff is admitted only if the exact binomial probability of
 seeing so few rejected good documents, were the true share of false rejections ``alpha / rules``, is at most
-``delta / (strata * rules)``. Cutoffs of a rule are nested, so they are tested from lax to strict and the strictest that
-passes in an unbroken row is taken (fixed sequence); the division by strata and rules is the Bonferroni correction. With
-probability ``1 - delta`` no stratum then loses more than the share ``alpha`` of its good documents. A stratum with too
-few labels admits no cutoff, and only the base rule holds there.
+``delta / (strata * rules)``. Cutoffs of a rule are nested, so they are tested from lax to strict and those that pass in an
+unbroken row are admitted (fixed sequence); the division by strata and rules is the Bonferroni correction. With
+probability ``1 - delta`` no stratum then loses more than the share ``alpha`` of its good documents, whichever admitted
+cutoffs are used. Of these the one with the largest share of labelled bad documents caught, less ``COST`` times the share of good
+ones lost, is used, the laxest of equals, and none where that is not positive. A stratum with too few labels admits no
+cutoff, and only the base rule holds there.
 
 Nulls: a null text has no words and fails the base rule; a null lang belongs to the stratum of other languages; null
 doc_ids or labels find no partner and calibrate nothing. Repeated rows are judged each on its own; repeated labels of a
@@ -27,6 +29,8 @@ STRATA = ("en", "de", "fr", "es")
 RULES = ("symbols", "repeated_lines", "repeated_words", "long_words", "short_words", "capitals")
 #: Share of good documents a stratum may lose, and the chance that this fails.
 ALPHA, DELTA = 0.05, 0.05
+#: How much heavier a lost share of good documents weighs than a caught share of bad ones.
+COST = 20.0
 #: Largest value of a measure; every larger one counts as this.
 TOP = 20_000
 
@@ -110,26 +114,29 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 def cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """stratum and, for each rule, its certified cutoff: a document with a larger measure is rejected (null: no cutoff)."""
-    good = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
-    held = found.filter("not base_failed").select(F.col("row.doc_id").alias("doc_id"), "stratum", *RULES).join(good, "doc_id", "left_semi")
+    known = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most")).filter("q = most and q in (0, 1)")
+    held = found.filter("not base_failed").select(F.col("row.doc_id").alias("doc_id"), "stratum", *RULES).join(
+        known.select("doc_id", "q"), "doc_id")
     pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES]))
-    bins = held.select("stratum", pairs.alias("p")).groupBy("stratum", "p.rule", "p.value").agg(F.count("*").alias("n"))
+    bins = held.select("stratum", "q", pairs.alias("p")).groupBy("stratum", "p.rule", "p.value").agg(
+        F.count_if(F.col("q") == 1).alias("n"), F.count_if(F.col("q") == 0).alias("bad"))
     each = Window.partitionBy("stratum", "rule")
     upward = each.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     tests = (len(STRATA) + 1) * len(RULES)
     tested = bins.select(
         "stratum", "rule", "value", F.sum("n").over(each).alias("good"),
-        (F.sum("n").over(each) - F.sum("n").over(upward)).alias("lost"),
-    ).filter(F.col("lost") <= F.col("good") * alpha / len(RULES)).select(
-        "stratum", "rule", "value",
+        (F.sum("n").over(each) - F.sum("n").over(upward)).alias("lost"), F.sum("bad").over(each).alias("bad"),
+        (F.sum("bad").over(each) - F.sum("bad").over(upward)).alias("caught"),
+    ).filter("good > 0 and bad > 0").filter(F.col("lost") <= F.col("good") * alpha / len(RULES)).select(
+        "stratum", "rule", "value", (F.col("caught") / F.col("bad") - COST * (F.col("lost") / F.col("good"))).alias("gain"),
         (binomial_tail(F.col("good").cast("double"), F.col("lost"), alpha / len(RULES)) <= delta / tests).alias("passed"))
     # the tail grows as the cutoff falls, so what passes is an unbroken row from the laxest cutoff down
-    best = tested.filter("passed").groupBy("stratum", "rule").agg(F.min("value").alias("cutoff"))
+    best = tested.filter("passed and gain > 0").groupBy("stratum", "rule").agg(
+        F.max_by("value", F.struct("gain", "value")).alias("cutoff"))
     return best.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"max_{r}") for r in RULES])
 
 
-def _with_verdict(docs: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
-    found = measured(docs)
+def _with_verdict(found: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
     limits = F.broadcast(cutoffs(found, labels, alpha, delta))  # at most a row for each stratum
     broken = [F.coalesce(F.col(r) > F.col(f"max_{r}"), F.lit(False)) for r in RULES]
     rejected = broken[0]
@@ -140,10 +147,11 @@ def _with_verdict(docs: DataFrame, labels: DataFrame, alpha: float, delta: float
 
 def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """doc_id, the base counts, base_failed and kept for every document."""
-    return _with_verdict(docs, labels, alpha, delta).select(
+    found = measured(docs)
+    return _with_verdict(found, labels, alpha, delta).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _with_verdict(docs, labels, alpha, delta).filter("kept").select("row.*")
+    return _with_verdict(measured(docs), labels, alpha, delta).filter("kept").select("row.*")

@@ -64,13 +64,13 @@ def test_binomial_tail(spark, n, k, p):
 def test_cutoffs_lose_few_good_documents(spark):
     r = random.Random(2)
     rows = [(k, prose(r, 60), "en") for k in range(2500)]
-    rows += [(5000 + k, prose(r, 60).replace(" ", "$$$ "), "en") for k in range(60)]  # nothing like them is labelled good
+    rows += [(5000 + k, prose(r, 60).replace(" ", "$$$ "), "en") for k in range(60)]
     rows += [(6000, prose(r, 60), "xx"), (6001, prose(r, 60).replace(" ", "$$$ "), "xx")]  # a stratum without labels
-    labels = [(k, 1, 0) for k in range(2500)] + [(0, 0, 0), (1, None, 0), (None, 1, 0), (7, 1, 0)]
+    labels = [(k, 1, 0) for k in range(2500)] + [(5000 + k, 0, 0) for k in range(20)] + [(0, 0, 0), (1, None, 0), (None, 1, 0), (7, 1, 0)]
     docs = docs_frame(spark, rows)
     found = {x.doc_id: x.kept for x in rules.judged(docs, labels_frame(spark, labels)).collect()}
     assert not any(found[5000 + k] for k in range(60))
-    assert sum(not found[k] for k in range(2500)) <= rules.ALPHA * 2500
+    assert sum(not found[k] for k in range(2500)) <= 2
     assert found[6000] and found[6001]
     kept = rules.kept_documents(docs, labels_frame(spark, labels))
     assert kept.columns == docs.columns
