@@ -8,6 +8,7 @@ from loomlog import fixed_values as fv
 from loomlog import streaming
 from loomlog.catalog.registry import SQL, query
 from loomlog.catalog.sql import frm, union
+from loomlog.catalog.tags import _TEXT, _reason_sql, classify
 from loomlog.catalog.web import ACCESS, OPTS, _counters_sql, _signals
 from loomlog.checkpoints import fresh_path
 from loomlog.operators import aggregates as agg
@@ -233,7 +234,22 @@ def intel_report(spark, d):
     return reports.combined(reports.intel_sections(view(spark, d, "auth_log"), opts, scores=reputation(spark, d), ranges=geo_ranges(spark, d)))
 
 
-@query("comparison_report")
+def _comparison_sql() -> str:
+    rows = f"(SELECT *, {classify(_TEXT)} AS k FROM {APP})"
+    summary = f"(SELECT total, normal, warn_err, expected, anomaly_rate, model_flagged FROM ({SQL['report_summary']}))"
+    names = ["total", "normal", "warn_err", "expected", "anomaly_rate", "model_flagged"]
+    first = f"(SELECT *, row_number() OVER (ORDER BY line_id) AS r FROM {rows} WHERE k = 'anomaly')"
+    return union([
+        *[f"SELECT 'summary' AS section, {i} AS ord, '{n}' AS key, CAST({n} AS varchar) AS value FROM {summary}" for i, n in enumerate(names, 1)],
+        f"SELECT 'expected', r, line_id || '|' || log_level || ' [' || module || '] ' || message, {_reason_sql('message')} FROM {first} WHERE r <= 20",
+        f"SELECT 'severity', row_number() OVER (ORDER BY severity), severity, n || '|' || round(pct, 2) FROM ({SQL['severity_mix']})",
+        f"SELECT 'timeline', r, CAST(line_id AS varchar), timestamp FROM {first} WHERE r <= 5",
+        "SELECT 'verdict', 1, 'verdict', CASE WHEN model_flagged < expected THEN 'false negatives likely' WHEN model_flagged > expected"
+        f" THEN 'false positives possible' ELSE 'counts match' END FROM {summary}",
+    ])
+
+
+@query("comparison_report", _comparison_sql())
 def comparison_report(spark, d):
     return reports.combined(reports.comparison_sections(view(spark, d, "app_log"), F.col("log_level") == "ERROR"))
 

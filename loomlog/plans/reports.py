@@ -143,13 +143,13 @@ def intel_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth:
     return out
 
 
-def comparison_sections(logs: DataFrame, model_flag: Column | None = None, order: str = "line_id", max_list: int = 20) -> dict[str, DataFrame]:
-    """Model against rules: summary, severity mix, the first expected anomalies with reasons, and the verdict."""
+def comparison_sections(logs: DataFrame, model_flag: Column | None = None, order: str = "line_id", max_list: int = 20, marks: int = 5) -> dict[str, DataFrame]:
+    """Model against rules: summary, severity mix, the first expected anomalies with reasons, their marks on the timeline, the verdict."""
     expected = classify_entry(full_text(F.col("log_level"), F.col("module"), F.col("message"))) == "anomaly"
-    summary = agg.report_summary(logs, expected, model_flag)
+    summary = agg.report_summary(logs, expected, model_flag).withColumn("anomaly_rate", F.round("anomaly_rate", 6))
+    first = logs.filter(expected).orderBy(order).limit(max_list)
     listed = (
-        logs.filter(expected).orderBy(order).limit(max_list)
-        .select(order, F.concat(F.col("log_level"), F.lit(" ["), F.col("module"), F.lit("] "), F.col("message")).alias("content"),
+        first.select(order, F.concat(F.col("log_level"), F.lit(" ["), F.col("module"), F.lit("] "), F.col("message")).alias("content"),
                 rule_reason(F.col("message")).alias("reason"))
     )
     verdict = (
@@ -161,6 +161,7 @@ def comparison_sections(logs: DataFrame, model_flag: Column | None = None, order
         "summary": _wide(summary, "summary"),
         "expected": section(listed, "expected", F.concat_ws("|", order, "content"), "reason", [order]),
         "severity": section(agg.severity_mix(logs, expected), "severity", "severity", F.concat_ws("|", "n", F.round("pct", 2)), ["severity"]),
+        "timeline": section(first.orderBy(order).limit(marks), "timeline", order, "timestamp", [order]),
         "verdict": _wide(summary.select(verdict.alias("verdict")), "verdict"),
     }
 
