@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,12 +89,18 @@ def _row_term_totals(df: DataFrame, text: str, stop_words: list[str] | None, big
     return marks.groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
+ENGLISH = "english"
+
+
 def fit_tfidf(df: DataFrame, doc: str | None, text: str, max_terms: int = 1000, min_docs: int = 1,
-              stop_words: list[str] | None = None, bigrams: bool = False) -> TfidfModel:
+              stop_words: list[str] | str | None = None, bigrams: bool = False) -> TfidfModel:
     """Smoothed idf over the ``max_terms`` most frequent terms; equal counts are cut in term order.
 
     ``doc`` names the entity whose rows form one document; None makes every row its own document.
+    ``stop_words`` is a list or the name of a language whose list Spark brings along.
     """
+    if isinstance(stop_words, str):
+        stop_words = StopWordsRemover.loadDefaultStopWords(stop_words)
     if doc is None:
         totals, docs = _row_term_totals(df, text, stop_words, bigrams), df.count()
     else:
@@ -203,7 +209,7 @@ class LogFeaturizer:
 
 
 def fit_log_featurizer(df: DataFrame, max_terms: int = 5000, min_docs: int = 2,
-                       stop_words: list[str] | None = None, bigrams: bool = True) -> LogFeaturizer:
+                       stop_words: list[str] | str | None = ENGLISH, bigrams: bool = True) -> LogFeaturizer:
     base = df.withColumns({c: F.coalesce(F.col(c), F.lit("unknown")) for c in ("log_level", "module", "message")})
     text = base.withColumn("_t", full_text(F.col("log_level"), F.col("module"), F.col("message")))
     return LogFeaturizer(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomlog.functions import severity as sev
 from loomlog.functions.text import extract_or_null, parse_time
 from loomlog.operators import evaluation
-from loomlog.operators.features import fit_categories, fit_minmax, fit_tfidf, one_hot
+from loomlog.operators.features import ENGLISH, fit_categories, fit_minmax, fit_tfidf, one_hot
 from loomlog.operators.forest import ForestModel, fit_forest
 from loomlog.operators.quantiles import exact_quantiles
 from loomlog.operators.templates import mine_templates
@@ -23,7 +23,7 @@ CONTAMINATIONS = [0.20, 0.18, 0.16]
 
 
 def line_features(lines: DataFrame, line: str = "line", ids: list[str] | None = None,
-                  templates: TemplateOptions = TemplateOptions(), stop_words: list[str] | None = None,
+                  templates: TemplateOptions = TemplateOptions(), stop_words: list[str] | str | None = ENGLISH,
                   tfidf_terms: int = 20) -> DataFrame:
     """Template, severity, event type and its frequency, keyword weight, health-check usage and TF-IDF as one vector."""
     ids = ids or ["line_id"]
