@@ -89,10 +89,11 @@ def branches(messages: DataFrame, best: int | None = None) -> DataFrame:
     # a chain has at most as many messages as there are; what is still open after the last join leads into a cycle
     for _ in range(links.count().bit_length()):
         above = step.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
-        step = saved(
-            step.join(above, step.tree.eqNullSafe(F.col("t")) & (step.up == F.col("n")), "left").select(
-                "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0).cast("long"))).alias("depth"),
-                (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total")), "chat-up")
+        going = step.filter("up is not null")  # messages that have found their root are done
+        longer = going.join(above, going.tree.eqNullSafe(F.col("t")) & (going.up == F.col("n")), "left").select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0).cast("long"))).alias("depth"),
+            (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total"))
+        step = saved(step.filter("up is null").unionByName(longer), "chat-up")
         if not step.filter("up is not null").limit(1).count():
             break
     rooted = step.filter("up is null")
@@ -123,6 +124,7 @@ def _on_paths(chosen: DataFrame, rooted: DataFrame, links: DataFrame) -> DataFra
             break
         more = path.join(up, path.tree.eqNullSafe(F.col("t")) & (path.node == F.col("n"))).select("tree", "branch", F.col("up").alias("node"))
         path = saved(path.union(more), "chat-path")
+        jump = jump.filter("parent is not null")
         jump = saved(jump.join(up, jump.tree.eqNullSafe(F.col("t")) & (jump.parent == F.col("n")), "left").select(
             "tree", "node", F.col("up").alias("parent")), "chat-jump")
     depths = rooted.select(F.col("tree").alias("t"), F.col("node").alias("n"), "depth")
