@@ -281,6 +281,26 @@ def chunked_forest(members: list[int], radius: int) -> list[tuple[int, int]]:
     return found
 
 
+def stars(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The components of a forest as links of each member to the smallest one."""
+    parent = {m: m for link in found for m in link}
+    for a, b in found:
+        ra, rb = _root(parent, a), _root(parent, b)
+        parent[max(ra, rb)] = min(ra, rb)
+    return [(r, m) for m in parent if (r := _root(parent, m)) != m]
+
+
+def without_detours(pairs: DataFrame) -> DataFrame:
+    """Fewer links with the same components: what several tables link to ``b`` is linked to the smallest of it instead.
+
+    A fingerprint has at most one link to a smaller one for each table, and most of these lead to the same few smallest
+    members, so little is left but a link for each fingerprint.
+    """
+    least = pairs.withColumn("least", F.min("a").over(Window.partitionBy("b")))
+    return least.select(F.col("least").alias("a"), "b").unionByName(
+        least.filter("least <> a").select(F.col("least").alias("a"), F.col("a").alias("b"))).distinct()
+
+
 def _root(parent: dict[int, int], a: int) -> int:
     while parent[a] != a:
         parent[a] = parent[parent[a]]
@@ -323,11 +343,11 @@ def near_links(distinct: DataFrame, count: int, similarity: float) -> DataFrame:
 
 
 def _wide_pairs(rows: pd.DataFrame, starts: np.ndarray, radius: int) -> pd.DataFrame:
-    """The links inside the shards that begin at ``starts``; the last entry is where they end."""
+    """The linked groups inside the shards, as stars; the shards begin at ``starts``; the last entry is where they end."""
     words, found = rows[_COLUMNS].to_numpy(), []
     for a, b in zip(starts[:-1], starts[1:]):
         if b - a > 1:
-            found += chunked_forest([int.from_bytes(w.tobytes(), "big") for w in words[a:b]], radius)
+            found += stars(chunked_forest([int.from_bytes(w.tobytes(), "big") for w in words[a:b]], radius))
     size = WIDE // 4
     return pd.DataFrame([(f"{x:0{size}x}", f"{y:0{size}x}") for x, y in found], columns=["a", "b"], dtype="str")
 
@@ -344,7 +364,7 @@ def near_components(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 
     marked = saved(texts_of(docs).mapInPandas(compute, "doc_id long, fp string"), "fingerprints")
     distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    labels = labels_of(near_links(distinct, distinct.count(), similarity))
+    labels = labels_of(without_detours(near_links(distinct, distinct.count(), similarity)))
     return _with_smallest(marked, distinct, labels).select("doc_id", "component_id")
 
 
