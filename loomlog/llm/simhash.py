@@ -222,8 +222,8 @@ WORDS = 4
 WIDE = 64 * WORDS
 #: Share of pairs right at the similarity that a search should find.
 RECALL = 0.97
-#: Members of a shard searched at once, and those of each component found before that the next ones still meet.
-CHUNK, CARRIED = 1_000, 32
+#: Shards of more members are searched with whole arrays instead of a BK-tree.
+TREE_MEMBERS = 64
 
 _COLUMNS = [f"w{k}" for k in range(WORDS)]
 
@@ -262,22 +262,26 @@ def sampled_bits(count: int, similarity: float) -> np.ndarray:
 
 
 def chunked_forest(members: list[int], radius: int) -> list[tuple[int, int]]:
-    """As :func:`forest`, in pieces of CHUNK: a later piece meets up to CARRIED members of each component before."""
-    found: list[tuple[int, int]] = []
-    carried: list[int] = []
-    for at in range(0, len(members), CHUNK):
-        piece = carried + members[at:at + CHUNK]
-        links_here = forest(piece, radius)
-        found += links_here
-        if at + CHUNK < len(members):
-            parent = {m: m for m in piece}
-            for a, b in links_here:
-                ra, rb = _root(parent, a), _root(parent, b)
-                parent[rb] = ra
-            groups: dict[int, list[int]] = {}
-            for m in piece:
-                groups.setdefault(_root(parent, m), []).append(m)
-            carried = [m for g in groups.values() if len(g) > 1 for m in g[:CARRIED]]
+    """As :func:`forest`, for wide fingerprints and any number of them.
+
+    A component grows member by member: each one it has reached meets all that no component has yet. So all members of
+    near copies leave at once, and every pair that could join two components is compared.
+    """
+    if len(members) <= TREE_MEMBERS:
+        return forest(members, radius)
+    size = -(-max(members).bit_length() // 64) or 1  # 64-bit words
+    raw = b"".join(m.to_bytes(8 * size, "big") for m in members)
+    words = np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint64).reshape(-1, size).T)
+    found, rest, left = [], np.arange(len(members)), words
+    while len(rest):
+        reached, rest, left = [int(rest[0])], rest[1:], left[:, 1:]
+        for at in reached:  # grows
+            near = np.bitwise_count(left ^ words[:, at, None]).sum(axis=0, dtype=np.uint16) <= radius
+            if near.any():
+                new = rest[near].tolist()
+                found += [(members[at], members[n]) for n in new]
+                reached += new
+                rest, left = rest[~near], left[:, ~near]
     return found
 
 

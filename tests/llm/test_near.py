@@ -163,3 +163,18 @@ def test_empty_tables(spark):
     assert minhash.fingerprints(none).count() == 0
     one = frame(spark, [(4, "only one")])
     assert minhash.edit_likeness(one).first().near_next == 1.0
+
+
+def test_large_shards_compare_every_pair():
+    r = random.Random(8)
+    flips = lambda base, n: base ^ sum(1 << b for b in r.sample(range(256), n))
+    alone = [r.getrandbits(256) for _ in range(2_400)]  # no two of them are near
+    partners = [flips(m, 20) for m in alone[:300]]
+    members = sorted(alone + partners)
+    parent = {m: m for m in members}
+    for a, b in simhash.chunked_forest(members, 40):
+        assert (a ^ b).bit_count() <= 40
+        parent[simhash._root(parent, b)] = simhash._root(parent, a)
+    for a, b in zip(alone, partners):
+        assert simhash._root(parent, a) == simhash._root(parent, b)
+    assert len({simhash._root(parent, m) for m in members}) == 2_400
