@@ -60,6 +60,7 @@ _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 _SPELLED_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:{_DIGIT_WORD}|[0-9])(?:(?:[ ,.-]|, )?(?:{_DIGIT_WORD}|[0-9])){{3,}}+(?![A-Za-z])", re.I)
 _ONE_DIGIT = re.compile(rf"{_DIGIT_WORD}|[0-9]", re.I)
 _ANY_SPELLED = re.compile(rf"\b{_DIGIT_WORD}\b", re.I)
+_ANY_BRACKETED = re.compile(r"[\[({<] ?(?:at|dot|@|\.) ?[\])}>]", re.I)
 _BRACKETED = re.compile(r" ?[\[({<] ?(at|dot|@|\.) ?[\])}>] ?", re.I)
 #: "name at host dot org": the words only count together, the dot word right after one label.
 _WORDED = re.compile(r"(?<=[A-Za-z0-9._%+-])( at )(?=[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+)", re.I)
@@ -157,10 +158,11 @@ def plain_signs(t: Traced) -> Traced:
 
 
 def disguised(text: str) -> bool:
-    low = text.lower()
+    """Whether a transducer would rewrite anything."""
     return bool(
         (not text.isascii() and _ALIKE.search(text))
-        or (any(s in low for s in ("at)", "at]", "at}", "at>", "at ", "@ ")) and (" dot " in low or _BRACKETED.search(text)))
+        or _ANY_BRACKETED.search(text)
+        or (" dot " in text.lower() and (_WORDED.search(text) or _DOT_CHAIN.search(text)))
         or (_ANY_SPELLED.search(text) and any(_ANY_SPELLED.search(m[0]) for m in _SPELLED_RUN.finditer(text))))
 
 

@@ -144,6 +144,18 @@ def test_disguises_are_found(text, kind, covered):
     assert pii.mask_text(text) == text.replace(covered, f"<{kind}>")
 
 
+@pytest.mark.parametrize("text, kind, covered", [
+    ("mail jane@example[dot]com now", "email", "jane@example[dot]com"),
+    ("jane@example dot com", "email", "jane@example dot com"),
+    ("jane[@]example.com", "email", "jane[@]example.com"),
+    ("host 10[.]20[.]30[.]40", "ip", "10[.]20[.]30[.]40"),
+    ("JANE@EXAMPLE DOT COM", "email", "JANE@EXAMPLE DOT COM"),
+])
+def test_disguises_stand_on_their_own(text, kind, covered):
+    assert [text[a:b] for a, b in pii.all_spans(text)[1][kind]] == [covered]
+    assert pii.mask_text(text) == text.replace(covered, f"<{kind}>")
+
+
 @pytest.mark.parametrize("text", ["", "we met at ten. dot the i", "one two three four five", "look at this dot", "<at> . dot", "ÉÀÜß ñ at a dot", "(at) (dot)"])
 def test_plain_text_is_left_alone(text):
     assert pii.all_spans(text)[1] == {k: [] for k in pii.KINDS}
