@@ -11,7 +11,8 @@ and the forests are merged by label propagation with pointer jumping over links
 
 :func:`near_components` finds near copies by a similarity of five-word shingles instead. That takes more differing bits than
 blocks can bridge, so it uses wider fingerprints and shards keyed by random bits, several tables of them; each shard is
-again searched as a BK-tree.
+again searched as a BK-tree, or with whole arrays if it is large. What they find are candidates: a link between two texts
+is taken only if their exact sets of shingles are similar enough.
 
 Nulls: a null text is empty and gets the fingerprint zero, which links like any other; a null doc_id takes part, but
 is never a group's smallest id while there is another. Repeated rows stay apart and share a component. Extra columns are
@@ -356,11 +357,123 @@ def _wide_pairs(rows: pd.DataFrame, starts: np.ndarray, radius: int) -> pd.DataF
     return pd.DataFrame([(f"{x:0{size}x}", f"{y:0{size}x}") for x, y in found], columns=["a", "b"], dtype="str")
 
 
+# Links between near copies are taken on the shingles themselves.
+
+#: A group of candidates is settled in one task up to so many members and shingles; a larger one is dealt into parts.
+GROUP, GROUP_SHINGLES = 200, 2_000_000
+#: Members of a large group that all others meet in the first round, and how many times as many in each further round.
+PIVOTS, GROWTH = 4, 16
+
+
+def shingle_set(text: str) -> np.ndarray:
+    """The distinct hashes of the five-word shingles, in order."""
+    return np.unique(shingle_hashes(text).view(np.int64))
+
+
+def alike(one: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each of ``others`` (sets like ``one``) whether its Jaccard similarity to ``one`` is at least this."""
+    sizes = np.array([len(x) for x in others], dtype=np.int64)
+    out, fit = np.zeros(len(others), dtype=bool), np.flatnonzero(np.minimum(sizes, len(one)) >= similarity * np.maximum(sizes, len(one)) - 1e-9)
+    if len(fit) and len(one):
+        flat, owner = np.concatenate([others[k] for k in fit]), np.repeat(np.arange(len(fit)), sizes[fit])
+        at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+        common = np.bincount(owner[one[at] == flat], minlength=len(fit))
+        out[fit] = common >= similarity * (len(one) + sizes[fit] - common) - 1e-9
+    return out
+
+
+def settled(fps: list[str], sets: list[np.ndarray], similarity: float) -> list[tuple[str, str]]:
+    """fp and label (the smallest fp) of all, where equal labels mark what is connected by pairs of this similarity."""
+    out, rest = [], list(range(len(fps)))
+    while rest:
+        reached, rest = [rest[0]], rest[1:]
+        for at in reached:  # grows
+            if not rest:
+                break
+            near = alike(sets[at], [sets[n] for n in rest], similarity)
+            reached += [n for n, yes in zip(rest, near) if yes]
+            rest = [n for n, yes in zip(rest, near) if not yes]
+        label = min(fps[n] for n in reached)
+        out += [(fps[n], label) for n in reached]
+    return out
+
+
+def _settled_large(members: DataFrame, similarity: float) -> DataFrame:
+    """fp, label as by :func:`settled` for large groups; ``members`` has fp, label, shingles and the group's n and total.
+
+    A member's place among the n is drawn from its fingerprint. In each round the members of the next places, the pivots,
+    meet all that come after them and are not connected to them, in parts of a group. Rounds go on until all pairs have
+    met or each group is connected.
+    """
+    def meet(pivots: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if not len(pivots) or not len(others):
+            return pd.DataFrame({"a": [], "b": []}, dtype="str")
+        parent = {x: x for x in [*pivots.exact, *others.exact]}
+        found, sets, names, fps = [], others.shingles.tolist(), others.exact.tolist(), others.fp.tolist()
+        for fp, name, shingles in zip(pivots.fp, pivots.exact, pivots.shingles):
+            own = _root(parent, name)
+            apart = [k for k, x in enumerate(names) if _root(parent, x) != own]
+            for k, yes in zip(apart, alike(shingles, [sets[k] for k in apart], similarity) if apart else ()):
+                if yes and (other := _root(parent, names[k])) != (own := _root(parent, own)):
+                    parent[other] = own
+                    found.append((fp, fps[k]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="str")
+
+    members = saved(members.select(
+        "fp", "label", "shingles", (F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("n")).alias("place"),
+        F.ceil(F.greatest(F.col("n") / GROUP, F.col("total") / GROUP_SHINGLES)).cast("int").alias("parts"),
+        F.pmod(F.xxhash64(F.reverse("fp")), F.lit(1 << 30)).alias("draw")), "members")
+    most = members.agg(F.max("place")).first()[0]
+    exact = members.select("fp", F.col("fp").alias("exact"))
+    pairs, low, high = None, 0, PIVOTS
+    while low <= most:
+        now = members.join(exact, "fp")
+        still = now.groupBy("label").agg(F.min("exact").alias("x"), F.max("exact").alias("y")).filter("x <> y").select("label")
+        now = now.join(still, "label", "left_semi").filter(F.col("place") >= low).select("fp", "label", "shingles", "exact", "place", "parts", "draw")
+        part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        # Both sides of a cogroup come from one table: the names of one are made anew.
+        pivots = now.filter(F.col("place") < high).select(*[F.col(c).alias(c) for c in ("fp", "label", "shingles", "exact")], part)
+        others = now.select("fp", "label", "shingles", "exact", F.pmod("draw", "parts").cast("int").alias("part"))
+        found = pivots.groupBy("label", "part").cogroup(others.groupBy("label", "part")).applyInPandas(meet, "a string, b string")
+        found = saved(found if pairs is None else found.unionByName(pairs), "alike")
+        pairs, labels = found, labels_of(found)
+        exact = saved(members.select("fp").join(labels.withColumnRenamed("label", "exact"), "fp", "left").select(
+            "fp", F.coalesce("exact", "fp").alias("exact")), "exact")
+        low, high = high, high * GROWTH
+    return exact.select("fp", F.col("exact").alias("label"))
+
+
+def alike_labels(docs: DataFrame, candidates: DataFrame, similarity: float) -> DataFrame:
+    """fp, label: ``candidates`` (fp, first, label) parted into what is connected by pairs of texts of this similarity."""
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 200):
+                texts = b.text[at:at + 200].tolist()
+                yield pd.DataFrame({"fp": [wide_fingerprint(t).tobytes().hex() for t in texts], "shingles": [shingle_set(t) for t in texts]})
+
+    def settle(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("fp")
+        return pd.DataFrame(settled(group.fp.tolist(), group.shingles.tolist(), similarity), columns=["fp", "label"], dtype="str")
+
+    wanted = candidates.select(F.col("first").alias("id")).distinct()
+    texts = texts_of(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    # A repeated doc_id brings other texts too; those without a candidate's fingerprint go with the join.
+    found = texts.mapInPandas(sets, "fp string, shingles array<long>").join(candidates.select("fp", "label"), "fp")
+    members = saved(found.groupBy("fp", "label").agg(F.min("shingles").alias("shingles")), "shingles")
+    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("total"))
+    large = saved(sizes.filter((F.col("n") > GROUP) | (F.col("total") > GROUP_SHINGLES)), "large")
+    out = members.join(large, "label", "left_anti").groupBy("label").applyInPandas(settle, "fp string, label string")
+    if large.limit(1).count():
+        out = out.unionByName(_settled_large(members.join(large, "label"), similarity))
+    return out
+
+
 def near_components(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id and component_id of every row: texts whose wide fingerprints speak for this Jaccard similarity are linked.
+    """doc_id and component_id of every row: texts are linked whose five-word shingles have this Jaccard similarity.
 
-    Equal fingerprints always link. Others are searched in the shards of several tables, each keyed by some of the bits;
-    more texts take more bits and tables, so that a shard stays small and the chance to find a pair stays the same.
+    Wide fingerprints only find candidates: they are searched in the shards of several tables, each keyed by some of the
+    bits; more texts take more bits and tables, so that a shard stays small and the chance to find a pair stays the same.
+    Within what the candidates connect, each link is then taken on the exact sets of shingles. Equal fingerprints always link.
     """
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -368,8 +481,9 @@ def near_components(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 
     marked = saved(texts_of(docs).mapInPandas(compute, "doc_id long, fp string"), "fingerprints")
     distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    labels = labels_of(without_detours(near_links(distinct, distinct.count(), similarity)))
-    return _with_smallest(marked, distinct, labels).select("doc_id", "component_id")
+    loose = labels_of(without_detours(near_links(distinct, distinct.count(), similarity)))
+    candidates = saved(distinct.join(loose, "fp"), "candidates")
+    return _with_smallest(marked, distinct, saved(alike_labels(docs, candidates, similarity), "alike")).select("doc_id", "component_id")
 
 
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:

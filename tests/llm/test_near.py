@@ -178,3 +178,44 @@ def test_large_shards_compare_every_pair():
     for a, b in zip(alone, partners):
         assert simhash._root(parent, a) == simhash._root(parent, b)
     assert len({simhash._root(parent, m) for m in members}) == 2_400
+
+
+def shingles(text):
+    w = text.split()
+    return set(zip(*[w[k:] for k in range(5)]))
+
+
+def test_texts_less_alike_than_asked_stay(spark, monkeypatch):
+    r, rows = random.Random(12), []
+    for g in range(6):  # a shared template with other content: 0.65 to 0.78 alike, many within the radius
+        base = words(300, 2000 + g)
+        for c in range(8):
+            copy = list(base)
+            for k in r.sample(range(58), 7 if g % 2 else 10):
+                copy[5 * k] = f"own{g}x{c}x{k}"
+            rows.append((len(rows), " ".join(copy)))
+        copy = list(base)
+        for n in range(4):  # a chain of near copies
+            copy[7 + 60 * n] = f"step{n}"
+            rows.append((len(rows), " ".join(copy)))
+    sets = [shingles(t) for _, t in rows]
+    exact = brute_components(rows, lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
+    ints = [int(simhash.wide_fingerprint(t).tobytes().hex(), 16) for _, t in rows]
+    radius = simhash.wide_radius(0.8)
+    near = brute_components(rows, lambda x, y: (ints[x] ^ ints[y]).bit_count() <= radius)
+    assert len(set(near)) < len(set(exact))
+    for group in (200, 3):
+        monkeypatch.setattr(simhash, "GROUP", group)
+        monkeypatch.setattr(simhash, "PIVOTS", 1)
+        monkeypatch.setattr(simhash, "GROWTH", 3)
+        got = {x.doc_id: x.component_id for x in simhash.near_components(frame(spark, rows)).collect()}
+        for i, c in got.items():
+            assert exact[i] == exact[c]  # nothing less alike is joined
+        assert [got[i] for i, _ in rows] == exact
+
+
+def test_alike_is_exact_at_the_limit():
+    one = np.arange(10)
+    others = [np.arange(8), np.arange(7), np.arange(1, 11), np.arange(2, 12), np.arange(0), one]
+    assert simhash.alike(one, others, 0.8).tolist() == [True, False, True, False, False, True]
+    assert simhash.alike(np.arange(0), [one], 0.8).tolist() == [False]
