@@ -87,7 +87,7 @@ def _flows(spark, d):
 def flow_iforest(spark, d):
     """Forest on normal flows only; scores every flow and evaluates against the labels."""
     flows = _flows(spark, d)
-    model = training.train_flow_model(flows, "ctu", ["id"], trees=50)
+    model = training.train_flow_model(flows, "ctu", ["id"])
     return training.evaluate_flow_model(model, flows)[1]
 
 
@@ -95,26 +95,26 @@ def flow_iforest(spark, d):
 def logreg_anomaly(spark, d):
     """Class-balanced logistic regression with a tuned threshold, reported on the held-out quarter."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
-    return training.train_log_model(logs, kind="supervised", max_terms=200)[1]
+    return training.train_log_model(logs, kind="supervised")[1]
 
 
 @query("forest_on_logs")
 def forest_on_logs(spark, d):
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
-    return training.train_log_model(logs, max_terms=100, forest=ForestOptions(trees=50, contamination=0.15))[1]
+    return training.train_log_model(logs)[1]
 
 
 @query("leave_one_out")
 def leave_one_out(spark, d):
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message", F.concat(F.lit("set"), (F.col("line_id") % 3).cast("string")).alias("source_file"))
-    return training.leave_one_out(logs, contaminations=[0.05, 0.2], trees=25, max_terms=50)
+    return training.leave_one_out(logs)
 
 
 @query("evaluate_by_source")
 def evaluate_by_source(spark, d):
     """Train on everything, then per-source accuracy, f1 and counts from one scoring pass."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message", F.concat(F.lit("set"), (F.col("line_id") % 3).cast("string")).alias("source_file"))
-    model, _ = training.train_log_model(logs, test=logs, forest=ForestOptions(trees=25, contamination=0.2), max_terms=50)
+    model, _ = training.train_log_model(logs, test=logs, forest=ForestOptions(trees=200, contamination=0.2))
     return training.evaluate_by_source(model, logs)
 
 
@@ -123,7 +123,7 @@ def saved_model_scores(spark, d):
     """Train, save, load and score: ANOMALY / NORMAL counts."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
     path = fresh_path(spark, "model")
-    training.train_all_and_save(spark, logs, path, max_terms=50)
+    training.train_all_and_save(spark, logs, path)
     scored = training.score_logs(training.LogModel.load(spark, path), logs)
     return scored.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
@@ -131,7 +131,7 @@ def saved_model_scores(spark, d):
 @query("line_anomalies")
 def line_anomalies(spark, d):
     """The whole per-line run; rows by severity, event type and verdict."""
-    run = unsupervised.detect_line_anomalies(view(spark, d, "app_log").select("line_id", "line"), forest=ForestOptions(trees=50))
+    run = unsupervised.detect_line_anomalies(view(spark, d, "app_log").select("line_id", "line"))
     return run.scored.groupBy("severity", "event_type", "is_anomaly", "benign").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -190,7 +190,7 @@ def stream_parse_tag(spark, d):
 def stream_score(spark, d):
     """Score a stream of log rows with a model fitted on the table."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
-    model, _ = training.train_log_model(logs, test=logs, forest=ForestOptions(trees=25, contamination=0.2), max_terms=50)
+    model, _ = training.train_log_model(logs, test=logs, forest=ForestOptions(trees=200, contamination=0.2))
     stream = _stream_view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
     out = streaming.score(stream, model).select("line_id", "pred")
     return streaming.run_available(out, "scored").groupBy("pred").agg(F.count(F.lit(1)).alias("n"))

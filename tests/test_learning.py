@@ -169,3 +169,41 @@ def test_window_run_and_saved_templates(spark, tmp_path):
     unsupervised.save_template_model(spark, model, ["a", "b", "c"], str(tmp_path / "t"))
     new = counts.unionByName(spark.createDataFrame([(99, "unseen", 3)], "w long, template string, n long"))
     assert unsupervised.score_with_saved(spark, new, "template", ["w"], str(tmp_path / "t")).count() == 61
+
+
+@pytest.mark.parametrize("name, trees", [
+    ("logreg_anomaly", None), ("forest_on_logs", 200), ("leave_one_out", 100), ("evaluate_by_source", 200), ("saved_model_scores", 200),
+    ("stream_score", 200), ("flow_iforest", 100), ("line_anomalies", 100),
+])
+def test_registered_queries_learn_at_full_size(spark, monkeypatch, name, trees):
+    from loomlog.catalog import QUERIES
+
+    class Stop(Exception):
+        pass
+
+    def stop(*args, opts=None, **kwargs):
+        seen["trees"] = opts.trees if opts else None
+        raise Stop
+
+    def featurizer(df, max_terms=5000, min_docs=2, **options):
+        seen["terms"] = (max_terms, min_docs)
+        return real(df, max_terms, min_docs, **options)
+
+    def cuts(model, x, contaminations):
+        seen["cuts"] = contaminations
+        raise Stop
+
+    seen, real = {}, training.fit_log_featurizer
+    monkeypatch.setattr(training, "fit_log_featurizer", featurizer)
+    monkeypatch.setattr(training, "fit_logistic", stop)
+    monkeypatch.setattr(unsupervised, "fit_forest", stop)
+    if name == "leave_one_out":
+        monkeypatch.setattr(training, "fit_forest", lambda *args, opts=None, **kwargs: seen.update(trees=opts.trees))
+        monkeypatch.setattr(training, "offsets_for", cuts)
+    else:
+        monkeypatch.setattr(training, "fit_forest", stop)
+    with pytest.raises(Stop):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen["trees"] == trees
+    assert seen.get("terms", (5000, 2)) == (5000, 2)
+    assert seen.get("cuts", training.CONTAMINATIONS) == training.CONTAMINATIONS
