@@ -67,3 +67,62 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
  NOT base_failed AND NOT ({" OR ".join(f"coalesce({r} > (SELECT most FROM cut WHERE cut.stratum = m.stratum AND cut.rule = '{r}'), false)" for r in RULES)}) AS kept
 FROM m
 """
+
+
+def _crc32(text: str) -> str:
+    """The checksum of an ASCII text; ``crc.t`` is the table of the 256 bytes' remainders."""
+    return (f"xor(4294967295, list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS bigint)), "
+            "lambda c, b: xor(c >> 8, crc.t[CAST(xor(c, b) & 255 AS int) + 1]), CAST(4294967295 AS bigint)))")
+
+
+_CRC = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS bigint), c >> 1) ELSE c >> 1 END, i)) AS t)"""
+
+
+def _paid(state: str, cost: str, letter: str) -> str:
+    """A path (six digits of cost, then letters) with one edit more; null if there is no path."""
+    return f"lpad(CAST(CAST(substr({state}, 1, 6) AS int) + {cost} AS varchar), 6, '0') || substr({state}, 7) || '{letter}'"
+
+
+def _taken(state: str, initial: str) -> str:
+    kept = f"CASE WHEN x.c = '{initial}' AND NOT x.gone THEN {_paid(state, 'x.more', 'K')} END"
+    return kept if initial == "s" else f"{kept}, CASE WHEN NOT x.gone THEN {_paid(state, 'x.more + 1', 'R')} END"
+
+
+# Insertions are left out: one costs more than deleting a neighbour and, if that leaves it alone, the system turn.
+STRUCTURE = rf"""
+WITH RECURSIVE {_CRC},
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role0, coalesce(text, ' ') AS text0,
+  {_crc32("coalesce(CAST(conv_id AS varchar), ' ') || ':' || coalesce(CAST(turn AS varchar), ' ')")} % 20 AS kind FROM conversations, crc),
+d AS (SELECT conv_id, turn, role0, text0, copy, CASE WHEN kind = 4 THEN 'user' ELSE role0 END AS role,
+  CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text0, '[.!?]', '', 'g') ELSE text0 END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k)),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role0, text0, copy) AS place,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, role0, text0, copy) AS nth FROM d),
+f AS (SELECT *, substr(role, 1, 1) AS c, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+  WHEN regexp_matches(text, '[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+  lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM n),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (place > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal,
+  list({{'c': c, 'gone': fault IN ('blank', 'duplicate'), 'more': CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END,
+    'o': CAST(NULL AS varchar), 's': CAST(NULL AS varchar), 'u': CAST(NULL AS varchar), 'a': CAST(NULL AS varchar)}} ORDER BY place) AS edits FROM f GROUP BY conv_id),
+p AS (SELECT *, list_reduce(edits, lambda y, x: {{'c': x.c, 'gone': x.gone, 'more': x.more,
+    'o': {_paid('y.o', '2', 'D')},
+    's': least({_paid('y.s', '2', 'D')}, {_taken('y.o', 's')}),
+    'u': least({_paid('y.u', '2', 'D')}, {_taken('y.o', 'u')}, {_taken('y.s', 'u')}, {_taken('y.a', 'u')}),
+    'a': least({_paid('y.a', '2', 'D')}, {_taken('y.u', 'a')})}},
+  {{'c': '', 'gone': false, 'more': 0, 'o': '000000', 's': CAST(NULL AS varchar), 'u': CAST(NULL AS varchar), 'a': CAST(NULL AS varchar)}}) AS e FROM g),
+b AS (SELECT *, least(e.o, e.a) AS path FROM p),
+w AS (SELECT f.*, substr(path, 6 + CAST(place AS int), 1) AS letter FROM f JOIN b ON f.conv_id IS NOT DISTINCT FROM b.conv_id),
+v AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS nth_left, first(c) OVER (PARTITION BY conv_id ORDER BY place) AS first_c,
+  first(letter) OVER (PARTITION BY conv_id ORDER BY place) AS first_letter FROM w WHERE letter <> 'D'),
+r AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role
+  WHEN (nth_left - CASE WHEN first_letter = 'K' AND first_c = 's' THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+  chr(10) ORDER BY place)) AS digest FROM v GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+ coalesce(illegal, 0) AS illegal, CAST(coalesce(substr(path, 1, 6), '0') AS bigint) AS cost, coalesce(substr(path, 7), '') AS audit,
+ coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN b ON i.conv_id IS NOT DISTINCT FROM b.conv_id
+ LEFT JOIN r ON i.conv_id IS NOT DISTINCT FROM r.conv_id
+"""

@@ -5,11 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlog.llm.checks import CHAT, QUALITY
+from loomlog.llm.checks import CHAT, QUALITY, STRUCTURE
 from loomlog.llm.common import table
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT}
+SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT, "op13_structure": STRUCTURE}
 
 
 def query(fn):
@@ -96,3 +96,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score and prediction of every document."""
     from loomlog.llm.classifier import scored
     return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its digest of every conversation after faults were planted."""
+    from loomlog.llm.structure import damaged, structure_report
+    return structure_report(damaged(table(spark, sf_dir, "conversations")))
