@@ -126,3 +126,24 @@ SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN b ON i.conv_id IS NOT DISTINCT FROM b.conv_id
  LEFT JOIN r ON i.conv_id IS NOT DISTINCT FROM r.conv_id
 """
+
+
+TRIE = rf"""
+WITH {_CRC},
+t AS (SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(t ORDER BY turn NULLS FIRST, t.role, t.text) AS own FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, own, CAST({_crc32("CAST(conv_id AS varchar)")} % 4 AS int) AS h FROM o, crc),
+s AS (SELECT a.conv_id, list_concat(coalesce(list_slice(b.own, 1, a.h), []), list_slice(a.own, a.h + 1, len(a.own))) AS seq
+  FROM h a LEFT JOIN o b ON b.conv_id = a.conv_id - ((a.conv_id % 20) + 20) % 20),
+m AS (SELECT conv_id, d, list_slice(seq, 1, d) AS node, list_slice(seq, 1, d - 1) AS up, len(seq) = d AS ends, seq[d].text AS said
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM s)),
+n AS (SELECT d, node, min(conv_id) AS conv_id, first(up) AS up, count(*) AS n_convs, string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (ends) AS ids,
+  coalesce(len(regexp_extract_all(first(said), '[^\x20\x09-\x0D]+')), 0) AS words FROM m GROUP BY d, node),
+c AS (SELECT d - 1 AS d, up AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+k AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM n LEFT JOIN c ON n.d = c.d AND n.node = c.node),
+u AS (SELECT unnest(range(0, d + 1)) AS d, node, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * words AS spare FROM k),
+a AS (SELECT d, list_slice(node, 1, d) AS node, sum(leaf) AS n_leaves, sum(spare) AS saved_tokens FROM u GROUP BY 1, 2)
+SELECT k.conv_id, k.d AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, CAST(a.n_leaves AS bigint) AS n_leaves,
+ CAST(a.saved_tokens AS bigint) AS saved_tokens, sha256(coalesce(k.ids, '')) AS ends_sha256
+FROM k JOIN a ON k.d = a.d AND k.node = a.node LEFT JOIN n p ON p.d = k.d - 1 AND p.node = k.up
+"""

@@ -5,11 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlog.llm.checks import CHAT, QUALITY, STRUCTURE
+from loomlog.llm.checks import CHAT, QUALITY, STRUCTURE, TRIE
 from loomlog.llm.common import table
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT, "op13_structure": STRUCTURE}
+SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT, "op11_trie": TRIE, "op13_structure": STRUCTURE}
 
 
 def query(fn):
@@ -103,3 +103,10 @@ def op13_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and its digest of every conversation after faults were planted."""
     from loomlog.llm.structure import damaged, structure_report
     return structure_report(damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of conversations that share heads."""
+    from loomlog.llm.trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
