@@ -147,3 +147,20 @@ SELECT k.conv_id, k.d AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_chil
  CAST(a.saved_tokens AS bigint) AS saved_tokens, sha256(coalesce(k.ids, '')) AS ends_sha256
 FROM k JOIN a ON k.d = a.d AND k.node = a.node LEFT JOIN n p ON p.d = k.d - 1 AND p.node = k.up
 """
+
+
+SET_JOIN = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' ')) END)) AS s FROM w),
+k AS (SELECT *, len(s) AS n, sha256(array_to_string(s, chr(10))) AS k FROM s),
+u AS (SELECT k, min(doc_id) AS least, first(n) AS n, first(s) AS s FROM k WHERE n > 0 GROUP BY k),
+t AS (SELECT k, n, unnest(s) AS t FROM u),
+p AS (SELECT a.k AS a, b.k AS b FROM t a JOIN t b ON a.t = b.t AND a.k < b.k AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+c AS (SELECT k AS a, k AS b FROM u UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+m AS (SELECT c.a AS k, min(u.least) AS component FROM c JOIN u ON c.b = u.k GROUP BY c.a)
+SELECT doc_id, CAST(n AS bigint) AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE component END AS component_id FROM k LEFT JOIN m USING (k)
+"""

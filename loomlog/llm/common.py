@@ -31,6 +31,11 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` (a few numbers a row), marked for broadcasting if it is counted to have no more rows than this."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]

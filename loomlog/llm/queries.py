@@ -5,11 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlog.llm.checks import CHAT, QUALITY, STRUCTURE, TRIE
+from loomlog.llm.checks import CHAT, QUALITY, SET_JOIN, STRUCTURE, TRIE
 from loomlog.llm.common import table
 
 QUERIES: dict = {}
-SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT, "op11_trie": TRIE, "op13_structure": STRUCTURE}
+SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_chat": CHAT, "op11_trie": TRIE, "op12_set_join": SET_JOIN, "op13_structure": STRUCTURE}
 
 
 def query(fn):
@@ -110,3 +110,10 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of conversations that share heads."""
     from loomlog.llm.trie import conversation_trie
     return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of shingles and its component by Jaccard similarity."""
+    from loomlog.llm.set_join import linked_components
+    return linked_components(table(spark, sf_dir, "documents"))
