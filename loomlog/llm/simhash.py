@@ -9,11 +9,6 @@ more than ``shard_limit`` fingerprints is split in turn: among its members the o
 they fall into shards by blocks of those bits, and so on. Each tree yields a spanning forest of its links, never all pairs,
 and the forests are merged by label propagation with pointer jumping over links between distinct fingerprints only.
 
-:func:`near_components` finds near copies by a similarity of five-word shingles instead. That takes more differing bits than
-blocks can bridge, so it uses wider fingerprints and shards keyed by random bits, several tables of them; each shard is
-again searched as a BK-tree, or with whole arrays if it is large. What they find are candidates: a link between two texts
-is taken only if their exact sets of shingles are similar enough.
-
 Nulls: a null text is empty and gets the fingerprint zero, which links like any other; a null doc_id takes part, but
 is never a group's smallest id while there is another. Repeated rows stay apart and share a component. Extra columns are
 ignored by :func:`components` and carried along by :func:`first_of_each`. Empty table: no rows.
@@ -21,7 +16,6 @@ ignored by :func:`components` and carried along by :func:`first_of_each`. Empty
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +24,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.llm.common import saved, texts_of
-from loomlog.llm.minhash import shingle_hashes
 
 BITS = 64
 #: A shard with more fingerprints is split by further blocks.
@@ -174,14 +167,14 @@ def _pairs(found: list[tuple[int, int]]) -> pd.DataFrame:
     return pd.DataFrame([(_signed(a), _signed(b)) for a, b in found], columns=["a", "b"]).astype("int64")
 
 
-def labels_of(pairs: DataFrame, rounds: int = 60) -> DataFrame:
+def labels_of(pairs: DataFrame) -> DataFrame:
     """fp, label for every fingerprint in ``pairs``; equal labels mark what is connected.
 
     Every node takes the smallest label around it, then the label of its label, so long chains shrink fast.
     """
     edges = saved(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = saved(edges.groupBy(F.col("a").alias("fp")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    for _ in range(rounds):
+    while True:  # labels only shrink, and each round halves what a chain has left
         near = edges.join(labels, edges.b == labels.fp).groupBy("a").agg(F.min("label").alias("near"))
         closer = labels.join(near, labels.fp == near.a, "left").select("fp", "label", F.least("label", "near").alias("new"))
         hop = labels.select(F.col("fp").alias("via"), F.col("label").alias("far"))
@@ -191,7 +184,6 @@ def labels_of(pairs: DataFrame, rounds: int = 60) -> DataFrame:
         labels = stepped.select("fp", F.col("new").alias("label"))
         if not changed:
             return labels
-    raise RuntimeError("labels still change")
 
 
 def components(docs: DataFrame, shingle: int = 3, radius: int = 2, shard_limit: int = SHARD_LIMIT) -> DataFrame:
@@ -216,276 +208,6 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Wide fingerprints: groups by similarity of five-word shingles.
-
-#: 64-bit words of a wide fingerprint; with WIDE bits the share of differing bits has a standard deviation near 2 %.
-WORDS = 4
-WIDE = 64 * WORDS
-#: Share of pairs right at the similarity that a search should find.
-RECALL = 0.97
-#: Shards of more members are searched with whole arrays instead of a BK-tree.
-TREE_MEMBERS = 64
-
-_COLUMNS = [f"w{k}" for k in range(WORDS)]
-
-
-def wide_fingerprint(text: str) -> np.ndarray:
-    """WORDS longs: the SimHash of the five-word shingles' hashes, mixed anew for each word; 0 without words."""
-    hashes = np.unique(shingle_hashes(text))  # a set: a repeated shingle must not outweigh the others
-    if not len(hashes):
-        return np.zeros(WORDS, dtype=np.int64)
-    out = []
-    for k in range(WORDS):
-        mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        total = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(mixed), 4096):
-            bits = np.unpackbits(mixed[at:at + 4096].view(np.uint8).reshape(-1, 8), axis=1)
-            total += bits.sum(axis=0, dtype=np.uint16 if len(bits) < 65536 else np.int64)
-        out.append(np.packbits(2 * total > len(mixed)).view(np.int64)[0])
-    return np.array(out, dtype=np.int64)
-
-
-def wide_radius(similarity: float) -> int:
-    """Differing bits of texts with this Jaccard similarity, and one and a half standard deviations more."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(WIDE * share + 1.5 * math.sqrt(WIDE * share * (1 - share)))
-
-
-def sampled_bits(count: int, similarity: float) -> np.ndarray:
-    """The bits each shard table is keyed by: as many bits as give ``count`` texts keys of their own, in as many tables as
-    make texts of this similarity meet in one of them with chance RECALL."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    width = max(12, math.ceil(math.log2(max(2, count))))
-    tables = math.ceil(-math.log(1 - RECALL) / (1 - share) ** width)
-    return np.stack([np.random.default_rng(t).permutation(WIDE)[:width] for t in range(tables)])
-
-
-def chunked_forest(members: list[int], radius: int) -> list[tuple[int, int]]:
-    """As :func:`forest`, for wide fingerprints and any number of them.
-
-    A component grows member by member: each one it has reached meets all that no component has yet. So all members of
-    near copies leave at once, and every pair that could join two components is compared.
-    """
-    if len(members) <= TREE_MEMBERS:
-        return forest(members, radius)
-    size = -(-max(members).bit_length() // 64) or 1  # 64-bit words
-    raw = b"".join(m.to_bytes(8 * size, "big") for m in members)
-    words = np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint64).reshape(-1, size).T)
-    found, rest, left = [], np.arange(len(members)), words
-    while len(rest):
-        reached, rest, left = [int(rest[0])], rest[1:], left[:, 1:]
-        for at in reached:  # grows
-            near = np.bitwise_count(left ^ words[:, at, None]).sum(axis=0, dtype=np.uint16) <= radius
-            if near.any():
-                new = rest[near].tolist()
-                found += [(members[at], members[n]) for n in new]
-                reached += new
-                rest, left = rest[~near], left[:, ~near]
-    return found
-
-
-def stars(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The components of a forest as links of each member to the smallest one."""
-    parent = {m: m for link in found for m in link}
-    for a, b in found:
-        ra, rb = _root(parent, a), _root(parent, b)
-        parent[max(ra, rb)] = min(ra, rb)
-    return [(r, m) for m in parent if (r := _root(parent, m)) != m]
-
-
-def without_detours(pairs: DataFrame) -> DataFrame:
-    """Fewer links with the same components: what several tables link to ``b`` is linked to the smallest of it instead.
-
-    A fingerprint has at most one link to a smaller one for each table, and most of these lead to the same few smallest
-    members, so little is left but a link for each fingerprint.
-    """
-    least = pairs.withColumn("least", F.min("a").over(Window.partitionBy("b")))
-    return least.select(F.col("least").alias("a"), "b").unionByName(
-        least.filter("least <> a").select(F.col("least").alias("a"), F.col("a").alias("b"))).distinct()
-
-
-def _root(parent: dict[int, int], a: int) -> int:
-    while parent[a] != a:
-        parent[a] = parent[parent[a]]
-        a = parent[a]
-    return a
-
-
-def near_links(distinct: DataFrame, count: int, similarity: float) -> DataFrame:
-    """a, b: linked wide fingerprints (hex); ``distinct`` has ``count`` of them as ``fp``."""
-    tables, radius = sampled_bits(count, similarity), wide_radius(similarity)
-    powers = 1 << np.arange(tables.shape[1], dtype=np.int64)
-
-    def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for at in range(0, len(b), 1_000):
-                fps = b.fp[at:at + 1_000].tolist()
-                raw = np.frombuffer(bytes.fromhex("".join(fps)), dtype=np.uint8).reshape(-1, WIDE // 8)
-                bits, words = np.unpackbits(raw, axis=1), np.ascontiguousarray(raw).view(np.int64)
-                keys = np.stack([bits[:, t].astype(np.int64) @ powers for t in tables])
-                yield pd.DataFrame({
-                    "shard": np.repeat(np.arange(len(tables), dtype=np.int32), len(fps)), "key": keys.ravel(),
-                    **{c: np.tile(words[:, k], len(tables)) for k, c in enumerate(_COLUMNS)}})
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left = None  # the last shard of the batch before, which may go on
-        for b in batches:
-            b = b if left is None else pd.concat([left, b])
-            marks = (b["shard"].to_numpy() * np.int64(1 << 40)) + b["key"].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(b) else np.array([], dtype=int)
-            if not len(starts):
-                continue
-            left = b.iloc[starts[-1]:]
-            yield _wide_pairs(b, starts, radius)
-        if left is not None:
-            yield _wide_pairs(left, np.array([0, len(left)]), radius)
-
-    columns = ", ".join(f"{c} long" for c in _COLUMNS)
-    rows = distinct.select("fp").mapInPandas(shard, f"shard int, key long, {columns}")
-    return rows.repartition("shard", "key").sortWithinPartitions("shard", "key", *_COLUMNS).mapInPandas(search, "a string, b string")
-
-
-def _wide_pairs(rows: pd.DataFrame, starts: np.ndarray, radius: int) -> pd.DataFrame:
-    """The linked groups inside the shards, as stars; the shards begin at ``starts``; the last entry is where they end."""
-    words, found = rows[_COLUMNS].to_numpy(), []
-    for a, b in zip(starts[:-1], starts[1:]):
-        if b - a > 1:
-            found += stars(chunked_forest([int.from_bytes(w.tobytes(), "big") for w in words[a:b]], radius))
-    size = WIDE // 4
-    return pd.DataFrame([(f"{x:0{size}x}", f"{y:0{size}x}") for x, y in found], columns=["a", "b"], dtype="str")
-
-
-# Links between near copies are taken on the shingles themselves.
-
-#: A group of candidates is settled in one task up to so many members and shingles; a larger one is dealt into parts.
-GROUP, GROUP_SHINGLES = 200, 2_000_000
-#: Members of a large group that all others meet in the first round, and how many times as many in each further round.
-PIVOTS, GROWTH = 4, 16
-
-
-def shingle_set(text: str) -> np.ndarray:
-    """The distinct hashes of the five-word shingles, in order."""
-    return np.unique(shingle_hashes(text).view(np.int64))
-
-
-def alike(one: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
-    """For each of ``others`` (sets like ``one``) whether its Jaccard similarity to ``one`` is at least this."""
-    sizes = np.array([len(x) for x in others], dtype=np.int64)
-    out, fit = np.zeros(len(others), dtype=bool), np.flatnonzero(np.minimum(sizes, len(one)) >= similarity * np.maximum(sizes, len(one)) - 1e-9)
-    if len(fit) and len(one):
-        flat, owner = np.concatenate([others[k] for k in fit]), np.repeat(np.arange(len(fit)), sizes[fit])
-        at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
-        common = np.bincount(owner[one[at] == flat], minlength=len(fit))
-        out[fit] = common >= similarity * (len(one) + sizes[fit] - common) - 1e-9
-    return out
-
-
-def settled(fps: list[str], sets: list[np.ndarray], similarity: float) -> list[tuple[str, str]]:
-    """fp and label (the smallest fp) of all, where equal labels mark what is connected by pairs of this similarity."""
-    out, rest = [], list(range(len(fps)))
-    while rest:
-        reached, rest = [rest[0]], rest[1:]
-        for at in reached:  # grows
-            if not rest:
-                break
-            near = alike(sets[at], [sets[n] for n in rest], similarity)
-            reached += [n for n, yes in zip(rest, near) if yes]
-            rest = [n for n, yes in zip(rest, near) if not yes]
-        label = min(fps[n] for n in reached)
-        out += [(fps[n], label) for n in reached]
-    return out
-
-
-def _settled_large(members: DataFrame, similarity: float) -> DataFrame:
-    """fp, label as by :func:`settled` for large groups; ``members`` has fp, label, shingles and the group's n and total.
-
-    A member's place among the n is drawn from its fingerprint. In each round the members of the next places, the pivots,
-    meet all that come after them and are not connected to them, in parts of a group. Rounds go on until all pairs have
-    met or each group is connected.
-    """
-    def meet(pivots: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        if not len(pivots) or not len(others):
-            return pd.DataFrame({"a": [], "b": []}, dtype="str")
-        parent = {x: x for x in [*pivots.exact, *others.exact]}
-        found, sets, names, fps = [], others.shingles.tolist(), others.exact.tolist(), others.fp.tolist()
-        for fp, name, shingles in zip(pivots.fp, pivots.exact, pivots.shingles):
-            own = _root(parent, name)
-            apart = [k for k, x in enumerate(names) if _root(parent, x) != own]
-            for k, yes in zip(apart, alike(shingles, [sets[k] for k in apart], similarity) if apart else ()):
-                if yes and (other := _root(parent, names[k])) != (own := _root(parent, own)):
-                    parent[other] = own
-                    found.append((fp, fps[k]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="str")
-
-    members = saved(members.select(
-        "fp", "label", "shingles", (F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("n")).alias("place"),
-        F.ceil(F.greatest(F.col("n") / GROUP, F.col("total") / GROUP_SHINGLES)).cast("int").alias("parts"),
-        F.pmod(F.xxhash64(F.reverse("fp")), F.lit(1 << 30)).alias("draw")), "members")
-    most = members.agg(F.max("place")).first()[0]
-    exact = members.select("fp", F.col("fp").alias("exact"))
-    pairs, low, high = None, 0, PIVOTS
-    while low <= most:
-        now = members.join(exact, "fp")
-        still = now.groupBy("label").agg(F.min("exact").alias("x"), F.max("exact").alias("y")).filter("x <> y").select("label")
-        now = now.join(still, "label", "left_semi").filter(F.col("place") >= low).select("fp", "label", "shingles", "exact", "place", "parts", "draw")
-        part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-        # Both sides of a cogroup come from one table: the names of one are made anew.
-        pivots = now.filter(F.col("place") < high).select(*[F.col(c).alias(c) for c in ("fp", "label", "shingles", "exact")], part)
-        others = now.select("fp", "label", "shingles", "exact", F.pmod("draw", "parts").cast("int").alias("part"))
-        found = pivots.groupBy("label", "part").cogroup(others.groupBy("label", "part")).applyInPandas(meet, "a string, b string")
-        found = saved(found if pairs is None else found.unionByName(pairs), "alike")
-        pairs, labels = found, labels_of(found)
-        exact = saved(members.select("fp").join(labels.withColumnRenamed("label", "exact"), "fp", "left").select(
-            "fp", F.coalesce("exact", "fp").alias("exact")), "exact")
-        low, high = high, high * GROWTH
-    return exact.select("fp", F.col("exact").alias("label"))
-
-
-def alike_labels(docs: DataFrame, candidates: DataFrame, similarity: float) -> DataFrame:
-    """fp, label: ``candidates`` (fp, first, label) parted into what is connected by pairs of texts of this similarity."""
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for at in range(0, len(b), 200):
-                texts = b.text[at:at + 200].tolist()
-                yield pd.DataFrame({"fp": [wide_fingerprint(t).tobytes().hex() for t in texts], "shingles": [shingle_set(t) for t in texts]})
-
-    def settle(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("fp")
-        return pd.DataFrame(settled(group.fp.tolist(), group.shingles.tolist(), similarity), columns=["fp", "label"], dtype="str")
-
-    wanted = candidates.select(F.col("first").alias("id")).distinct()
-    texts = texts_of(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    # A repeated doc_id brings other texts too; those without a candidate's fingerprint go with the join.
-    found = texts.mapInPandas(sets, "fp string, shingles array<long>").join(candidates.select("fp", "label"), "fp")
-    members = saved(found.groupBy("fp", "label").agg(F.min("shingles").alias("shingles")), "shingles")
-    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("total"))
-    large = saved(sizes.filter((F.col("n") > GROUP) | (F.col("total") > GROUP_SHINGLES)), "large")
-    out = members.join(large, "label", "left_anti").groupBy("label").applyInPandas(settle, "fp string, label string")
-    if large.limit(1).count():
-        out = out.unionByName(_settled_large(members.join(large, "label"), similarity))
-    return out
-
-
-def near_components(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id and component_id of every row: texts are linked whose five-word shingles have this Jaccard similarity.
-
-    Wide fingerprints only find candidates: they are searched in the shards of several tables, each keyed by some of the
-    bits; more texts take more bits and tables, so that a shard stays small and the chance to find a pair stays the same.
-    Within what the candidates connect, each link is then taken on the exact sets of shingles. Equal fingerprints always link.
-    """
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "fp": [wide_fingerprint(t).tobytes().hex() for t in b.text]})
-
-    marked = saved(texts_of(docs).mapInPandas(compute, "doc_id long, fp string"), "fingerprints")
-    distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    loose = labels_of(without_detours(near_links(distinct, distinct.count(), similarity)))
-    candidates = saved(distinct.join(loose, "fp"), "candidates")
-    return _with_smallest(marked, distinct, saved(alike_labels(docs, candidates, similarity), "alike")).select("doc_id", "component_id")
-
-
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document of each component in ``found``: the one with the smallest doc_id.
 

@@ -32,6 +32,12 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, "f", 0, 1) for i, t in rows], "doc_id long, text string, fp string, label int, component_id int")
 
 
+def root_of(parent, a):
+    while parent[a] != a:
+        a = parent[a]
+    return a
+
+
 def brute_components(rows, linked):
     root = list(range(len(rows)))
 
@@ -79,39 +85,13 @@ def test_forest_connects_all_links():
     parent = {m: m for m in members}
     for a, b in simhash.forest(members, 2):
         assert (a ^ b).bit_count() <= 2
-        ra, rb = simhash._root(parent, a), simhash._root(parent, b)
+        ra, rb = root_of(parent, a), root_of(parent, b)
         assert ra != rb
         parent[rb] = ra
     for a in members:
         for b in members:
             if (a ^ b).bit_count() <= 2:
-                assert simhash._root(parent, a) == simhash._root(parent, b)
-
-
-def test_near_copies_go_and_others_stay(spark):
-    rows = []
-    for g in range(40):
-        base = words(300, 1000 + g)
-        for c in range(4):
-            copy = list(base)
-            for k in range(c):
-                copy[50 + 60 * k] = f"new{c}{k}"
-            rows.append((g * 10 + c, " ".join(copy)))
-    rows += [(5000, ""), (5001, None), (5002, "short text"), (5003, "short text"), (None, rows[0][1])]
-    docs = frame(spark, rows)
-    kept = simhash.first_of_each(docs, simhash.near_components(docs))
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [g * 10 for g in range(40)] + [5000, 5002]
-
-
-def test_chunks_join_components():
-    r = random.Random(6)
-    base = r.getrandbits(256)
-    members = sorted({base ^ sum(1 << r.randrange(256) for _ in range(8)) for _ in range(2_500)})
-    parent = {m: m for m in members}
-    for a, b in simhash.chunked_forest(members, 40):
-        parent[simhash._root(parent, b)] = simhash._root(parent, a)
-    assert len({simhash._root(parent, m) for m in members}) == 1
+                assert root_of(parent, a) == root_of(parent, b)
 
 
 def test_labels_follow_long_chains(spark):
@@ -158,64 +138,18 @@ def test_stored_fingerprints_give_the_same_likeness():
 def test_empty_tables(spark):
     none = frame(spark, [])
     assert simhash.simhash_groups(none).count() == 0
-    assert simhash.first_of_each(none, simhash.near_components(none)).count() == 0
+    assert simhash.first_of_each(none, simhash.components(none)).count() == 0
     assert minhash.edit_likeness(none).count() == 0
     assert minhash.fingerprints(none).count() == 0
     one = frame(spark, [(4, "only one")])
     assert minhash.edit_likeness(one).first().near_next == 1.0
 
 
-def test_large_shards_compare_every_pair():
-    r = random.Random(8)
-    flips = lambda base, n: base ^ sum(1 << b for b in r.sample(range(256), n))
-    alone = [r.getrandbits(256) for _ in range(2_400)]  # no two of them are near
-    partners = [flips(m, 20) for m in alone[:300]]
-    members = sorted(alone + partners)
-    parent = {m: m for m in members}
-    for a, b in simhash.chunked_forest(members, 40):
-        assert (a ^ b).bit_count() <= 40
-        parent[simhash._root(parent, b)] = simhash._root(parent, a)
-    for a, b in zip(alone, partners):
-        assert simhash._root(parent, a) == simhash._root(parent, b)
-    assert len({simhash._root(parent, m) for m in members}) == 2_400
-
-
-def shingles(text):
-    w = text.split()
-    return set(zip(*[w[k:] for k in range(5)]))
-
-
-def test_texts_less_alike_than_asked_stay(spark, monkeypatch):
-    r, rows = random.Random(12), []
-    for g in range(6):  # a shared template with other content: 0.65 to 0.78 alike, many within the radius
-        base = words(300, 2000 + g)
-        for c in range(8):
-            copy = list(base)
-            for k in r.sample(range(58), 7 if g % 2 else 10):
-                copy[5 * k] = f"own{g}x{c}x{k}"
-            rows.append((len(rows), " ".join(copy)))
-        copy = list(base)
-        for n in range(4):  # a chain of near copies
-            copy[7 + 60 * n] = f"step{n}"
-            rows.append((len(rows), " ".join(copy)))
-    sets = [shingles(t) for _, t in rows]
-    exact = brute_components(rows, lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
-    ints = [int(simhash.wide_fingerprint(t).tobytes().hex(), 16) for _, t in rows]
-    radius = simhash.wide_radius(0.8)
-    near = brute_components(rows, lambda x, y: (ints[x] ^ ints[y]).bit_count() <= radius)
-    assert len(set(near)) < len(set(exact))
-    for group in (200, 3):
-        monkeypatch.setattr(simhash, "GROUP", group)
-        monkeypatch.setattr(simhash, "PIVOTS", 1)
-        monkeypatch.setattr(simhash, "GROWTH", 3)
-        got = {x.doc_id: x.component_id for x in simhash.near_components(frame(spark, rows)).collect()}
-        for i, c in got.items():
-            assert exact[i] == exact[c]  # nothing less alike is joined
-        assert [got[i] for i, _ in rows] == exact
-
-
-def test_alike_is_exact_at_the_limit():
-    one = np.arange(10)
-    others = [np.arange(8), np.arange(7), np.arange(1, 11), np.arange(2, 12), np.arange(0), one]
-    assert simhash.alike(one, others, 0.8).tolist() == [True, False, True, False, False, True]
-    assert simhash.alike(np.arange(0), [one], 0.8).tolist() == [False]
+def test_one_of_each_group_stays(spark):
+    rows = corpus(seed=5, groups=6)
+    docs = frame(spark, rows)
+    kept = simhash.first_of_each(docs, simhash.components(docs))
+    assert kept.columns == docs.columns
+    fps = [simhash.fingerprint(t or "") for _, t in rows]
+    groups = brute_components(rows, lambda x, y: (fps[x] ^ fps[y]).bit_count() <= 2)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(groups))

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from loomlog.llm import simhash
 
 
 def prose(r, n):
@@ -39,7 +40,11 @@ def test_stages_and_run(spark, sf_dir, tmp_path):
     by_rules, by_classifier, single, masked = kept
     assert not {600, 601, 602} & set(by_rules) and set(range(200)) <= set(by_rules)
     assert not set(range(200, 260)) & set(by_classifier) and len(set(range(200)) & set(by_classifier)) >= 198
-    assert not set(range(300, 310)) & set(single) and not set(range(400, 410)) & set(single)
+    assert not set(range(300, 310)) & set(single)
+    texts = {x.doc_id: simhash.fingerprint(x.text or "") for x in first.filter("doc_id is not null").collect()}
+    before, after = set(by_classifier) - {None}, set(single) - {None}
+    assert all(any((texts[i] ^ texts[k]).bit_count() <= 2 for k in before if k < i) for i in before - after)
+    assert not any((texts[i] ^ texts[k]).bit_count() <= 2 for i in after for k in after if i < k)
     assert set(range(200)) & set(by_classifier) <= set(single) and len(single) == len(set(single))
     assert sorted(masked, key=repr) == sorted(single, key=repr)
     text = docs.filter("doc_id = 500").first()
