@@ -25,8 +25,8 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest doc_id."""
-    return simhash.first_of_each(docs, simhash.near_components(docs))
+    """One document of each group by SimHash (three-word shingles, links at two bits or fewer), the one with the smallest doc_id."""
+    return simhash.first_of_each(docs, simhash.components(docs, shingle=3, radius=2))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", keep_by_rules),
     ("quality classifier", keep_by_classifier),
-    ("near copies", drop_near_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("personal data", mask_personal_data),
     ("best-fit packing", pack),
 ]
