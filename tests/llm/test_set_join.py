@@ -67,7 +67,7 @@ def corpus(seed, groups=8):
     return [*rows, (None, out[0]), (None, "only here and without any id"), (6, out[2]), (6, "another text of one id"), (6, ""), (900, out[0])]
 
 
-@pytest.mark.parametrize("seed, hot, low, members, rows", [(1, 32, 0.2, 2_000, 50_000), (2, 2, 0.2, 3, 20), (3, 3, 0.99, 2, 50_000), (4, 2, 0.02, 1, 1)])
+@pytest.mark.parametrize("seed, hot, low, members, rows", [(1, 32, 0.2, 500, 50_000), (2, 2, 0.2, 3, 20), (3, 3, 0.99, 2, 50_000), (4, 2, 0.02, 1, 1)])
 def test_components_match_all_pairs(spark, monkeypatch, seed, hot, low, members, rows):
     for name, value in (("HOT", hot), ("_LIMIT", int(low * 2**63)), ("MEMBERS", members), ("ROWS", rows), ("WORDS", 64 if rows < 100 else 1 << 21)):
         monkeypatch.setattr(set_join, name, value)
