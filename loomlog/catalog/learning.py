@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomlog import fixed_values as fv
 from loomlog import streaming
+from loomlog.catalog.forest_sql import forest, report
 from loomlog.catalog.registry import SQL, query
 from loomlog.catalog.sql import frm, union
 from loomlog.catalog.tags import _TEXT, _reason_sql, classify
@@ -59,15 +60,28 @@ def unique_templates(spark, d):
 
 # ---------------------------------------------------------------- forests and models
 
-@query("iforest_scores")
+_VECTORS = "SELECT vec_id::varchar AS id, unnest(range(len(embedding))) AS f, unnest(embedding)::double AS v FROM embeddings"
+
+
+@query("iforest_scores", f"WITH {forest(_VECTORS, 'SELECT vec_id::varchar AS id FROM embeddings', 100, 0.1)}"
+       " SELECT vec_id, round(-score - q, 6) AS anomaly_score, CAST(-score - q < 0 AS int) AS is_anomaly FROM embeddings JOIN scored ON scored.id = vec_id::varchar, cut")
 def iforest_scores(spark, d):
+    """Scores of vectors by a forest of 100 trees, and the tenth of them that is most isolated."""
     rows = table(spark, d, "embeddings")
     model = fit_forest(rows, ["vec_id"], "embedding", ForestOptions(contamination=0.1))
     out = model.predict(rows, "embedding")
     return out.select("vec_id", F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly")
 
 
-@query("window_anomalies")
+_HOURS = ("SELECT *, row_number() OVER (PARTITION BY w ORDER BY n DESC, event_type) AS rank FROM (SELECT w, event_type, count(*) AS n"
+          " FROM (SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS w, event_type FROM events) GROUP BY w, event_type)")
+_HOUR_COUNTS = (f"SELECT a.w AS id, k.f, coalesce(b.n, 0)::double AS v FROM (SELECT DISTINCT w FROM ({_HOURS})) a CROSS JOIN"
+                " (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS f FROM (SELECT DISTINCT event_type FROM events)) k"
+                f" LEFT JOIN ({_HOURS}) b ON a.w = b.w AND k.event_type = b.event_type")
+
+
+@query("window_anomalies", f"WITH {forest(_HOUR_COUNTS, f'SELECT DISTINCT w AS id FROM ({_HOURS})', 100, 0.05)}"
+       f" SELECT w AS window_start, event_type, n, CAST(rank AS int) AS rank, round(-score - q, 6) AS anomaly_score FROM ({_HOURS}) JOIN scored ON id = w, cut WHERE rank <= 3 AND -score - q < 0")
 def window_anomalies(spark, d):
     """Forest over hourly event-type counts, with the top types of each anomalous hour."""
     counts = windows.aligned_window_counts(table(spark, d, "events"), "event_type", width="1 hour")
@@ -77,18 +91,33 @@ def window_anomalies(spark, d):
     return alerts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n", "rank", F.round("anomaly_score", 6).alias("anomaly_score"))
 
 
+def rounded(report):
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
 def _flows(spark, d):
     return spread(table(spark, d, "lineitem"), "l_orderkey").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("id"), "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int")).alias("id"), "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_linestatus", F.when(F.col("l_returnflag") == "N", "benign").otherwise("attack").alias("label"))
 
 
-@query("flow_iforest")
+_FLOWS = ("(SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS int)) AS id, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus,"
+          " CASE WHEN l_returnflag = 'N' THEN 'benign' ELSE 'attack' END AS label FROM lineitem)")
+_FLOW_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_FLOW_POINTS = (
+    f"SELECT id, (SELECT count(DISTINCT l_linestatus) FROM {_FLOWS} WHERE label = 'benign') + k AS f, v FROM (SELECT id, unnest(range(4)) AS k, unnest(["
+    + ", ".join(f"{c}::double / (SELECT CASE WHEN stddev_pop({c}::double) > 0 THEN stddev_pop({c}::double) ELSE 1 END FROM {_FLOWS} WHERE label = 'benign')" for c in _FLOW_NUMBERS)
+    + f"]) AS v FROM {_FLOWS}) UNION ALL SELECT a.id, k.f, CASE WHEN a.l_linestatus = k.s THEN 1.0::double ELSE 0 END FROM {_FLOWS} a CROSS JOIN"
+    f" (SELECT s, row_number() OVER (ORDER BY s) - 1 AS f FROM (SELECT DISTINCT l_linestatus AS s FROM {_FLOWS} WHERE label = 'benign')) k")
+
+
+@query("flow_iforest", f"WITH {forest(_FLOW_POINTS, f'SELECT id FROM {_FLOWS} WHERE label = ' + chr(39) + 'benign' + chr(39), 100, 0.02)},"
+       + report(f"SELECT CASE WHEN label = 'benign' THEN 0 ELSE 1 END AS y, CASE WHEN -score - q < 0 THEN 1 ELSE 0 END AS pred FROM {_FLOWS} JOIN scored USING (id), cut"))
 def flow_iforest(spark, d):
     """Forest on normal flows only; scores every flow and evaluates against the labels."""
     flows = _flows(spark, d)
     model = training.train_flow_model(flows, "ctu", ["id"])
-    return training.evaluate_flow_model(model, flows)[1]
+    return rounded(training.evaluate_flow_model(model, flows)[1])
 
 
 @query("logreg_anomaly")

@@ -167,25 +167,25 @@ _QUOTA = """(SELECT event_type, q + CASE WHEN usable AND turn <= abs(diff) THEN
  FROM (SELECT *, 1237 - sum(q) OVER () AS diff, (1237 - sum(q) OVER () > 0 OR q > 0) AS usable FROM (SELECT event_type, CAST(round_even(1237.0 * count(*) / sum(count(*)) OVER (), 0) AS bigint) AS q FROM events GROUP BY 1))))"""
 
 
-@query("file_quota_sample", f"SELECT event_type, CAST(n AS bigint) AS n FROM {_QUOTA} WHERE n > 0")
+_DIGEST = "md5('42|' || event_id)"
+
+
+@query("file_quota_sample", f"SELECT e.event_type, e.event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY {_DIGEST}) AS r FROM events) e JOIN {_QUOTA} q USING (event_type) WHERE r <= q.n")
 def file_quota_sample(spark, d):
-    """Sizes of the proportional sample per source; the rows themselves are picked by hash."""
-    picked = sampling.proportional_sample(table(spark, d, "events").select("event_id", "event_type"), "event_type", 1237, ["event_id"])
-    return picked.groupBy("event_type").agg(F.count_distinct("event_id").alias("n"))
+    """The rows of the proportional sample: of each source those with the smallest digests."""
+    return sampling.proportional_sample(table(spark, d, "events").select("event_id", "event_type"), "event_type", 1237, ["event_id"])
 
 
-@query("sample_rows", "SELECT least(count(*), 4321) AS n, least(count(*), 4321) AS ids FROM events")
+@query("sample_rows", f"SELECT event_id FROM events ORDER BY {_DIGEST} LIMIT 4321")
 def sample_rows(spark, d):
-    picked = sampling.sample_rows(table(spark, d, "events").select("event_id"), 4321, ["event_id"])
-    return picked.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
+    return sampling.sample_rows(table(spark, d, "events").select("event_id"), 4321, ["event_id"])
 
 
-@query("stratified_split", "SELECT y, CAST(ceil(count(*) * 0.25) AS bigint) AS test, CAST(count(*) - ceil(count(*) * 0.25) AS bigint) AS train FROM (SELECT CAST(event_type = 'error' AS int) AS y FROM events) GROUP BY y")
+@query("stratified_split", f"SELECT event_id, y, r <= ceil(n * 0.25) AS test FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {_DIGEST}) AS r, count(*) OVER (PARTITION BY y) AS n FROM (SELECT event_id, CAST(event_type = 'error' AS int) AS y FROM events))")
 def stratified_split(spark, d):
+    """Every row with its side: a quarter of each class is for testing."""
     rows = table(spark, d, "events").select("event_id", (F.col("event_type") == "error").cast("int").alias("y"))
-    train, test = sampling.stratified_split(rows, "y", ["event_id"])
-    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    return both.groupBy("y").agg(F.count_if(F.col("side") == "test").alias("test"), F.count_if(F.col("side") == "train").alias("train"))
+    return sampling.mark_split(rows, "y", ["event_id"], "test")
 
 
 # ---------------------------------------------------------------- features

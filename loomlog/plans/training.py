@@ -10,13 +10,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomlog.checkpoints import written
 from loomlog.functions.severity import flow_label_is_anomaly, level_is_anomaly
 from loomlog.operators import evaluation
 from loomlog.operators.features import (
     FlowFeaturizer, LogFeaturizer, MinMax, TfidfModel, fit_flow_featurizer, fit_log_featurizer, prefer_normal,
 )
 from loomlog.operators.forest import ForestModel, fit_forest, offsets_for
-from loomlog.operators.sampling import sample_rows, stratified_split
+from loomlog.operators.sampling import mark_split, sample_rows
 from loomlog.options import ForestOptions
 
 
@@ -94,28 +95,27 @@ def train_log_model(logs: DataFrame, test: DataFrame | None = None, kind: str =
     best f1 on the test side.
     """
     ids = ids or ["line_id"]
-    labelled = with_label(logs)
+    columns = [*ids, "log_level", "module", "message", "y"]
+    labelled = with_label(logs).select(*columns)
     if test is None:
-        train, held = stratified_split(labelled, "y", ids)
+        rows = mark_split(labelled, "y", ids, "held")
     else:
-        train, held = labelled, with_label(test, test_levels)
-    # Fitting reads the training rows and then their vectors many times over.
-    train = train.select(*ids, "log_level", "module", "message", "y").persist()
+        held = with_label(test, test_levels).select(*columns, F.lit(True).alias("held"))
+        rows = labelled.withColumn("held", F.lit(False)).unionByName(held)
+    rows = written(rows, "split")  # read by every fitting pass
+    train = rows.filter("not held")
     featurizer = fit_log_featurizer(train, **featurizer_options)
-    x_train = featurizer.transform(train).select(*ids, "y", "features").persist()
-    x_test = featurizer.transform(held).select(*ids, "y", "features")
     if kind == "supervised":
-        logistic = fit_logistic(x_train)
-        scored = probabilities(logistic, x_test).persist()
+        vectors = written(featurizer.transform(rows).select("y", "held", "features"), "vectors")
+        logistic = fit_logistic(vectors.filter("not held").select("y", "features"))
+        scored = written(probabilities(logistic, vectors.filter("held")).select("y", "score"), "scored")
         best = evaluation.best_threshold(evaluation.threshold_sweep(scored)).first()
         threshold = best["threshold"] if best else 0.5
         model = LogModel(featurizer, kind, logistic, threshold)
         pred = scored.withColumn("pred", (F.col("score") >= threshold).cast("int"))
     else:
-        model = LogModel(featurizer, "forest", forest=fit_forest(x_train, ids, opts=forest))
-        pred = model.forest.predict(x_test).withColumnRenamed("is_anomaly", "pred")
-    x_train.unpersist()
-    train.unpersist()
+        model = LogModel(featurizer, "forest", forest=fit_forest(train, ids, opts=forest, transform=featurizer.transform))
+        pred = model.predict(rows.filter("held"))
     return model, evaluation.classification_report(pred)
 
 
@@ -181,9 +181,8 @@ def train_all_and_save(spark: SparkSession, logs: DataFrame, path: str, contamin
     """Fit a forest on every row and save it with a manifest."""
     ids = ids or ["line_id"]
     featurizer = fit_log_featurizer(logs, **featurizer_options)
-    rows = featurizer.transform(logs).select(*ids, "features").persist()
-    forest = fit_forest(rows, ids, opts=ForestOptions(trees=200, contamination=contamination))
-    rows.unpersist()
+    opts = ForestOptions(trees=200, contamination=contamination)
+    forest = fit_forest(logs, ids, opts=opts, transform=featurizer.transform)
     model = LogModel(featurizer, "forest", forest=forest)
     model.save(spark, path)
     manifest = json.dumps({"contamination": contamination, "features": featurizer.size})
@@ -224,9 +223,8 @@ def train_flow_model(flows: DataFrame, kind: str, ids: list[str], contamination:
     if sample is not None:
         rows = sample_rows(rows, sample, ids)
     featurizer = fit_flow_featurizer(rows, FLOW_DROP[kind] + [i for i in ids if i not in FLOW_DROP[kind]])
-    x = featurizer.transform(rows).select(*ids, "features")
     opts = ForestOptions(trees=trees or FLOW_TREES[kind], contamination=contamination)
-    return FlowModel(featurizer, fit_forest(x, ids, opts=opts))
+    return FlowModel(featurizer, fit_forest(rows, ids, opts=opts, transform=featurizer.transform))
 
 
 def evaluate_flow_model(model: FlowModel, flows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomlog.checkpoints import written
 from loomlog.functions import severity as sev
 from loomlog.functions.text import extract_or_null, parse_time
 from loomlog.operators import evaluation
@@ -36,8 +37,7 @@ def line_features(lines: DataFrame, line: str = "line", ids: list[str] | None =
         "truth": sev.rule_truth(text).cast("int"),
     })
     rows = with_event_frequency(rows, "event_type")
-    # Fitting makes several passes over rows that cost a join and regexes to make.
-    rows = rows.persist()
+    rows = written(rows, "lines")  # fitting makes several passes over rows that cost a join and regexes to make
     hot = fit_categories(rows.select("template", "severity", "event_type"), ["template", "severity", "event_type"])
     out = one_hot(rows, hot)
     out = fit_minmax(rows, ["hc_cpu", "hc_mem"]).transform(out)
@@ -97,9 +97,9 @@ def detect_line_anomalies(lines: DataFrame, line: str = "line", ids: list[str] |
     A forest with a fixed seed is the same for every contamination, so it is grown and scored once.
     """
     ids, cuts_wanted = ids or ["line_id"], contaminations or CONTAMINATIONS
-    feats = line_features(lines, line, ids, **feature_options).persist()
+    feats = written(line_features(lines, line, ids, **feature_options), "line-features")
     model = fit_forest(feats, ids, opts=forest, calibrate=False)
-    scored = model.with_scores(feats).withColumn("decision", -F.col("iso_score")).drop("features").persist()
+    scored = written(model.with_scores(feats).withColumn("decision", -F.col("iso_score")).drop("features"), "scored-lines")
     cuts = dict(zip(cuts_wanted, exact_quantiles(scored, "decision", cuts_wanted)))
     sweep = contamination_sweep(scored, cuts, line)
     position = {c: i for i, c in enumerate(cuts_wanted)}
