@@ -9,6 +9,7 @@ from loomlog import streaming
 from loomlog.catalog.forest_sql import forest, report
 from loomlog.catalog.registry import SQL, query
 from loomlog.catalog.sql import frm, union
+from loomlog.catalog.template_sql import mined
 from loomlog.catalog.tags import _TEXT, _reason_sql, classify
 from loomlog.catalog.web import ACCESS, OPTS, _counters_sql, _signals
 from loomlog.checkpoints import fresh_path
@@ -16,7 +17,7 @@ from loomlog.operators import aggregates as agg
 from loomlog.operators import templates as tpl
 from loomlog.operators import windows
 from loomlog.operators.forest import fit_forest
-from loomlog.options import COMPACT_TEMPLATES, ForestOptions, ReportOptions
+from loomlog.options import COMPACT_TEMPLATES, ForestOptions, ReportOptions, TemplateOptions
 from loomlog.plans import reports, training, unsupervised
 from loomlog.sources import readers, sinks
 from loomlog.sources.views import VIEWS, geo_ranges, render, reputation, spread, table, view
@@ -26,20 +27,22 @@ APP = frm("app_log")
 
 # ---------------------------------------------------------------- templates
 
-@query("mine_templates")
+_MINED = mined(f"SELECT line_id AS id, message FROM {APP}", TemplateOptions().similarity)
+
+
+@query("mine_templates", f"WITH {_MINED} SELECT array_to_string(template, ' ') AS template, count(*) AS n FROM mined GROUP BY 1")
 def mine_templates(spark, d):
     """Templates of the application log with their row counts."""
-    mined = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message")
-    return mined.groupBy("template_id", "template").agg(F.count(F.lit(1)).alias("n"))
+    found = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message")
+    return found.groupBy("template").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("template_params", f"SELECT line_id, true AS fits, true AS params_match FROM {APP}")
+@query("template_params", f"WITH {_MINED} SELECT id AS line_id, array_to_string(template, ' ') AS template,"
+       " array_to_string(list_transform(list_filter(range(1, len(tokens) + 1), lambda i: template[i] = '<*>'), lambda i: tokens[i]), '|') AS params FROM mined")
 def template_params(spark, d):
-    """Every message fits its template, and the template filled with its params is the message."""
-    mined = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message")
-    tokens, parts = tpl.tokens_of(F.col("message")), F.split("template", " ")
-    stars = F.size(F.filter(parts, lambda p: p == tpl.WILD))
-    return mined.select("line_id", tpl.fits(tokens, F.col("template")).alias("fits"), (F.size("params") == stars).alias("params_match"))
+    """Every message's template and the values under its wildcards."""
+    found = tpl.mine_templates(view(spark, d, "app_log").select("line_id", "message"), "message")
+    return found.select("line_id", "template", F.array_join("params", "|").alias("params"))
 
 
 @query("document_line_templates", "SELECT count(*) AS lines, count(*) AS fitting FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE len(list_filter(regexp_split_to_array(line, '[ \\t\\n\\v\\f\\r]+'), lambda t: t <> '')) > 0")

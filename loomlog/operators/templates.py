@@ -1,10 +1,11 @@
 """Message templates: what stays the same between similar messages.
 
-Only distinct messages are compared, and only inside groups that share a token
-count and the first token. A group is streamed in text order and merged greedily;
-the task holds its clusters, never its messages, so a group has no size limit and
-its templates depend on its messages alone, not on row order, partitioning or
-what else is in the data.
+Only distinct messages are compared, and only inside groups that share a token count and the first token. A group is streamed
+in text order and merged greedily; the task holds its clusters, never its messages. A group of more than ``GROUP_TEXTS``
+messages is dealt into parts by the hash of the text, as many as its size asks for. The parts are merged side by side, and
+their templates, which are far fewer, are merged again by the same rule as if they were messages; each template of a part
+then becomes the one it has gone into. So a group has no size limit, runs in as many tasks as it needs, and its templates
+depend on its messages alone, not on row order, partitioning or what else is in the data.
 """
 
 from __future__ import annotations
@@ -74,41 +75,67 @@ class _Clusters:
 
 
 def _merge(similarity: float):
-    """Streams groups in text order; gives each message its cluster, and after a group its clusters' templates."""
+    """Streams parts of groups in text order; gives each message its cluster, and after a part its clusters' templates."""
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, clusters = None, None
 
         def closed() -> list[tuple]:
-            return [] if clusters is None else [(group, n, None, t) for n, t in enumerate(clusters.templates())]
+            return [] if clusters is None else [(*group, n, None, t) for n, t in enumerate(clusters.templates())]
 
         for b in batches:
             out = []
-            for key, text in zip(b.key, b.masked):
-                if key != group:
+            for key, part, text in zip(b.key, b.part, b.masked):
+                if (key, part) != group:
                     out += closed()
-                    group, clusters = key, _Clusters(text.count(" ") + 1, similarity)
-                out.append((key, clusters.add(text), text, None))
+                    group, clusters = (key, part), _Clusters(text.count(" ") + 1, similarity)
+                out.append((key, part, clusters.add(text), text, None))
             yield _merged(out)
         yield _merged(closed())
     return merge
 
 
 def _merged(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["key", "cluster", "masked", "template"]).astype({"cluster": "int32"})
+    return pd.DataFrame(rows, columns=["key", "part", "cluster", "masked", "template"]).astype({"part": "int32", "cluster": "int32"})
+
+
+#: Texts of a part, and the share of them that a round of merging must at least take away for another round in parts.
+GROUP_TEXTS, SHRINK = 5_000, 0.1
+
+
+def _one_pass(parted: DataFrame, similarity: float) -> DataFrame:
+    """key, masked, template: the texts of each (key, part) merged by themselves."""
+    # Messages and templates come from one pass; it is written, since both of its parts are read.
+    merged = written(
+        parted.repartition("key", "part").sortWithinPartitions("key", "part", "masked")
+        .mapInPandas(_merge(similarity), "key string, part int, cluster int, masked string, template string"), "templates")
+    names = merged.filter(F.col("template").isNotNull()).select("key", "part", "cluster", "template")
+    texts = merged.filter(F.col("masked").isNotNull()).select("key", "part", "cluster", "masked")
+    return lookup(texts, names, ["key", "part", "cluster"], "inner").select("key", "masked", "template")
+
+
+def merged_texts(keyed: DataFrame, similarity: float) -> DataFrame:
+    """key, masked, template for distinct texts (key, masked); texts of one key may become one template."""
+    parts = F.ceil(F.col("texts") / GROUP_TEXTS).cast("int")
+    large = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > GROUP_TEXTS).select("key", "texts"), "large")
+    if not large.limit(1).count():
+        return _one_pass(keyed.withColumn("part", F.lit(0)), similarity)
+    part = F.pmod(F.xxhash64("masked"), F.coalesce(parts, F.lit(1))).cast("int")
+    first = written(_one_pass(lookup(keyed, large, ["key"], "left").select("key", "masked", part.alias("part")), similarity), "merged")
+    again = written(lookup(first, large.select("key"), ["key"], "left_semi").select("key", F.col("template").alias("masked")).distinct(), "again")
+    if again.count() > (1 - SHRINK) * (large.agg(F.sum("texts")).first()[0] or 0):
+        second = _one_pass(again.withColumn("part", F.lit(0)), similarity)  # texts that hardly merge: whole keys, once
+    else:
+        second = merged_texts(again, similarity)
+    final = second.select("key", F.col("masked").alias("template"), F.col("template").alias("final"))
+    return lookup(first, final, ["key", "template"], "left").select("key", "masked", F.coalesce("final", "template").alias("template"))
 
 
 def template_table(df: DataFrame, message: str, opts: TemplateOptions = TemplateOptions()) -> DataFrame:
     """masked, template_id, template for every distinct masked message."""
     distinct = df.select(masked(F.col(message), opts).alias("masked")).filter(F.length("masked") > 0).distinct()
     parts = F.split("masked", " ")
-    keyed = distinct.select("masked", F.concat_ws(" ", F.size(parts).cast("string"), F.get(parts, F.lit(0))).alias("key"))
-    # Messages and templates come from one pass; it is written, since both of its parts are read.
-    merged = written(
-        keyed.repartition("key").sortWithinPartitions("key", "masked")
-        .mapInPandas(_merge(opts.similarity), "key string, cluster int, masked string, template string"), "templates")
-    names = merged.filter(F.col("template").isNotNull()).select("key", "cluster", "template")
-    return lookup(merged.filter(F.col("masked").isNotNull()).select("key", "cluster", "masked"), names, ["key", "cluster"], "inner").select(
-        "masked", F.xxhash64("template").alias("template_id"), "template")
+    keyed = written(distinct.select("masked", F.concat_ws(" ", F.size(parts).cast("string"), F.get(parts, F.lit(0))).alias("key")), "messages")
+    return merged_texts(keyed, opts.similarity).select("masked", F.xxhash64("template").alias("template_id"), "template")
 
 
 def mine_templates(df: DataFrame, message: str, opts: TemplateOptions = TemplateOptions()) -> DataFrame:
