@@ -21,6 +21,7 @@ def forest(points: str, train: str, trees: int, contamination: float, sample: in
         f"given AS MATERIALIZED ({points})",
         "names AS MATERIALIZED (SELECT id, CAST(row_number() OVER (ORDER BY id) AS int) AS i FROM (SELECT DISTINCT id FROM given))",
         "x AS MATERIALIZED (SELECT i, CAST(f AS int) AS f, v FROM given JOIN names USING (id))",
+        "wide AS MATERIALIZED (SELECT i, list(v ORDER BY f) AS vs FROM x GROUP BY i)",
         f"pool AS MATERIALIZED (SELECT i, row_number() OVER (ORDER BY m, id) - 1 AS r FROM (SELECT DISTINCT id, i, md5('{seed}|' || id) AS m FROM ({train}) JOIN names USING (id)) QUALIFY r < {trees * sample})",
         f"size AS (SELECT count(*) AS n, least(count(*), {sample}) AS psi, ceil(log2(greatest(least(count(*), {sample}), 2))) AS levels FROM pool)",
         "n0 AS (SELECT CAST(tree AS smallint) AS tree, 1::int AS node, i FROM pool, size, (SELECT unnest(range(" + str(trees) + ")) AS tree) WHERE ((r - tree * psi) % n + n) % n < psi)",
@@ -35,8 +36,8 @@ def forest(points: str, train: str, trees: int, contamination: float, sample: in
                 f" THEN u.low + {_draw('cut', seed)} * (u.high - u.low) ELSE u.low END AS cut"
                 f" FROM (SELECT tree, node, usable[CAST(floor({_draw('feature', seed)} * len(usable)) AS int) + 1] AS u FROM s{k}))",
             ]
-            parts += [f"{t}{k + 1} AS (SELECT tree, CAST(2 * node + CASE WHEN v <= cut THEN 0 ELSE 1 END AS int) AS node, {t}{k}.i FROM {t}{k} JOIN c{k} USING (tree, node)"
-                      f" JOIN x ON x.i = {t}{k}.i AND x.f = c{k}.f)" for t in "np"]
+            parts += [f"{t}{k + 1} AS (SELECT tree, CAST(2 * node + CASE WHEN vs[f + 1] <= cut THEN 0 ELSE 1 END AS int) AS node, i FROM {t}{k} JOIN c{k} USING (tree, node)"
+                      f" JOIN wide USING (i))" for t in "np"]
         last = f"n{k} ANTI JOIN c{k} USING (tree, node)" if k < depth else f"n{k}"
         parts.append(f"l{k} AS (SELECT tree, node, {k} + {_average('count(*)')} AS path FROM {last} GROUP BY tree, node)")
     paths = " UNION ALL ".join(f"SELECT i, path FROM p{k} JOIN l{k} USING (tree, node)" for k in range(depth + 1))

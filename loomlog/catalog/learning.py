@@ -14,6 +14,7 @@ from loomlog.catalog.tags import _TEXT, _reason_sql, classify
 from loomlog.catalog.web import ACCESS, OPTS, _counters_sql, _signals
 from loomlog.checkpoints import fresh_path
 from loomlog.operators import aggregates as agg
+from loomlog.operators import evaluation
 from loomlog.operators import templates as tpl
 from loomlog.operators import windows
 from loomlog.operators.forest import fit_forest
@@ -136,10 +137,21 @@ def forest_on_logs(spark, d):
     return training.train_log_model(logs)[1]
 
 
+def _sources(spark, d):
+    source = F.concat(F.lit("set"), (F.col("line_id") % 3).cast("string"))
+    return view(spark, d, "app_log").select("line_id", "log_level", "module", "message", source.alias("source_file"))
+
+
 @query("leave_one_out")
 def leave_one_out(spark, d):
-    logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message", F.concat(F.lit("set"), (F.col("line_id") % 3).cast("string")).alias("source_file"))
-    return training.leave_one_out(logs)
+    """Scores of each held-out source at every contamination."""
+    return training.leave_one_out(_sources(spark, d))
+
+
+@query("best_contamination")
+def best_contamination(spark, d):
+    """The contamination with the best mean score over all held-out sources."""
+    return evaluation.best_by_mean_f1(training.leave_one_out(_sources(spark, d)))
 
 
 @query("evaluate_by_source")
@@ -203,9 +215,9 @@ def stream_bruteforce(spark, d):
     return _text(streaming.run_available(out, "bruteforce"))
 
 
-@query("stream_template_counts", f"SELECT {_W} AS window_start, template, n FROM (SELECT date_trunc('minute', ts) AS w, 'event ' || event_type AS template, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1, 2) WHERE w + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 MINUTE FROM events WHERE event_type <> 'view')")
+@query("stream_template_counts", f"SELECT {_W} AS window_start, template, n FROM (SELECT date_trunc('minute', ts) AS w, 'event ' || event_type AS template, count(*) AS n FROM events GROUP BY 1, 2) WHERE w + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 MINUTE FROM events)")
 def stream_template_counts(spark, d):
-    kinds = table(spark, d, "events").select("event_type").distinct().filter("event_type <> 'view'")
+    kinds = table(spark, d, "events").select("event_type").distinct()
     templates = kinds.select("event_type", F.concat(F.lit("event "), "event_type").alias("template"))
     out = streaming.template_counts(_events_stream(spark, d), templates, "event_type")
     return _text(streaming.run_available(out, "templates"))

@@ -151,6 +151,15 @@ def entity_template_counts(spark, d):
     return agg.entity_template_counts(table(spark, d, "events"), None, "user_id", "event_type")
 
 
+@query("entity_template_vectors", """SELECT l_orderkey, string_agg(i || ':' || n, ',' ORDER BY i) AS counts FROM (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2)
+ JOIN (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS i FROM (SELECT DISTINCT l_partkey FROM lineitem)) USING (l_partkey) GROUP BY l_orderkey""")
+def entity_template_vectors(spark, d):
+    """Sparse counts of the parts of every order, by the parts' numbers."""
+    out = agg.entity_template_vectors(table(spark, d, "lineitem"), None, "l_orderkey", "l_partkey")
+    pairs = F.zip_with("features.indices", "features.values", lambda i, n: F.concat_ws(":", i, n.cast("long")))
+    return out.select("l_orderkey", F.array_join(pairs, ",").alias("counts"))
+
+
 @query("entity_template_long", "SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def entity_template_long(spark, d):
     return agg.entity_template_long(table(spark, d, "events"), "user_id", "event_type")
@@ -227,10 +236,10 @@ def _tfidf_sql(source: str, doc: str, text: str, terms: int, min_docs: int = 1)
  SELECT doc, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc)), 6) AS weight FROM w"""
 
 
-@query("tfidf_terms", _tfidf_sql("documents", "doc_id", "text", 200))
+@query("tfidf_terms", _tfidf_sql("documents", "doc_id", "text", 1000))
 def tfidf_terms(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    out = feat.fit_tfidf(docs, "doc_id", "text", 200).weights(docs, "doc_id", "text")
+    out = feat.fit_tfidf(docs, "doc_id", "text", 1000).weights(docs, "doc_id", "text")
     return out.select(F.col("doc_id").alias("doc"), "term", F.round("weight", 6).alias("weight"))
 
 
@@ -255,14 +264,40 @@ def bigram_counts(spark, d):
     return view(spark, d, "app_log").select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("one_hot_levels", f"SELECT line_id, log_level AS hot FROM {APP}")
+_FULL = "concat_ws(' ', coalesce(log_level, 'unknown'), coalesce(module, 'unknown'), coalesce(message, 'unknown'))"
+
+
+@query("tfidf_log_rows", f"""WITH t AS (SELECT line_id, list_filter(regexp_extract_all(lower({_FULL}), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda x: x NOT IN ({', '.join(lit(w) for w in fv.ENGLISH_STOP_WORDS)})) AS l FROM {APP}),
+ g AS (SELECT line_id, unnest(list_concat(l, list_transform(range(1, greatest(len(l), 1)), lambda i: l[i] || ' ' || l[i + 1]))) AS term FROM t),
+ c AS (SELECT line_id, term, count(*) AS tf FROM g GROUP BY 1, 2),
+ v AS (SELECT term, sum(tf) AS n, count(*) AS df FROM c GROUP BY term HAVING count(*) >= 2 ORDER BY n DESC, term LIMIT 5000),
+ w AS (SELECT line_id, term, tf * (ln((1.0 + (SELECT count(*) FROM t)) / (1.0 + df)) + 1.0) AS w FROM c JOIN v USING (term))
+ SELECT line_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY line_id)), 6) AS weight FROM w""")
+def tfidf_log_rows(spark, d):
+    """TF-IDF of every log row as the models see it: 5,000 words and pairs of words, read back from the row vectors."""
+    logs = view(spark, d, "app_log").select("line_id", feat.full_text(F.col("log_level"), F.col("module"), F.col("message")).alias("t"))
+    model = feat.fit_tfidf(logs, None, "t", 5000, 2, feat.ENGLISH, True)
+    raw = F.unwrap_udt("v")
+    pairs = model.vectors(logs, F.col("t"), "v").select("line_id", F.explode(F.arrays_zip(raw["indices"].alias("i"), raw["values"].alias("w"))).alias("p"))
+    terms = spark.createDataFrame(list(enumerate(model.terms)), "i int, term string")  # the vocabulary
+    return pairs.select("line_id", "p.i", "p.w").join(F.broadcast(terms), "i").select("line_id", "term", F.round("w", 6).alias("weight"))
+
+
+@query("one_hot_levels", f"SELECT line_id, CAST(dense_rank() OVER (ORDER BY log_level) - 1 AS int) AS hot, CAST((SELECT count(DISTINCT log_level) FROM {APP}) AS int) AS size FROM {APP}")
 def one_hot_levels(spark, d):
-    """One-hot position of each row's level, read back as its label."""
+    """The place of the one in each row's vector of levels, and the vector's size."""
     rows = view(spark, d, "app_log").select("line_id", "log_level")
-    cats = feat.fit_categories(rows, ["log_level"])
-    labels = F.array(*[F.lit(v) for v in cats["log_level"]])
-    at = F.array_position(vector_to_array(F.col("log_level_vec")), 1.0)
-    return feat.one_hot(rows, cats).select("line_id", F.element_at(labels, at.cast("int")).alias("hot"))
+    raw = F.unwrap_udt("log_level_vec")
+    return feat.one_hot(rows, feat.fit_categories(rows, ["log_level"])).select("line_id", raw["indices"][0].alias("hot"), raw["size"].alias("size"))
+
+
+@query("one_hot_parts", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(dense_rank() OVER (ORDER BY CAST(l_partkey AS varchar)) - 1 AS int) AS hot, CAST((SELECT count(DISTINCT l_partkey) FROM lineitem) AS int) AS size FROM lineitem")
+def one_hot_parts(spark, d):
+    """As :func:`one_hot_levels` for a column with many values: the part of every order line."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    raw = F.unwrap_udt("l_partkey_vec")
+    return feat.one_hot(rows, feat.fit_categories(rows, ["l_partkey"])).select(
+        "l_orderkey", "l_linenumber", "l_partkey", raw["indices"][0].alias("hot"), raw["size"].alias("size"))
 
 
 @query("flow_scaled_numbers", "SELECT l_orderkey, l_linenumber, round(l_quantity / stddev_pop(l_quantity) OVER (), 6) AS quantity, round(l_extendedprice / stddev_pop(l_extendedprice) OVER (), 6) AS price FROM lineitem")

@@ -9,6 +9,8 @@ from loomlog import fixed_values as fv
 from loomlog import schema
 from loomlog.functions.ip import extract_ip_loose
 from loomlog.functions.text import let, percent, to_number
+from loomlog.operators.lookups import lookup
+from loomlog.operators.numbering import with_numbers
 from loomlog.operators.parsing import epoch_to_ntz
 from loomlog.operators.quantiles import exact_quantiles
 from loomlog.operators.websignals import number_column
@@ -70,22 +72,35 @@ def top_attackers(df: DataFrame, flagged: Column, top: int = 10, message: str |
     return value_counts(df.filter(flagged).select(ip.alias("ip")), "ip", top)
 
 
-def entity_template_counts(df: DataFrame, templates: list | None = None, entity: str = "entity_id",
-                           template: str = "template_id", max_columns: int = 2000) -> DataFrame:
+def entity_template_counts(df: DataFrame, templates: list | None = None, entity: str = "entity_id", template: str = "template_id") -> DataFrame:
     """One row per entity, one count column per template, zeros filled.
 
-    Pass the template list to spare the pass that finds it. Past ``max_columns`` templates use
-    :func:`entity_template_long`, which has no width limit.
+    Columns are part of the schema, so their names are read; pass the list to spare the pass that finds it. With very many
+    templates :func:`entity_template_vectors` holds the same counts without a column for each.
     """
     if templates is None:
-        rows = df.select(template).filter(F.col(template).isNotNull()).distinct().orderBy(template).limit(max_columns + 1).collect()
-        templates = [r[0] for r in rows]
-        if len(templates) > max_columns:
-            raise ValueError(f"more than {max_columns} templates: use entity_template_long")
+        templates = [r[0] for r in df.select(template).filter(F.col(template).isNotNull()).distinct().orderBy(template).collect()]
     counts = df.groupBy(entity).pivot(template, templates).agg(count_rows())
     return counts.na.fill(0, subset=[str(t) for t in templates])
 
 
+def template_numbers(df: DataFrame, template: str = "template_id") -> DataFrame:
+    """template, index: the distinct templates numbered from 0 in order, on the executors."""
+    return with_numbers(df.select(template).filter(F.col(template).isNotNull()).distinct(), [template], "index")
+
+
+def entity_template_vectors(df: DataFrame, numbers: DataFrame | None = None, entity: str = "entity_id", template: str = "template_id") -> DataFrame:
+    """entity, features: the sparse counts of each entity as indices (of :func:`template_numbers`) and values, in order.
+
+    Any number of templates. Templates that ``numbers`` lacks are not counted.
+    """
+    numbers = template_numbers(df, template) if numbers is None else numbers
+    counts = lookup(entity_template_long(df, entity, template), numbers, [template], "inner")
+    pairs = F.sort_array(F.collect_list(F.struct("index", "n")))  # one entity: at most a pair for each template
+    return counts.groupBy(entity).agg(pairs.alias("p")).select(entity, F.struct(
+        F.transform("p", lambda x: x["index"].cast("int")).alias("indices"), F.transform("p", lambda x: x["n"].cast("double")).alias("values")).alias("features"))
+
+
 def entity_template_long(df: DataFrame, entity: str = "entity_id", template: str = "template_id") -> DataFrame:
     """entity, template, n without a column per template."""
     return df.groupBy(entity, template).agg(count_rows().alias("n"))

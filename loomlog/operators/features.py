@@ -5,17 +5,19 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, OneHotEncoder, StopWordsRemover, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomlog import fixed_values as fv
+from loomlog.checkpoints import written
 from loomlog.functions.severity import any_healthcheck_usage, classify_entry
 from loomlog.functions.text import let
+from loomlog.operators.lookups import BROADCAST_BYTES
+from loomlog.operators.numbering import with_numbers
 
 WORDS = r"[\p{L}\p{N}_]{2,}"
-MAX_CATEGORIES = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -92,6 +94,13 @@ def _row_term_totals(df: DataFrame, text: str, stop_words: list[str] | None, big
 ENGLISH = "english"
 
 
+def stop_word_list(stop_words: list[str] | str | None) -> list[str]:
+    """A list as it is, or the one of a language that Spark brings along."""
+    if isinstance(stop_words, str):
+        return fv.ENGLISH_STOP_WORDS if stop_words == ENGLISH else StopWordsRemover.loadDefaultStopWords(stop_words)
+    return stop_words or []
+
+
 def fit_tfidf(df: DataFrame, doc: str | None, text: str, max_terms: int = 1000, min_docs: int = 1,
               stop_words: list[str] | str | None = None, bigrams: bool = False) -> TfidfModel:
     """Smoothed idf over the ``max_terms`` most frequent terms; equal counts are cut in term order.
@@ -99,8 +108,7 @@ def fit_tfidf(df: DataFrame, doc: str | None, text: str, max_terms: int = 1000,
     ``doc`` names the entity whose rows form one document; None makes every row its own document.
     ``stop_words`` is a list or the name of a language whose list Spark brings along.
     """
-    if isinstance(stop_words, str):
-        stop_words = StopWordsRemover.loadDefaultStopWords(stop_words)
+    stop_words = stop_word_list(stop_words)
     if doc is None:
         totals, docs = _row_term_totals(df, text, stop_words, bigrams), df.count()
     else:
@@ -109,7 +117,7 @@ def fit_tfidf(df: DataFrame, doc: str | None, text: str, max_terms: int = 1000,
         docs = df.select(doc).distinct().count()
     vocabulary = totals.filter(F.col("docs") >= min_docs).orderBy(F.desc("n"), "term").limit(max_terms).collect()
     idf = [math.log((1 + docs) / (1 + r["docs"])) + 1.0 for r in vocabulary]
-    return TfidfModel([r["term"] for r in vocabulary], idf, stop_words or [], bigrams)
+    return TfidfModel([r["term"] for r in vocabulary], idf, stop_words, bigrams)
 
 
 # ---------------------------------------------------------------- log rows
@@ -166,25 +174,61 @@ def fit_minmax(df: DataFrame, columns: list[str]) -> MinMax:
     return MinMax({c: row[f"lo_{c}"] or 0.0 for c in columns}, {c: row[f"hi_{c}"] or 0.0 for c in columns})
 
 
-def fit_categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct values per column, refused past ``limit`` in all: they become model state on the driver."""
-    if not columns:
-        return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
-    rows = df.select(pairs.alias("p")).select("p.c", "p.v").filter("v is not null").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {columns}: too many to one-hot encode")
-    return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in columns}
+@dataclass(frozen=True)
+class Categories:
+    """The values of text columns, numbered from 0 in order, as a table (column, value, index), and how many each has."""
+
+    table: DataFrame
+    sizes: dict[str, int]
+    small: bool
+
+    def with_index(self, df: DataFrame, column: str, output: str) -> DataFrame:
+        """Add the number of the column's value; values not seen in training get the number behind the last."""
+        own = self.table.filter(F.col("column") == column).select(F.col("value").alias("_value"), F.col("index").alias(output))
+        joined = df.join(F.broadcast(own) if self.small else own, F.col(column).cast("string") == F.col("_value"), "left")
+        return joined.drop("_value").withColumn(output, F.coalesce(output, F.lit(self.sizes[column])).cast("double"))
+
+    def transform(self, df: DataFrame, suffix: str = "_vec") -> DataFrame:
+        """Add a sparse 0/1 vector per column; nulls and values not seen in training give an all-zero vector."""
+        for c, size in self.sizes.items():
+            # The encoder learns how many values there are from the greatest index; a row of none stands for one that never comes.
+            last = df.sparkSession.createDataFrame([(float(max(size, 1) - 1),)], f"`_index_{c}` double")
+            encoder = OneHotEncoder(inputCols=[f"_index_{c}"], outputCols=[f"{c}{suffix}"], handleInvalid="keep", dropLast=True).fit(last)
+            indexed = self.with_index(df, c, f"_index_{c}")
+            if not size:
+                indexed = indexed.withColumn(f"_index_{c}", F.lit(1.0))
+            df = encoder.transform(indexed).drop(f"_index_{c}")
+        return df
+
+    def save(self, path: str) -> None:
+        self.table.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, columns: list[str]) -> "Categories":
+        return cls.of(spark.read.parquet(path), columns)
+
+    @classmethod
+    def of(cls, table: DataFrame, columns: list[str]) -> "Categories":
+        found = {r["column"]: r for r in table.groupBy("column").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + 32).alias("bytes")).collect()}  # a row for each column
+        sizes = {c: found[c]["n"] if c in found else 0 for c in columns}
+        return cls(table, sizes, sum(r["bytes"] for r in found.values()) <= BROADCAST_BYTES)
+
+
+def fit_categories(df: DataFrame, columns: list[str]) -> Categories:
+    """The distinct values of the columns, any number of them; they are numbered on the executors."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+                      if columns else F.array().cast("array<struct<column:string,value:string>>"))
+    values = df.select(pairs.alias("p")).select("p.column", "p.value").filter("value is not null").distinct()
+    numbered = with_numbers(values, ["column", "value"], "_n")
+    first = numbered.groupBy("column").agg(F.min("_n").alias("_first"))
+    table = numbered.join(F.broadcast(first), "column").select("column", "value", (F.col("_n") - F.col("_first")).cast("int").alias("index"))
+    return Categories.of(written(table, "categories"), columns)
 
 
-def one_hot(df: DataFrame, categories: dict[str, list[str]], suffix: str = "_vec") -> DataFrame:
+def one_hot(df: DataFrame, categories: Categories, suffix: str = "_vec") -> DataFrame:
     """A sparse 0/1 vector per column; values not seen in training give an all-zero vector."""
-    for c, labels in categories.items():
-        tag = F.array(F.col(c).cast("string"))
-        model = CountVectorizerModel.from_vocabulary(labels or ["\u0000"], f"_{c}", f"{c}{suffix}")
-        filled = F.filter(tag, lambda v: v.isNotNull())
-        df = model.setBinary(True).transform(df.withColumn(f"_{c}", filled)).drop(f"_{c}")
-    return df
+    return categories.transform(df, suffix)
 
 
 @dataclass(frozen=True)
@@ -192,7 +236,7 @@ class LogFeaturizer:
     """TF-IDF, one-hot level and module and scaled numbers, fitted on training rows only."""
 
     tfidf: TfidfModel
-    categories: dict[str, list[str]]
+    categories: Categories
     ranges: MinMax
 
     def transform(self, df: DataFrame, output: str = "features") -> DataFrame:
@@ -205,7 +249,7 @@ class LogFeaturizer:
 
     @property
     def size(self) -> int:
-        return len(self.tfidf.terms) + sum(max(len(v), 1) for v in self.categories.values()) + len(NUMERIC_FEATURES)
+        return len(self.tfidf.terms) + sum(max(n, 1) for n in self.categories.sizes.values()) + len(NUMERIC_FEATURES)
 
 
 def fit_log_featurizer(df: DataFrame, max_terms: int = 5000, min_docs: int = 2,
@@ -225,16 +269,16 @@ def fit_log_featurizer(df: DataFrame, max_terms: int = 5000, min_docs: int = 2,
 class FlowFeaturizer:
     """One-hot text columns and numbers divided by their population deviation (no centring)."""
 
-    categories: dict[str, list[str]]
+    categories: Categories
     scale: dict[str, float]
 
     def transform(self, df: DataFrame, output: str = "features") -> DataFrame:
         present = set(df.columns)
-        rows = df.withColumns({c: F.lit(None).cast("string") for c in (*self.categories, *self.scale) if c not in present})
+        rows = df.withColumns({c: F.lit(None).cast("string") for c in (*self.categories.sizes, *self.scale) if c not in present})
         rows = one_hot(rows, self.categories)
         names = {f"_n{i}": coerced(F.col(c)) / F.lit(s) for i, (c, s) in enumerate(self.scale.items())}
         rows = rows.withColumns(names)
-        parts = [f"{c}_vec" for c in self.categories] + list(names)
+        parts = [f"{c}_vec" for c in self.categories.sizes] + list(names)
         return VectorAssembler(inputCols=parts, outputCol=output).transform(rows).drop(*parts)
 
 
@@ -245,7 +289,7 @@ def coerced(col: Column) -> Column:
     return F.when(bad, 0.0).otherwise(number)
 
 
-def fit_flow_featurizer(df: DataFrame, drop: list[str], max_categories: int = MAX_CATEGORIES) -> FlowFeaturizer:
+def fit_flow_featurizer(df: DataFrame, drop: list[str]) -> FlowFeaturizer:
     kinds = {n: t for n, t in df.dtypes if n not in drop}
     texts = [n for n, t in kinds.items() if t == "string"]
     numbers = [n for n in kinds if n not in texts]
@@ -253,7 +297,7 @@ def fit_flow_featurizer(df: DataFrame, drop: list[str], max_categories: int = MA
     if numbers:
         row = df.agg(*[F.stddev_pop(coerced(F.col(c))).alias(c) for c in numbers]).first()
         scale = {c: (row[c] or 1.0) for c in numbers}
-    return FlowFeaturizer(fit_categories(df, texts, max_categories), scale)
+    return FlowFeaturizer(fit_categories(df, texts), scale)
 
 
 def prefer_normal(df: DataFrame, label: str, style: str) -> DataFrame:

@@ -49,7 +49,9 @@ def draw(seed: int, tree: int, node: int, what: str) -> float:
 
 
 def entries(df: DataFrame, features: str) -> list[Column]:
-    """Indices (null for a dense row) and values of the feature column, whether it is a vector or an array."""
+    """Indices (null for a dense row) and values of the feature column: a vector, an array, or a struct of the two."""
+    if dict(df.dtypes)[features].startswith("struct<indices"):
+        return [F.col(features)["indices"].alias("indices"), F.col(features)["values"].cast("array<double>").alias("values")]
     if "udt" not in str(df.schema[features].dataType.typeName()) and dict(df.dtypes)[features] != "vector":
         return [F.lit(None).cast("array<int>").alias("indices"), F.col(features).cast("array<double>").alias("values")]
     raw = F.unwrap_udt(F.col(features))

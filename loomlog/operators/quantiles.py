@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomlog.operators.lookups import lookup
+
 SKETCH_ACCURACY = 10_000
 READ_LIMIT = 50_000
 
@@ -110,3 +112,36 @@ def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
         else:
             out.append((lo, hi))
     return out
+
+
+def grouped_quantiles(df: DataFrame, key: str, column: str, probs: list[float]) -> DataFrame:
+    """key, prob, value: linear-interpolated quantiles of every group in one job, nulls ignored.
+
+    A sketch of each group brackets the wanted ranks with more room than its error can take. Values inside a bracket are
+    counted by value; of those outside only the nearest are kept, which the neighbours of a rank may still be.
+    """
+    values = df.select(key, F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    slack = 4.0 / SKETCH_ACCURACY
+    ends = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
+    heads = values.groupBy(key).agg(F.count("v").alias("n"), F.percentile_approx("v", ends, SKETCH_ACCURACY).alias("ends"))
+    at = lambda p: F.lit(p) * (F.col("n") - 1)
+    wanted = F.array(*[F.struct(
+        F.lit(p).alias("prob"), F.col("ends")[2 * i].alias("low"), F.col("ends")[2 * i + 1].alias("high"),
+        F.floor(at(p)).alias("rank"), (at(p) - F.floor(at(p))).alias("share")) for i, p in enumerate(probs)])
+    brackets = heads.select(key, "n", wanted.alias("wanted"))
+    joined = lookup(values, brackets, [key], "inner")
+    # each value counts below, inside or above the bracket of every rank
+    marked = joined.select(key, "n", "v", F.explode("wanted").alias("w")).select(key, "n", "v", "w.*")
+    inside = marked.filter(F.col("v").between(F.col("low"), F.col("high"))).groupBy(key, "n", "prob", "rank", "share", "v").agg(F.count("v").alias("c"))
+    outside = marked.groupBy(key, "prob").agg(
+        F.count_if(F.col("v") < F.col("low")).alias("below"), F.max(F.when(F.col("v") < F.col("low"), F.col("v"))).alias("before"),
+        F.min(F.when(F.col("v") > F.col("high"), F.col("v"))).alias("after"))
+    upto = Window.partitionBy(key, "prob").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.join(outside, [key, "prob"]).withColumn("last", F.col("below") + F.sum("c").over(upto) - 1)
+
+    def value_at(rank):
+        found = F.min(F.when(F.col("last") >= rank, F.col("v")))
+        return F.when(F.min(rank) < F.min("below"), F.min("before")).otherwise(F.coalesce(found, F.min("after")))
+    pair = ranked.groupBy(key, "prob", "share").agg(
+        value_at(F.col("rank")).alias("a"), value_at(F.least(F.col("rank") + 1, F.col("n") - 1)).alias("b"))
+    return pair.select(key, "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))

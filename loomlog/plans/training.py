@@ -14,11 +14,13 @@ from loomlog.checkpoints import written
 from loomlog.functions.severity import flow_label_is_anomaly, level_is_anomaly
 from loomlog.operators import evaluation
 from loomlog.operators.features import (
-    FlowFeaturizer, LogFeaturizer, MinMax, TfidfModel, fit_flow_featurizer, fit_log_featurizer, prefer_normal,
+    Categories, FlowFeaturizer, LogFeaturizer, MinMax, TfidfModel, fit_flow_featurizer, fit_log_featurizer, prefer_normal,
 )
-from loomlog.operators.forest import ForestModel, fit_forest, offsets_for
+from loomlog.operators.forest import ForestModel, fit_forest
 from loomlog.operators.sampling import mark_split, sample_rows
 from loomlog.options import ForestOptions
+from loomlog.plans import folds
+from loomlog.plans.folds import CONTAMINATIONS  # noqa: F401
 
 
 def with_label(logs: DataFrame, levels: list[str] | None = None) -> DataFrame:
@@ -67,10 +69,11 @@ class LogModel:
         f = self.featurizer
         meta = {
             "kind": self.kind, "threshold": self.threshold, "terms": f.tfidf.terms, "idf": f.tfidf.idf,
-            "stop_words": f.tfidf.stop_words, "bigrams": f.tfidf.bigrams, "categories": f.categories,
+            "stop_words": f.tfidf.stop_words, "bigrams": f.tfidf.bigrams, "categories": list(f.categories.sizes),
             "low": f.ranges.low, "high": f.ranges.high,
         }
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/featurizer")
+        f.categories.save(f"{path}/categories")
         if self.kind == "supervised":
             self.logistic.write().overwrite().save(f"{path}/logistic")
         else:
@@ -80,7 +83,8 @@ class LogModel:
     def load(cls, spark: SparkSession, path: str) -> "LogModel":
         m = json.loads(spark.read.text(f"{path}/featurizer", wholetext=False).first()["value"])
         featurizer = LogFeaturizer(
-            TfidfModel(m["terms"], m["idf"], m["stop_words"], m["bigrams"]), m["categories"], MinMax(m["low"], m["high"]))
+            TfidfModel(m["terms"], m["idf"], m["stop_words"], m["bigrams"]), Categories.load(spark, f"{path}/categories", m["categories"]),
+            MinMax(m["low"], m["high"]))
         if m["kind"] == "supervised":
             return cls(featurizer, "supervised", LogisticRegressionModel.load(f"{path}/logistic"), m["threshold"])
         return cls(featurizer, "forest", forest=ForestModel.load(spark, f"{path}/forest"))
@@ -137,43 +141,9 @@ def evaluate_by_source(model: LogModel, logs: DataFrame, source: str = "source_f
     return wide.join(counts, source)
 
 
-CONTAMINATIONS = [0.05, 0.10, 0.15, 0.20]
-
-
-def leave_one_out(logs: DataFrame, source: str = "source_file", contaminations: list[float] | None = None,
-                  ids: list[str] | None = None, trees: int = 100, **featurizer_options) -> DataFrame:
-    """Hold out each source in turn and evaluate a forest trained on the others at every contamination.
-
-    The forest does not depend on the contamination, only its cut does: one fit and one scoring pass per source.
-    """
-    ids, cuts = ids or ["line_id"], contaminations or CONTAMINATIONS
-    labelled = with_label(logs).persist()
-    sources = [r[0] for r in labelled.select(source).distinct().orderBy(source).collect()]
-    results = None
-    for held in sources:
-        train = labelled.filter(F.col(source) != held)
-        test = labelled.filter(F.col(source) == held)
-        if train.isEmpty():
-            continue
-        featurizer = fit_log_featurizer(train, **featurizer_options)
-        x_train = featurizer.transform(train).select(*ids, "features").persist()
-        model = fit_forest(x_train, ids, opts=ForestOptions(trees=trees), calibrate=False)
-        offsets = offsets_for(model, x_train, cuts)
-        x_train.unpersist()
-        scored = model.with_scores(featurizer.transform(test).select(*ids, "y", "features")).select("y", "iso_score")
-        # Each row is counted once per contamination inside one aggregate, not copied per contamination.
-        table = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("contamination"), (-F.col("iso_score") < F.lit(offsets[c])).cast("int").alias("pred")) for c in cuts
-        ]))
-        pairs = scored.select("y", table.alias("t")).select("y", "t.contamination", "t.pred")
-        report = evaluation.classification_report(pairs, by=["contamination"])
-        row = report.groupBy("contamination").agg(
-            *[F.max(F.when(F.col("class") == "1", F.col(m))).alias(f"{m}_anomaly") for m in ("f1", "recall", "precision")],
-            F.max(F.when(F.col("class") == "accuracy", F.col("f1"))).alias("accuracy"),
-            F.max(F.when(F.col("class") == "weighted avg", F.col("f1"))).alias("f1_weighted"),
-        ).select(F.lit(held).alias("test_dataset"), "*")
-        results = row if results is None else results.unionByName(row)
-    return results
+def leave_one_out(logs: DataFrame, source: str = "source_file", **options) -> DataFrame:
+    """Hold out each source and evaluate a forest trained on the others at every contamination, all folds in one job."""
+    return folds.leave_one_out(with_label(logs), source, **options)
 
 
 def train_all_and_save(spark: SparkSession, logs: DataFrame, path: str, contamination: float = 0.10,
@@ -206,14 +176,15 @@ class FlowModel:
         return self.forest.predict(self.featurizer.transform(flows)).drop("features")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        meta = json.dumps({"categories": self.featurizer.categories, "scale": self.featurizer.scale})
+        meta = json.dumps({"categories": list(self.featurizer.categories.sizes), "scale": self.featurizer.scale})
+        self.featurizer.categories.save(f"{path}/categories")
         spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/featurizer")
         self.forest.save(spark, f"{path}/forest")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FlowModel":
         m = json.loads(spark.read.text(f"{path}/featurizer").first()["value"])
-        return cls(FlowFeaturizer(m["categories"], m["scale"]), ForestModel.load(spark, f"{path}/forest"))
+        return cls(FlowFeaturizer(Categories.load(spark, f"{path}/categories", m["categories"]), m["scale"]), ForestModel.load(spark, f"{path}/forest"))
 
 
 def train_flow_model(flows: DataFrame, kind: str, ids: list[str], contamination: float = 0.02, trees: int | None = None,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomlog.operators.numbering import with_numbers
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
@@ -19,10 +21,9 @@ def write_parsed_directory(parsed: DataFrame, path: str) -> str:
 
 
 def write_templates(templates: DataFrame, path: str, column: str = "template") -> str:
-    """``Template i: text`` lines. A template list is short, so it is numbered in one ordered pass."""
-    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column))
-    lines = templates.select(column).distinct().select(
-        F.concat(F.lit("Template "), number.cast("string"), F.lit(": "), F.col(column)).alias("value"))
+    """``Template i: text`` lines, numbered from 1 in order on the executors."""
+    numbered = with_numbers(templates.select(column).distinct(), [column], "_n", start=1)
+    lines = numbered.select(F.concat(F.lit("Template "), F.col("_n").cast("string"), F.lit(": "), F.col(column)).alias("value"))
     lines.write.mode("overwrite").text(path)
     return path
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from loomlog.operators import aggregates as agg
 from loomlog.operators import features as feat
 from loomlog.operators import templates as tpl
-from loomlog.operators.forest import ForestModel, fit_forest
+from loomlog.operators import evaluation
+from loomlog.operators.forest import ForestModel, fit_forest, offsets_for
 from loomlog.options import ForestOptions, TemplateOptions
 from loomlog.plans import training, unsupervised
 
@@ -19,8 +20,8 @@ def test_entity_fixture(spark):
     assert got["A"]["bytes_sum"] == 300 and round(got["A"]["bytes_std"], 4) == 70.7107 and got["B"]["path_nunique"] == 2
     counts = {r["entity_id"]: (r["t1"], r["t2"], r["t3"]) for r in agg.entity_template_counts(df).collect()}
     assert counts == {"A": (1, 1, 0), "B": (1, 0, 1)}
-    with pytest.raises(ValueError):
-        agg.entity_template_counts(df, max_columns=2)
+    vectors = {r["entity_id"]: (r["features"]["indices"], r["features"]["values"]) for r in agg.entity_template_vectors(df).collect()}
+    assert vectors == {"A": ([0, 1], [1.0, 1.0]), "B": ([0, 2], [1.0, 1.0])}
 
 
 def test_tfidf_vector_and_long_form_agree(spark):
@@ -47,8 +48,63 @@ def test_unseen_values_and_bad_numbers(spark):
     new = spark.createDataFrame([(3, "icmp", float("inf"))], "id int, proto string, n double")
     assert model.transform(new).first()["features"].toArray().tolist() == [0.0, 0.0, 0.0]
     assert model.transform(train).filter("id = 2").first()["features"].toArray().tolist() == [0.0, 1.0, 3.0]
-    with pytest.raises(ValueError):
-        feat.fit_categories(train, ["proto"], limit=1)
+
+
+def test_any_number_of_categories(spark):
+    rows = spark.range(200_000).select("id", F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("c"))
+    some = feat.fit_categories(rows, ["c"])
+    assert some.sizes == {"c": 200_000}
+    new = spark.createDataFrame([(1, "v000007"), (2, "unseen"), (3, None), (4, "v199999")], "id long, c string")
+    got = {r["id"]: r["c_vec"] for r in feat.one_hot(new, some).collect()}
+    assert all(v.size == 200_000 for v in got.values())
+    assert {k: list(v.indices) for k, v in got.items()} == {1: [7], 2: [], 3: [], 4: [199_999]}
+    counts = agg.entity_template_vectors(rows.withColumn("e", F.col("id") % 3), None, "e", "c").select("e", F.size("features.indices"))
+    assert sorted(map(tuple, counts.collect())) == [(0, 66_667), (1, 66_667), (2, 66_666)]
+
+
+def test_stop_words_are_those_spark_loads(spark):
+    from loomlog import fixed_values as fv
+    from pyspark.ml.feature import StopWordsRemover
+    assert fv.ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_sparse_and_dense_rows_grow_the_same_forest(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 12)) * (rng.random((300, 12)) < 0.3)
+    dense = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(x)], "id long, features array<double>")
+    kept = [(k, [int(i) for i in np.flatnonzero(row)], row[row != 0].tolist()) for k, row in enumerate(x)]
+    sparse = spark.createDataFrame(kept, "id long, i array<int>, v array<double>").select(
+        "id", F.struct(F.col("i").alias("indices"), F.col("v").alias("values")).alias("features"))
+    opts = ForestOptions(trees=15)
+    one, two = fit_forest(dense, ["id"], opts=opts), fit_forest(sparse, ["id"], opts=opts)
+    assert one.nodes.equals(two.nodes) and one.offset == two.offset
+    scores = [{r["id"]: r["s"] for r in m.with_scores(df, name="s").collect()} for m, df in ((one, dense), (two, sparse), (one, sparse))]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_training_makes_features_of_drawn_rows_only(spark):
+    rows = spark.range(5_000).select("id", F.col("id").cast("double").alias("x"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def feature(x):
+        seen.add(1)
+        return [x]
+    fit_forest(rows, ["id"], opts=ForestOptions(trees=4, sample_size=64), calibrate=False, transform=lambda d: d.withColumn("features", feature("x")))
+    assert 256 <= seen.value <= 2 * 256
+
+
+def test_templates_of_a_large_group_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(tpl, "GROUP_TEXTS", 10)
+    rows = [f"opened door{a} in hall{b} by {c} today" for a, b, c in ((k % 40, k % 7, "abcdefgh"[k % 8]) for k in range(280))]
+    rows += [f"opened {k}x and closed {k}y at night then" for k in "abcdefghijklmnopqrstuvwxyz"]
+    df, seen = spark.createDataFrame([(k, m) for k, m in enumerate(rows)], "id int, message string"), []
+    for parts in (1, 4, 16):
+        mined = tpl.mine_templates(df.repartition(parts), "message")
+        assert mined.filter(~tpl.fits(tpl.tokens_of(F.col("message")), F.col("template"))).count() == 0
+        seen.append({(r["id"], r["template"]) for r in mined.collect()})
+    assert seen[0] == seen[1] == seen[2]
+    assert {t for _, t in seen[0]} == {"opened <*> in <*> by <*> today", "opened <*> and closed <*> at night then"}
 
 
 def _messages(spark):
@@ -133,9 +189,43 @@ def test_supervised_training_and_saved_scoring(spark, tmp_path):
     assert {r["source_file"]: r["total"] for r in per_source.collect()} == {"set0": 120, "set1": 120}
 
 
-def test_leave_one_out_grid(spark):
-    got = training.leave_one_out(_logs(spark), contaminations=[0.1, 0.3], trees=10, max_terms=20)
-    assert sorted((r["test_dataset"], r["contamination"]) for r in got.collect()) == [("set0", 0.1), ("set0", 0.3), ("set1", 0.1), ("set1", 0.3)]
+def _fold_by_fold(logs, cuts, trees, **options):
+    """The plain way: fit, calibrate and evaluate a model for each source."""
+    out, labelled = {}, training.with_label(logs)
+    for held in sorted(r[0] for r in logs.select("source_file").distinct().collect()):
+        train = labelled.filter(F.col("source_file") != held)
+        featurizer = feat.fit_log_featurizer(train, **options)
+        model = fit_forest(train, ["line_id"], opts=ForestOptions(trees=trees), calibrate=False, transform=featurizer.transform)
+        offsets = offsets_for(model, featurizer.transform(train), cuts)
+        scored = model.with_scores(featurizer.transform(labelled.filter(F.col("source_file") == held))).select("y", "iso_score").collect()
+        for c in cuts:
+            pairs = [(r["y"], int(-r["iso_score"] < offsets[c])) for r in scored]
+            tp, fp, fn = (sum(p == x for p in pairs) for x in ((1, 1), (0, 1), (1, 0)))
+            out[held, c] = (2 * tp / (2 * tp + fp + fn) if tp else 0.0, sum(a == b for a, b in pairs) / len(pairs))
+    return out
+
+
+def test_leave_one_out_in_one_job_is_fold_by_fold(spark):
+    logs, cuts = _logs(spark).withColumn("source_file", F.concat(F.lit("set"), (F.col("line_id") % 7 % 3).cast("string"))), [0.1, 0.3]
+    logs = logs.withColumn("module", F.concat("module", F.when(F.col("source_file") == "set1", "own").otherwise("")))
+    got = training.leave_one_out(logs, contaminations=cuts, trees=10, max_terms=20)
+    found = {(r["test_dataset"], r["contamination"]): (round(r["f1_anomaly"], 9), round(r["accuracy"], 9)) for r in got.collect()}
+    want = _fold_by_fold(logs, cuts, 10, max_terms=20)
+    assert found == {k: (round(a, 9), round(b, 9)) for k, (a, b) in want.items()} and len(found) == 6
+    best = evaluation.best_by_mean_f1(got).first()
+    means = {c: sum(f for (_, x), (f, _) in want.items() if x == c) / 3 for c in cuts}
+    assert best["contamination"] == max(means, key=lambda c: (means[c], -c)) and abs(best["mean_f1"] - max(means.values())) < 1e-9
+
+
+def test_grouped_quantiles(spark):
+    from loomlog.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(size=1), "b": rng.integers(0, 4, 300).astype(float), "c": rng.normal(size=5_000)}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("a", None)], "k string, v double")
+    got = {(r["k"], r["prob"]): r["value"] for r in grouped_quantiles(df.repartition(7), "k", "v", [0.0, 0.05, 0.5, 0.99, 1.0]).collect()}
+    assert len(got) == 15
+    for (k, p), v in got.items():
+        assert abs(v - np.quantile(groups[k], p)) < 1e-12
 
 
 def test_flow_model(spark, tmp_path):
@@ -172,7 +262,7 @@ def test_window_run_and_saved_templates(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name, trees", [
-    ("logreg_anomaly", None), ("forest_on_logs", 200), ("leave_one_out", 100), ("evaluate_by_source", 200), ("saved_model_scores", 200),
+    ("logreg_anomaly", None), ("forest_on_logs", 200), ("evaluate_by_source", 200), ("saved_model_scores", 200),
     ("stream_score", 200), ("flow_iforest", 100), ("line_anomalies", 100),
 ])
 def test_registered_queries_learn_at_full_size(spark, monkeypatch, name, trees):
@@ -189,21 +279,27 @@ def test_registered_queries_learn_at_full_size(spark, monkeypatch, name, trees):
         seen["terms"] = (max_terms, min_docs)
         return real(df, max_terms, min_docs, **options)
 
-    def cuts(model, x, contaminations):
-        seen["cuts"] = contaminations
-        raise Stop
-
     seen, real = {}, training.fit_log_featurizer
     monkeypatch.setattr(training, "fit_log_featurizer", featurizer)
     monkeypatch.setattr(training, "fit_logistic", stop)
     monkeypatch.setattr(unsupervised, "fit_forest", stop)
-    if name == "leave_one_out":
-        monkeypatch.setattr(training, "fit_forest", lambda *args, opts=None, **kwargs: seen.update(trees=opts.trees))
-        monkeypatch.setattr(training, "offsets_for", cuts)
-    else:
-        monkeypatch.setattr(training, "fit_forest", stop)
+    monkeypatch.setattr(training, "fit_forest", stop)
     with pytest.raises(Stop):
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen["trees"] == trees
     assert seen.get("terms", (5000, 2)) == (5000, 2)
-    assert seen.get("cuts", training.CONTAMINATIONS) == training.CONTAMINATIONS
+
+
+def test_registered_folds_learn_at_full_size(spark, monkeypatch):
+    import inspect
+
+    from loomlog.catalog import QUERIES
+    from loomlog.plans import folds
+
+    seen = []
+    monkeypatch.setattr(folds, "leave_one_out", lambda rows, source, **options: seen.append(options))
+    QUERIES["leave_one_out"](spark, "/root/testdata/sf0.001")
+    monkeypatch.undo()
+    defaults = {k: p.default for k, p in inspect.signature(folds.leave_one_out).parameters.items()}
+    assert seen == [{}] and folds.CONTAMINATIONS == [0.05, 0.10, 0.15, 0.20]
+    assert (defaults["trees"], defaults["max_terms"], defaults["min_docs"], defaults["bigrams"]) == (100, 5000, 2, True)
