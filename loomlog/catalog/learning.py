@@ -312,11 +312,32 @@ def text_files_parsed(spark, d):
         F.count(F.lit(1)).alias("n"), F.count_if("parsed").alias("parsed"), F.min("line_num").alias("first_line"))
 
 
-@query("csv_files_read", f'SELECT CAST(line_id AS varchar) AS line_id, "Level" AS level, "Content" AS content FROM {frm("auth_log")}')
+_CONTENTS = "(SELECT line_id, \"Level\", CASE line_id % 4 WHEN 0 THEN 'caf' || chr(233) || ' ' || \"Content\" WHEN 1 THEN \"Content\" || chr(10) || 'second, \"line\"' ELSE \"Content\" END AS c FROM " + frm("auth_log") + ")"
+
+
+@query("csv_files_read", f'SELECT CAST(line_id AS varchar) AS line_id, "Level" AS level, c AS content FROM {_CONTENTS}')
 def csv_files_read(spark, d):
-    """The authentication log written as CSV and read back through the CSV reader."""
-    path = sinks.write_csv(view(spark, d, "auth_log").select("line_id", "Level", "Content"), fresh_path(spark, "csv"))
-    return readers.read_csv_log(spark, path, infer=False).select("line_id", F.col("Level").alias("level"), F.col("Content").alias("content"))
+    """The authentication log written as CSV, half of it in UTF-8 and half in Latin-1, with accents and quoted line breaks, and read back."""
+    rows = view(spark, d, "auth_log").select("line_id", "Level", F.expr(
+        "CASE line_id % 4 WHEN 0 THEN concat('caf', char(233), ' ', Content) WHEN 1 THEN concat(Content, char(10), 'second, \"line\"') ELSE Content END").alias("Content"))
+    path, half = fresh_path(spark, "csv"), F.col("line_id") % 8 < 4
+    sinks.write_csv(rows.filter(half), f"{path}/a")
+    sinks.write_csv(rows.filter(~half), f"{path}/b", encoding="ISO-8859-1")
+    read = readers.read_csv_log(spark, path, infer=False, recursive=True)
+    return read.select("line_id", F.col("Level").alias("level"), F.col("Content").alias("content"))
+
+
+@query("csv_files_by_name", "SELECT l_linenumber AS part, count(*) AS n, count(CASE WHEN l_linenumber % 2 = 0 THEN l_quantity END) AS quantities, round(sum(l_discount), 2) AS discount, CAST(sum(l_orderkey) AS double) AS keys FROM lineitem GROUP BY 1")
+def csv_files_by_name(spark, d):
+    """Order lines written as CSV folders whose columns differ in order and number, read back as one frame by name."""
+    rows, path = table(spark, d, "lineitem"), fresh_path(spark, "by-name")
+    even = F.col("l_linenumber") % 2 == 0
+    sinks.write_csv(rows.filter(even).select("l_linenumber", "l_orderkey", "l_quantity", "l_discount"), f"{path}/even")
+    sinks.write_csv(rows.filter(~even).select("l_discount", "l_linenumber", "l_orderkey"), f"{path}/odd")
+    read = readers.read_csv_by_name(spark, path, recursive=True)
+    return read.groupBy(F.col("l_linenumber").cast("int").alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("l_quantity").alias("quantities"), F.round(F.sum("l_discount"), 2).alias("discount"),
+        F.sum("l_orderkey").alias("keys"))
 
 
 @query("rows_per_file", "SELECT 'events.parquet' AS file, count(*) AS n FROM events")

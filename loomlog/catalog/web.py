@@ -230,6 +230,21 @@ def geo_lookup(spark, d):
     return with_geo(ips, geo_ranges(spark, d))
 
 
+_V6 = "'2001:db8:' || CAST(user_id % 7 AS {string}) || '::' || CAST(user_id AS {string})"
+
+
+@query("geo_lookup_v6", """SELECT DISTINCT '2001:db8:' || CAST(user_id % 7 AS varchar) || '::' || CAST(user_id AS varchar) AS ip,
+ CASE WHEN user_id % 7 = 2 AND user_id BETWEEN 10 AND 49 THEN 'NN' WHEN user_id % 7 IN (1, 2, 3) THEN 'C' || CAST(user_id % 7 AS varchar) WHEN user_id % 7 <= 5 THEN 'ALL' END AS country FROM events""")
+def geo_lookup_v6(spark, d):
+    """Places of IPv6 addresses: a wide range, narrower ones inside it and one inside of those."""
+    ips = table(spark, d, "events").select(F.expr(_V6.format(string="string")).alias("ip")).distinct()
+    last = ":ffff:ffff:ffff:ffff:ffff"
+    nets = [("2001:db8::", f"2001:db8:5{last}", "ALL"), ("2001:db8:2::10", "2001:db8:2::49", "NN")]
+    nets += [(f"2001:db8:{k}::", f"2001:db8:{k}{last}", f"C{k}") for k in (1, 2, 3)]
+    ranges = spark.createDataFrame([(a, b, c, None) for a, b, c in nets], "start string, end string, country string, city string")
+    return with_geo(ips, ranges).select("ip", "country")
+
+
 @query("align_columns", "SELECT c_custkey, 0 AS c_extra, c_name FROM customer")
 def align_columns(spark, d):
     return schema.align_columns(table(spark, d, "customer"), ["c_custkey", "c_extra", "c_name"], 0)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomlog import fixed_values as fv
-from loomlog.functions.text import first_extract
+from loomlog.functions.text import first_extract, let
 
 # IPv6: eight groups, or a "::" standing for at least one group, with an optional dotted tail.
 _H = "[0-9A-Fa-f]{1,4}"
@@ -87,3 +87,22 @@ def extract_ip(text: Column) -> Column:
 def extract_ip_loose(text: Column) -> Column:
     """As :func:`extract_ip` with any 1-3 digit octets, the form used for rankings."""
     return first_extract(text, fv.LOOSE_IP_FINDERS)
+
+
+def ip_key(col: Column) -> Column:
+    """An address as 32 hexadecimal digits, in the order of addresses; null unless it is valid. IPv4 is mapped into IPv6."""
+    def hexed(number: Column) -> Column:
+        return F.lpad(F.lower(F.hex(number)), 8, "0")
+    text = F.lower(F.regexp_replace(col, "%.*$", ""))
+    dotted = F.regexp_extract(text, "[0-9.]*$", 0)
+    tail = hexed(ipv4_number(dotted))
+    plain = F.when(dotted.contains("."), F.concat(
+        F.substring(text, F.lit(1), F.length(text) - F.length(dotted)), F.substring(tail, 1, 4), F.lit(":"), F.substring(tail, 5, 4))).otherwise(text)
+
+    def expanded(s: Column) -> Column:
+        halves = F.split(s, "::", 2)
+        left, right = (F.filter(F.split(F.coalesce(F.get(halves, F.lit(k)), F.lit("")), ":"), lambda g: g != "") for k in (0, 1))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+        return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), "")
+    mapped = F.concat(F.lit("0" * 20 + "ffff"), hexed(ipv4_number(col)))
+    return F.when(is_valid_ipv4(col), mapped).when(is_valid_ip(col), let(plain, expanded))

@@ -8,11 +8,12 @@ of hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomlog.checkpoints import written
-from loomlog.functions.ip import ipv4_number
+from loomlog.functions.ip import ip_key
 
 #: Size of a lookup table that may be sent to every task: its texts, and 16 bytes for every value.
 BROADCAST_BYTES = 16 << 20
@@ -38,23 +39,49 @@ def with_reputation(ips: DataFrame, scores: DataFrame) -> DataFrame:
     return ips.join(table, "ip", "left")
 
 
+def range_prefixes(ranges: DataFrame) -> DataFrame:
+    """prefix (hexadecimal digits), country, city: address ranges cut at the borders of whole digits.
+
+    ``start`` and ``end`` (inclusive) are IPv4 numbers, or texts of IPv4 or IPv6 addresses. A range is at most 30 prefixes of
+    each length. Ranges that do not read, or end before they start, have none.
+    """
+    def cut(batches):
+        for b in batches:
+            out = []
+            for start, end, country, city in zip(b["from"], b["to"], b["country"], b["city"]):
+                if start is None or end is None:
+                    continue
+                low, high = int(start, 16), int(end, 16) + 1
+                while low < high:
+                    free = 0  # digits that the next prefix leaves free: as many as its start and the rest of the range allow
+                    while free < 32 and low % 16 ** (free + 1) == 0 and low + 16 ** (free + 1) <= high:
+                        free += 1
+                    out.append((f"{low:032x}"[:32 - free], country, city))
+                    low += 16 ** free
+            yield pd.DataFrame(out, columns=["prefix", "country", "city"])
+
+    def key(name: str) -> Column:
+        if dict(ranges.dtypes)[name] == "string":
+            return ip_key(F.col(name))
+        return F.concat(F.lit("0" * 20 + "ffff"), F.lpad(F.lower(F.hex(F.col(name).cast("long"))), 8, "0"))
+    keyed = ranges.select(key("start").alias("from"), key("end").alias("to"), F.col("country").cast("string"), F.col("city").cast("string"))
+    return keyed.mapInPandas(cut, "prefix string, country string, city string")
+
+
 def with_geo(ips: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
-    """Attach country and city by address range (``start``..``end`` inclusive).
+    """Attach country and city of the smallest range an address lies in; IPv4 and IPv6.
 
-    Ranges do not overlap. They are cut at /16 borders; within a /16 block addresses and range starts are put in
-    order, and an address takes the last start at or before it, if that range reaches so far. No pairs are formed.
-    Call it on one row per address: a block then holds at most 65,536 of each. Null places are kept apart by a hash.
+    Ranges are cut into prefixes of whole hexadecimal digits. An address looks up one prefix of each length that occurs, 33 at
+    most, and takes the longest that is found; of equal ranges the greatest place. Addresses are looked up once each.
     """
-    place = F.struct(F.col("end").alias("_end"), "country", "city")
-    starts = ranges.select(
-        F.col("start").alias("_num"), place.alias("_place"),
-        F.explode(F.sequence(F.shiftright("start", 16), F.shiftright("end", 16))).alias("_block"),
-    ).select("_block", F.greatest("_num", F.shiftleft("_block", 16)).alias("_num"), F.lit(None).alias("_row"), "_place")
-    number = ipv4_number(F.col(ip))
-    rows = ips.select(
-        F.coalesce(F.shiftright(number, 16), -1 - F.abs(F.xxhash64(F.col(ip)) % 65_536)).alias("_block"), number.alias("_num"),
-        F.struct("*").alias("_row"), F.lit(None).alias("_place"))
-    before = Window.partitionBy("_block").orderBy("_num", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    found = starts.unionByName(rows).withColumn("_last", F.last("_place", ignorenulls=True).over(before)).filter(F.col("_row").isNotNull())
-    inside = F.col("_last._end") >= F.col("_num")
-    return found.select("_row.*", *[F.when(inside, F.col(f"_last.{c}")).alias(c) for c in ("country", "city")])
+    prefixes = written(range_prefixes(ranges).groupBy("prefix").agg(F.max(F.struct("country", "city")).alias("place")), "prefixes")
+    lengths = [r[0] for r in prefixes.select(F.length("prefix")).distinct().orderBy(F.length("prefix")).collect()]  # 0 to 32
+    known = ips.select(F.col(ip).alias("_ip"), ip_key(F.col(ip)).alias("_key")).filter("_key is not null").distinct()
+    candidates = known.select("_ip", F.explode(
+        F.array(*[F.expr(f"substring(_key, 1, {n})") for n in lengths]) if lengths else F.array().cast("array<string>")).alias("prefix"))
+    flat = prefixes.select("prefix", "place.country", "place.city")
+    found = lookup(candidates, flat, ["prefix"], "inner").groupBy("_ip").agg(
+        F.max_by(F.struct("country", "city"), F.length("prefix")).alias("_place"))
+    places = found.select(F.col("_ip").alias(ip), "_place.country", "_place.city")
+    return lookup(ips.drop("country", "city"), places, [ip], "left").select(
+        *[c for c in ips.columns if c not in ("country", "city")], "country", "city")

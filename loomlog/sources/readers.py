@@ -3,33 +3,70 @@
 from __future__ import annotations
 
 import os
+import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlog import fixed_values as fv
 from loomlog import schema
+from loomlog.checkpoints import written
+from loomlog.operators.lookups import lookup
 from loomlog.operators.parsing import clean_lines, parse_by_source, parse_lines, structured_rows
 
 _GLOB = "*.{" + ",".join(e.lstrip(".") for e in fv.TEXT_LOG_EXTENSIONS) + "}"
 
 
-def read_csv_log(spark: SparkSession, path, schema_: T.StructType | None = None, sep: str = ",",
-                 encoding: str = "UTF-8", infer: bool = True, recursive: bool = False, glob: str | None = None) -> DataFrame:
-    """CSV with a header; rows that do not fit are dropped. Pass a schema to spare the inference pass."""
+def _csv_reader(spark: SparkSession, sep: str, encoding: str | None, multi_line: bool, recursive: bool, glob: str | None):
     reader = (
-        spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-        .option("mode", "DROPMALFORMED").option("quote", '"').option("escape", '"')
-        .option("recursiveFileLookup", recursive)
+        spark.read.option("header", True).option("sep", sep).option("encoding", encoding or _BYTES)
+        .option("quote", '"').option("escape", '"').option("multiLine", multi_line).option("recursiveFileLookup", recursive)
     )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if schema_ is not None:
-        reader = reader.schema(schema_)
-    else:
-        reader = reader.option("inferSchema", infer)
-    return reader.csv(path)
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+#: An encoding that every byte is one character of, so that a text can be turned back into its bytes.
+_BYTES = "ISO-8859-1"
+
+
+def decoded(col: Column) -> Column:
+    """A text read byte by byte as UTF-8, or as Latin-1 where it is no UTF-8."""
+    return F.coalesce(F.try_validate_utf8(F.encode(col, _BYTES).cast("string")), col)
+
+
+def _decoded_name(name: str) -> str:
+    try:
+        return name.encode(_BYTES).decode()
+    except UnicodeError:
+        return name
+
+
+def read_csv_log(spark: SparkSession, path, schema_: T.StructType | None = None, sep: str = ",",
+                 encoding: str | None = None, infer: bool = True, recursive: bool = False, glob: str | None = None,
+                 multi_line: bool = True) -> DataFrame:
+    """CSV with a header. Pass a schema to spare the inference pass.
+
+    Values may hold quoted line breaks; files are then read whole, one to a task. ``multi_line=False`` splits large files that
+    have none. Without ``encoding`` every value is taken as UTF-8 or, where it is none, as Latin-1. Rows with more or fewer
+    values than the header are dropped; :func:`malformed_csv` shows them.
+    """
+    reader = _csv_reader(spark, sep, encoding, multi_line, recursive, glob).option("mode", "DROPMALFORMED")
+    df = (reader.schema(schema_) if schema_ is not None else reader.option("inferSchema", infer)).csv(path)
+    if encoding:
+        return df
+    return df.select(*[(decoded(F.col(f"`{n}`")) if t == "string" else F.col(f"`{n}`")).alias(_decoded_name(n)) for n, t in df.dtypes])
+
+
+def malformed_csv(spark: SparkSession, path, sep: str = ",", recursive: bool = False, glob: str | None = None, multi_line: bool = True) -> DataFrame:
+    """source_file and record (as it stands in the file) of the rows that :func:`read_csv_log` drops."""
+    reader = _csv_reader(spark, sep, None, multi_line, recursive, glob)
+    names = [f.name for f in reader.option("inferSchema", False).csv(path).schema]
+    columns = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_record"]])
+    rows = reader.schema(columns).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").csv(path)
+    # the record is read together with a value: alone it would be read from no column at all
+    return rows.select(F.col("_metadata.file_path").alias("source_file"), F.col(f"`{names[0]}`").alias("_first"), "_record").filter(
+        "_record is not null").select("source_file", decoded(F.col("_record")).alias("record"))
 
 
 def read_text_lines(spark: SparkSession, path, recursive: bool = False, glob: str | None = None) -> DataFrame:
@@ -89,11 +126,11 @@ def read_app_rows(spark: SparkSession, path: str) -> DataFrame:
     return structured_rows(read_csv_log(spark, path, infer=False))
 
 
-def structured_datasets(spark: SparkSession, roots: list[str]) -> list[str]:
-    """Sorted paths of the ``*log_structured.csv`` files under the roots, as Spark lists them."""
+def structured_datasets(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """path of every ``*log_structured.csv`` file under the roots, in order."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*log_structured.csv").load(roots).select("path")
-    return sorted({r["path"] for r in files.collect()})
+        "pathGlobFilter", "*log_structured.csv").load(roots)
+    return files.select("path").distinct().orderBy("path")
 
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
@@ -141,8 +178,38 @@ def load_unsw(spark: SparkSession, base: str, official_split: bool = True, all_f
     return schema.union_aligned(*[read_csv_log(spark, f) for f in _required(_existing(spark, base, names), "UNSW-NB15")])
 
 
+def read_csv_by_name(spark: SparkSession, path, sep: str = ",", glob: str = "*.csv", recursive: bool = False) -> DataFrame:
+    """All CSV files of a folder as one frame, whatever columns each has and in whatever order.
+
+    The lines of all files are one scan. A file's first line is its header; every value goes to the column that its own file's
+    header names, columns that a file lacks are null. Types come from one pass over all values: a column whose every value
+    reads as a number is a double. Values hold no line breaks. Lines that differ from their header in length are dropped.
+    """
+    lines = read_text_lines(spark, path, recursive, glob).withColumn("value", F.regexp_replace("value", "\r$", ""))
+    headers = written(lines.filter("line_num = 1").select("source_file", F.col("value").alias("header")), "headers")
+    widest = headers.agg(F.max(F.size(F.split("header", re.escape(sep))))).first()[0]
+    if widest is None:
+        raise FileNotFoundError(f"no files {glob} in {path}")
+    shape = ", ".join(f"c{k} string" for k in range(widest + 1))  # one more: a longer line shows by it
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+
+    def values(col: str) -> Column:
+        return F.array(*[F.from_csv(F.col(col), F.lit(shape), options)[f"c{k}"] for k in range(widest + 1)])
+    cut = written(headers.withColumn("names", F.filter(values("header"), lambda x: x.isNotNull())).select(
+        "source_file", F.transform("names", lambda x: F.trim(x)).alias("names")), "headers")
+    names = [r[0] for r in cut.select(F.explode("names")).distinct().orderBy("col").collect()]  # the schema
+    rows = lookup(lines.filter((F.col("line_num") > 1) & (F.trim("value") != "")), cut, ["source_file"], "inner").withColumn("v", values("value"))
+    size = F.size("names")
+    fits = (F.size(F.filter(F.slice("v", size + 1, widest + 1), lambda x: x.isNotNull())) == 0) & (
+        F.size(F.split("value", re.escape(sep))) >= size)
+    mapped = rows.filter(fits).select("source_file", F.map_from_arrays("names", F.slice("v", F.lit(1), size)).alias("m"))
+    texts = written(mapped.select("source_file", *[F.try_element_at("m", F.lit(n)).alias(n) for n in names]), "by-name")
+    bad = [F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast("double").isNull()).alias(f"n{k}") for k, n in enumerate(names)]
+    found = texts.agg(*bad).first()
+    return texts.select("source_file", *[
+        (F.col(f"`{n}`").cast("double") if not found[f"n{k}"] else F.col(f"`{n}`")).alias(n) for k, n in enumerate(names)])
+
+
 def load_ctu_iot(spark: SparkSession, base: str) -> DataFrame:
-    """All CSV files of a folder, columns aligned by name."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(base).select("path")
-    names = _required(sorted(r["path"] for r in files.collect()), "CTU-IoT")
-    return schema.union_aligned(*[read_csv_log(spark, f) for f in names])
+    """All CSV files of a folder, columns aligned by name, in one scan."""
+    return read_csv_by_name(spark, base).drop("source_file")

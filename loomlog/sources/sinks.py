@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from loomlog.operators.numbering import with_numbers
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> str:
+    df.write.mode(mode).option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
     return path
 
 

@@ -61,6 +61,7 @@ def test_templates_and_structured_files(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "X_log_structured.csv").write_text("Time,Level,Content,EventTemplate\nSun Dec 04 04:47:44 2005,notice,hi,E1\n")
     found = readers.structured_datasets(spark, [str(tmp_path / "d")])
+    found = [r["path"] for r in found.collect()]
     assert len(found) == 1 and readers.read_app_rows(spark, found[0]).first()["log_level"] == "INFO"
     raw = readers.read_csv_log(spark, found[0])
     sinks.write_unique_templates(raw, str(tmp_path / "u"))
