@@ -6,7 +6,7 @@ first, of these the ones that fewer than ``HOT`` sets have by hash, then the oth
 over all of them; the rest follows by hash. An index list holds the sets with one token among their first, in blocks of like
 size, ordered by the position that the token has in the set. Similar sets' positions differ by little, so a set reads one
 run of its own block and one of the next and skips the rest of the list. What it reads is tested by sizes, positions and
-then parities: each set has a bit for each of at least n classes of hashes, set if it has an odd number of them, and two
+then parities: each set has a bit for each of at least n / 2 classes of hashes, set if it has an odd number of them, and two
 sets differ in at least as many tokens as bits. What passes is connected, and each connected group is settled on the sets.
 
 There a set's overlaps with all others are first counted along the lists of all its tokens. A set similar to one that has
@@ -70,8 +70,8 @@ def first_tokens(n: int, percent: int) -> int:
 
 
 def parities(tokens: np.ndarray) -> bytes:
-    """A bit for each class of hashes, as many as the power of two from 64 on that reaches the number of tokens."""
-    width = max(64, 1 << (len(tokens) - 1).bit_length())
+    """A bit for each class of hashes, as many as the power of two from 64 on that reaches half the number of tokens."""
+    width = max(64, 1 << ((len(tokens) - 1) // 2).bit_length())
     odd = (np.bincount(tokens & (width - 1), minlength=width) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
 
@@ -94,17 +94,25 @@ def sets(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
 
 
 def index_rows(distinct: DataFrame, percent: int) -> DataFrame:
-    """id, n, token and pos of each set's first tokens, in the order of tokens that holds for all sets."""
-    counted = F.filter("low", lambda t: t < _LIMIT)
-    hot = saved(distinct.select(F.explode(counted).alias("token")).groupBy("token").count().filter(F.col("count") >= HOT), "hot")
-    of_set = distinct.select("id", F.explode(counted).alias("token")).join(small(hot), "token").groupBy("id").agg(
+    """grp (a token), id, n and pos of each set's first tokens, in the order of tokens that holds for all sets.
+
+    Tokens that one set alone has are left out, and so are lists that hold the same sets as another: a pair is tested alike in
+    each list that holds it. Membership is compared by count and two hashes of the ids, 128 bits.
+    """
+    counts = saved(distinct.select(F.explode("low").alias("token")).groupBy("token").count().filter("count > 1"), "counts")
+    hot = saved(counts.filter((F.col("count") >= HOT) & (F.col("token") < _LIMIT)), "hot")
+    of_set = distinct.select("id", F.explode("low").alias("token")).join(small(hot), "token").groupBy("id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("count", "token"))), lambda x: x["token"]).alias("behind"))
-    none = F.array().cast("array<long>")
-    behind = F.coalesce("behind", none)
-    order = F.concat(F.array_except(counted, behind), behind, F.filter("low", lambda t: t >= _LIMIT))
+    behind = F.coalesce("behind", F.array().cast("array<long>"))
+    order = F.concat(F.array_except(F.filter("low", lambda t: t < _LIMIT), behind), behind, F.filter("low", lambda t: t >= _LIMIT))
     first = F.expr(f"cast(n - (n * {percent} + 99) div 100 + 1 as int)")
-    return distinct.select("id", "n", "low").join(of_set, "id", "left").select(
+    rows = distinct.select("id", "n", "low").join(of_set, "id", "left").select(
         "id", "n", F.posexplode(F.slice(order, F.lit(1), first)).alias("pos", "token"))
+    shared = saved(rows.join(counts.select("token"), "token"), "index")
+    lists = shared.groupBy("token").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit("id"), "id")).alias("y"))
+    kept = saved(lists.filter("size > 1").groupBy("size", "x", "y").agg(F.min("token").alias("token")).select("token"), "lists")
+    return saved(shared.join(kept, "token").withColumnRenamed("token", "grp"), "index")
 
 
 # Lists and groups, whole or dealt into parts.
@@ -336,9 +344,7 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SH
     distinct = saved(marked.filter("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("bits").alias("bits")
     ).withColumn("id", F.monotonically_increasing_id()), "distinct")
-    index = saved(index_rows(distinct, percent), "index")
-
-    lists = index.select(F.col("token").alias("grp"), "id", F.lit(0).alias("weight"), "n", "pos")
+    lists = index_rows(distinct, percent).withColumn("weight", F.lit(0))
     near = connected(lists, lambda rows: listed(rows.join(distinct.select("id", "bits"), "id"), percent))
     wanted = saved(near.withColumnRenamed("fp", "id").join(distinct.select("id", "key", "least", "n"), "id"), "wanted")
     tokens = saved(exact_sets(docs, wanted, shingle), "tokens")
