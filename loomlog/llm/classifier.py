@@ -3,13 +3,15 @@
 Every labelled good text is preferred to every labelled bad one. A document's strength is linear in measures of its text;
 the weights minimise the logistic loss on differences of the measures of a pair. At most ``SAMPLE`` labelled documents of
 either class take part, those with the smallest hash of their doc_id, and each is compared with at most ``RIVALS`` of the
-other class. The threshold is a quantile of the strengths of the labelled documents: the one with the best balanced
-accuracy. A score is the logistic function of the strength, shifted so that the threshold gets ``CUT``.
+other class. The threshold is a quantile of the strengths of all labelled documents that are not held out, from histograms of
+``BINS`` strengths: the one with the best balanced accuracy. A score is the logistic function of the strength, shifted so that
+the threshold gets ``CUT``.
 
 Only the text is an input of a score: doc_id decides which labels are held out (and drawn), lang and source are not read.
 
 Nulls: a null text is empty and is scored as such; a null doc_id is scored, counts as not held out and finds no label.
-Labels that are null or contradict each other for a document are left out; repeated labels count once. Extra columns
+Labels that are null or contradict each other for a document are left out; repeated labels count once. Of several texts with
+one labelled doc_id the smallest is learned from. Extra columns
 are ignored by :func:`scored` and carried along by :func:`kept_documents`. Empty tables give no rows; without labels of both
 classes every score is one half.
 """
@@ -26,10 +28,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import texts_of
+from loomlog.llm.common import saved, small, texts_of
 
 #: Labelled documents of a class, and comparisons of each; with the number of measures they bound the driver's work.
 SAMPLE, RIVALS = 6_000, 24
+#: Cuts that are tried for the threshold.
+BINS = 2_000
 #: The score of the threshold.
 CUT = 0.3
 #: Strength of the pull of weights towards 0.
@@ -71,11 +75,15 @@ class Strength:
         z = np.clip((x - self.middle) / self.spread, -6, 6)
         return np.hstack([z, z * z / 3])
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def strengths(self, texts) -> np.ndarray:
+        x = np.array([measures(t) for t in texts]).reshape(len(texts), -1)
+        return self.terms(x) @ self.weights if self.weights is not None and len(texts) else np.zeros(len(texts))
+
+    def score(self, strengths: np.ndarray) -> np.ndarray:
         if self.weights is None:
-            return np.full(len(x), 0.5)
+            return np.full(len(strengths), 0.5)
         shift = np.log(CUT / (1 - CUT))
-        value = np.clip(self.terms(x) @ self.weights - self.threshold + shift, -500, 500)
+        value = np.clip(strengths - self.threshold + shift, -500, 500)
         score = 1 / (1 + np.exp(-value))
         return np.where(value >= shift, np.maximum(score, CUT), np.minimum(score, np.nextafter(CUT, 0)))
 
@@ -103,38 +111,62 @@ def fit(good: np.ndarray, bad: np.ndarray, steps: int = 30) -> Strength:
         if np.abs(step).max() < 1e-8:
             break
     model.weights = w
-    sg, sb = g @ w, b @ w
-    cuts = np.unique(np.quantile(np.concatenate([sg, sb]), np.linspace(0, 1, 401)))
-    accuracy = [(sg >= c).mean() + (sb < c).mean() for c in cuts]
-    best = np.flatnonzero(np.isclose(accuracy, max(accuracy)))
-    model.threshold = float(cuts[best[len(best) // 2]])
+    ends = np.concatenate([g @ w, b @ w])
+    model.cuts = np.linspace(ends.min(), ends.max(), BINS)
+    model.threshold = best_cut(model.cuts, *(np.histogram(x @ w, [-np.inf, *model.cuts, np.inf])[0] for x in (g, b)))
     return model
 
 
-def training_labels(labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id and quality of at most ``sample`` labelled documents of each class that are not held out."""
-    known = (
+def best_cut(cuts: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """Of ``cuts`` the one with the best balanced accuracy, the middle one of equals; the counts are of the bins between them."""
+    passed, caught = 1 - np.cumsum(good)[:-1] / good.sum(), np.cumsum(bad)[:-1] / bad.sum()
+    best = np.flatnonzero(np.isclose(passed + caught, (passed + caught).max()))
+    return float(cuts[best[len(best) // 2]])
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """id and quality of the documents with one label that are not held out."""
+    return (
         labels.select("doc_id", "quality").filter("doc_id is not null and quality is not null").groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most and quality in (0, 1)")
-        .filter(~held_out(F.col("doc_id"))).select("doc_id", "quality", F.xxhash64("doc_id").alias("drawn"))
+        .filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "quality")
     )
-    parts = [known.filter(F.col("quality") == q).orderBy("drawn", "doc_id").limit(sample) for q in (0, 1)]
-    return parts[0].unionByName(parts[1]).select("doc_id", "quality")
+
+
+def training_labels(known: DataFrame, sample: int) -> DataFrame:
+    """id and quality of at most ``sample`` documents of each class, those with the smallest hashes."""
+    drawn = known.withColumn("drawn", F.xxhash64("id"))
+    parts = [drawn.filter(F.col("quality") == q).orderBy("drawn", "id").limit(sample) for q in (0, 1)]
+    return parts[0].unionByName(parts[1]).select("id", "quality")
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Strength:
-    chosen = F.broadcast(training_labels(labels, sample).withColumnRenamed("doc_id", "id"))  # at most 2 x ``sample`` rows
+    """Weights from the sample, then the threshold from the strengths of all labelled documents."""
+    known = saved(known_labels(labels), "labels")
+    texts = texts_of(docs)
+
+    def texts_with(chosen: DataFrame) -> DataFrame:
+        return texts.join(chosen, texts.doc_id == chosen.id).groupBy("id", "quality").agg(F.min("text").alias("text"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id, "quality": b.quality, "x": [measures(t) for t in b.text]})
-
-    texts = texts_of(docs)
-    rows = texts.join(chosen, texts.doc_id == chosen.id).select("doc_id", "quality", "text").mapInPandas(
-        measure, "doc_id long, quality int, x array<double>").dropDuplicates(["doc_id"]).toPandas()
-    rows = rows.sort_values("doc_id")
+            yield pd.DataFrame({"id": b.id, "quality": b.quality, "x": [measures(t) for t in b.text]})
+    chosen = F.broadcast(training_labels(known, sample))  # at most 2 x ``sample`` rows
+    rows = texts_with(chosen).mapInPandas(measure, "id long, quality int, x array<double>").toPandas().sort_values("id")
     x = {q: np.array(rows.x[rows.quality == q].tolist()) for q in (0, 1)}
-    return fit(x[1], x[0])
+    model = fit(x[1], x[0])
+    if model.weights is None:
+        return model
+
+    def bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"quality": b.quality, "bin": np.searchsorted(model.cuts, model.strengths(b.text.tolist()), side="right")})
+    counted = texts_with(small(known)).mapInPandas(bins, "quality int, bin int").groupBy("quality", "bin").count().collect()  # 2 x BINS rows
+    histogram = np.zeros((2, BINS + 1))
+    for r in counted:
+        histogram[r["quality"], r["bin"]] = r["count"]
+    model.threshold = best_cut(model.cuts, histogram[1], histogram[0])
+    return model
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -143,8 +175,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = np.array([measures(t) for t in b.text]).reshape(len(b), -1)
-            yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "score": model.score(x) if len(b) else []})
+            yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "score": model.score(model.strengths(b.text.tolist()))})
 
     found = texts_of(docs).mapInPandas(rate, "doc_id long, score double")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
@@ -156,6 +187,5 @@ def kept_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:
-        x = np.array([measures(t or "") for t in texts]).reshape(len(texts), -1)
-        return pd.Series(model.score(x) >= CUT)
+        return pd.Series(model.score(model.strengths([t or "" for t in texts])) >= CUT)
     return docs.filter(good("text"))
