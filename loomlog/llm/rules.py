@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomlog.llm.common import BLANKS, let
+from loomlog.llm.common import BLANKS, let, saved, small
 
 #: Strata: these languages and one for all others, so the table of cutoffs has a bounded size.
 STRATA = ("en", "de", "fr", "es")
@@ -112,11 +112,15 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.least(F.lit(1.0), F.aggregate(F.sequence(low, high), F.lit(0.0), lambda a, i: a + term(i)))
 
 
-def cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """stratum and, for each rule, its certified cutoff: a document with a larger measure is rejected (null: no cutoff)."""
-    known = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most")).filter("q = most and q in (0, 1)")
-    held = found.filter("not base_failed").select(F.col("row.doc_id").alias("doc_id"), "stratum", *RULES).join(
-        known.select("doc_id", "q"), "doc_id")
+def cutoffs(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """stratum and, for each rule, its certified cutoff: a document with a larger measure is rejected (null: no cutoff).
+
+    Only labelled documents are measured; every row of a labelled doc_id counts.
+    """
+    known = saved(labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most")).filter(
+        "q = most and q in (0, 1)").select(F.col("doc_id").alias("known_id"), "q"), "labels")
+    labelled = docs.select("doc_id", "text", "lang").join(small(known), F.col("doc_id") == F.col("known_id")).drop("known_id")
+    held = measured(labelled).filter("not base_failed").select("stratum", F.col("row.q").alias("q"), *RULES)
     pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES]))
     bins = held.select("stratum", "q", pairs.alias("p")).groupBy("stratum", "p.rule", "p.value").agg(
         F.count_if(F.col("q") == 1).alias("n"), F.count_if(F.col("q") == 0).alias("bad"))
@@ -136,8 +140,8 @@ def cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: fl
     return best.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"max_{r}") for r in RULES])
 
 
-def _with_verdict(found: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
-    limits = F.broadcast(cutoffs(found, labels, alpha, delta))  # at most a row for each stratum
+def _with_verdict(docs: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
+    found, limits = measured(docs), F.broadcast(cutoffs(docs, labels, alpha, delta))  # at most a row for each stratum
     broken = [F.coalesce(F.col(r) > F.col(f"max_{r}"), F.lit(False)) for r in RULES]
     rejected = broken[0]
     for b in broken[1:]:
@@ -147,11 +151,10 @@ def _with_verdict(found: DataFrame, labels: DataFrame, alpha: float, delta: floa
 
 def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """doc_id, the base counts, base_failed and kept for every document."""
-    found = measured(docs)
-    return _with_verdict(found, labels, alpha, delta).select(
+    return _with_verdict(docs, labels, alpha, delta).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _with_verdict(measured(docs), labels, alpha, delta).filter("kept").select("row.*")
+    return _with_verdict(docs, labels, alpha, delta).filter("kept").select("row.*")
