@@ -2,11 +2,14 @@
 
 Base detection finds e-mail addresses, IP addresses, card numbers and phone numbers by fixed patterns. On top, a chain of
 transducers rewrites disguised text into plain text and keeps, for every character it writes, the source characters it
-stands for: look-alike letters, digits and signs; spelled digits that stand in a row; and "at" and "dot" in brackets, or as
-words between parts of an address. Identifiers found in the rewritten text are mapped back to the source characters. A
-mapped span counts only where it changed something and overlaps no base span, so base spans stay as they are.
+stands for: look-alike letters, digits and signs; characters without width, which go; spelled digits that stand in a row, and
+a spoken plus before them; and "at" and "dot" in brackets, or as words between parts of an address. Identifiers found in the
+rewritten text are mapped back to the source characters. Base spans stay as they are. A mapped span is added where it changed
+something and every base span that it overlaps lies inside it: it is then the longer reading of a part that was plain.
+Masking covers both.
 
-Only texts with a sign of disguise are rewritten: a look-alike, a bracketed or worded sign, or a row with spelled digits.
+Only texts with a sign of disguise are rewritten: a look-alike or invisible character, a bracketed or worded sign, or a row
+with spelled digits.
 
 Nulls: a null text is empty and holds nothing; a null doc_id is kept. Repeated rows are searched each. Extra columns are
 ignored by :func:`personal_data` and carried along by :func:`masked`. Empty table: no rows. Work on a text grows with its
@@ -16,7 +19,9 @@ length, also for long runs of digits, letters or signs.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -46,11 +51,21 @@ LOOK_ALIKE = {
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
 
+#: Characters that are not seen: soft hyphen, zero-width space, joiners, word joiner, byte order mark.
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+
+
 def look_alikes() -> dict[str, str]:
-    """All single characters that stand for an ASCII one: the fixed ones, full-width forms and decimal digits of other scripts."""
+    """All single characters that stand for an ASCII one or for nothing.
+
+    The fixed ones, full-width forms, decimal digits of other scripts, and mathematical, letter-like and circled letters, which
+    the compatibility form names.
+    """
+    shaped = {chr(c): plain for a, b in ((0x1D400, 0x1D800), (0x2100, 0x2150), (0x24B6, 0x24EA))
+              for c in range(a, b) if len(plain := unicodedata.normalize("NFKC", chr(c))) == 1 and plain.isascii()}
     wide = {chr(0xFEE0 + c): chr(c) for c in range(0x21, 0x7F)}
     digits = {chr(start + d): str(d) for start in (0x660, 0x6F0, 0x966, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6) for d in range(10)}
-    return LOOK_ALIKE | wide | digits
+    return shaped | LOOK_ALIKE | wide | digits | dict.fromkeys(INVISIBLE, "")
 
 
 _PLAIN = look_alikes()
@@ -66,6 +81,9 @@ _BRACKETED = re.compile(r" ?[\[({<] ?(at|dot|@|\.) ?[\])}>] ?", re.I)
 _WORDED = re.compile(r"(?<=[A-Za-z0-9._%+-])( at )(?=[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+)", re.I)
 _DOT_WORD = re.compile(r"(?: dot (?=[A-Za-z0-9-]))", re.I)
 _DOT_CHAIN = re.compile(r"(?<=@)[A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+", re.I)
+#: Numbers of an address with a spoken dot between some of them.
+_DOT_NUMBERS = re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:(?: dot |\.)[0-9]{1,3}){3}(?![A-Za-z0-9])", re.I)
+_PLUS = re.compile(r"(?<![A-Za-z0-9])plus $", re.I)
 
 
 def emails(text: str) -> list[Span]:
@@ -142,6 +160,8 @@ def plain_digits(t: Traced) -> Traced:
     for m in _SPELLED_RUN.finditer(t.text):
         if _ANY_SPELLED.search(m[0]):
             digits = list(_ONE_DIGIT.finditer(t.text, m.start(), m.end()))
+            if plus := _PLUS.search(t.text[max(0, m.start() - 6):m.start()]):
+                edits.append((m.start() - len(plus[0]), m.start(), "+"))
             for k, d in enumerate(digits):
                 end = digits[k + 1].start() if k + 1 < len(digits) else d.end()
                 edits.append((d.start(), end, SPELLED.get(d[0].lower(), d[0])))
@@ -151,10 +171,9 @@ def plain_digits(t: Traced) -> Traced:
 def plain_signs(t: Traced) -> Traced:
     t = t.replaced([(m.start(), m.end(), {"at": "@", "dot": "."}.get(m[1].lower(), m[1])) for m in _BRACKETED.finditer(t.text)])
     t = t.replaced([(m.start(), m.end(), "@") for m in _WORDED.finditer(t.text)])
-    edits = []
-    for m in _DOT_CHAIN.finditer(t.text):
-        edits += [(d.start(), d.end(), ".") for d in _DOT_WORD.finditer(t.text, m.start(), m.end())]
-    return t.replaced(edits)
+    for chain in (_DOT_CHAIN, _DOT_NUMBERS):
+        t = t.replaced([(d.start(), d.end(), ".") for m in chain.finditer(t.text) for d in _DOT_WORD.finditer(t.text, m.start(), m.end())])
+    return t
 
 
 def disguised(text: str) -> bool:
@@ -162,12 +181,12 @@ def disguised(text: str) -> bool:
     return bool(
         (not text.isascii() and _ALIKE.search(text))
         or _ANY_BRACKETED.search(text)
-        or (" dot " in text.lower() and (_WORDED.search(text) or _DOT_CHAIN.search(text)))
+        or (" dot " in text.lower() and (_WORDED.search(text) or _DOT_CHAIN.search(text) or _DOT_NUMBERS.search(text)))
         or (_ANY_SPELLED.search(text) and any(_ANY_SPELLED.search(m[0]) for m in _SPELLED_RUN.finditer(text))))
 
 
 def uncovered_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Spans of disguised identifiers, by kind, that overlap no base span."""
+    """Spans of disguised identifiers, by kind, that overlap no base span or hold all that they overlap."""
     if not disguised(text):
         return {k: [] for k in KINDS}
     t = plain_signs(plain_digits(plain_characters(Traced.of(text))))
@@ -181,12 +200,13 @@ def uncovered_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Sp
 
 
 def _apart(spans: list[Span], taken: list[Span]) -> list[Span]:
-    """Those of ``spans`` (in order) that overlap none of ``taken`` (in order)."""
+    """Those of ``spans`` (in order) that cut none of ``taken`` (in order) and are none of them."""
     out, k = [], 0
     for a, b in spans:
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if k == len(taken) or taken[k][0] >= b:
+        over = itertools.takewhile(lambda x: x[0] < b, itertools.islice(taken, k, None))
+        if all(a <= x[0] and x[1] <= b and (a, b) != x for x in over):
             out.append((a, b))
     return out
 
