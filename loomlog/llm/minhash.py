@@ -131,7 +131,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
                              own[first].assign(bucket=len(borders), follower=True)])
 
     dealt = texts.mapInPandas(deal, "bucket long, follower boolean, doc_id long, text string")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "follower", F.asc_nulls_last("doc_id"), "text")
+    return dealt.repartition(count, "bucket").sortWithinPartitions("bucket", "follower", F.asc_nulls_last("doc_id"), "text")
 
 
 def edit_likeness(docs: DataFrame) -> DataFrame:
