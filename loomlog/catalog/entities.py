@@ -24,7 +24,12 @@ def _dom(name: str, col: str = C) -> str:
     return any_has(col, fv.DOMAIN_CATEGORIES[name])
 
 
-_BUCKETS = f"(SELECT ip, count(*) AS n, CASE WHEN count(*) >= {T} THEN 'high' ELSE 'low' END AS bucket FROM {AUTH} WHERE {_dom('brute_force')} GROUP BY ip HAVING count(*) >= {T // 2})"
+def _buckets(threshold: int = T) -> str:
+    return (f"(SELECT ip, count(*) AS n, CASE WHEN count(*) >= {threshold} THEN 'high' ELSE 'low' END AS bucket FROM {AUTH}"
+            f" WHERE {_dom('brute_force')} GROUP BY ip HAVING count(*) >= {threshold // 2 or 5})")
+
+
+_BUCKETS = _buckets()
 
 
 @query("bruteforce_buckets", f"SELECT * FROM {_BUCKETS}")
@@ -39,7 +44,7 @@ def offender_rows(spark, d):
     return threats.rows_of(rows, found.filter("bucket = 'high'")).select("line_id", "ip")
 
 
-def _label_rows() -> str:
+def _label_rows(threshold: int = T) -> str:
     parts = []
     for label, names in fv.THREAT_LABELS.items():
         known = [n for n in names if n in fv.DOMAIN_CATEGORIES]
@@ -50,7 +55,7 @@ def _label_rows() -> str:
             cond = has("ip", fv.DOMAIN_CATEGORIES["malicious_ip"][0])
         parts.append(f"SELECT {lit(label)} AS label, ip FROM a WHERE {cond}")
     for label, bucket in (("Brute Force (High)", "high"), ("Low & Slow", "low")):
-        parts.append(f"SELECT {lit(label)} AS label, ip FROM a WHERE {_dom('brute_force')} AND ip IN (SELECT ip FROM {_BUCKETS} WHERE bucket = '{bucket}')")
+        parts.append(f"SELECT {lit(label)} AS label, ip FROM a WHERE {_dom('brute_force')} AND ip IN (SELECT ip FROM {_buckets(threshold)} WHERE bucket = '{bucket}')")
     return union(parts)
 
 
@@ -91,13 +96,22 @@ def threat_summary_fallback(spark, d):
     return threats.threat_summary(view(spark, d, "auth_log"), None, RuleSet.of({}, ignore_case=False), T, "Content").drop("_top")
 
 
-_RANKED = f"""WITH a AS (SELECT * FROM {AUTH}), r AS ({_label_rows()}), c AS (SELECT label, ip, count(*) AS n FROM r GROUP BY label, ip),
+def _ranked_sql(threshold: int = T) -> str:
+    return f"""WITH a AS (SELECT * FROM {AUTH}), r AS ({_label_rows(threshold)}), c AS (SELECT label, ip, count(*) AS n FROM r GROUP BY label, ip),
  k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, ip) AS pos FROM c),
  w AS (SELECT 0 AS o, 'Brute Force (High)' AS label, 'Brute-force attacker' AS reason UNION ALL SELECT 1, 'Low & Slow', 'Low-and-slow brute force'
  UNION ALL SELECT 2, 'Known Malicious IP', 'Known malicious scanner' UNION ALL SELECT 3, 'Web Attack Probes', 'Web probing'),
  q AS (SELECT CAST(row_number() OVER (ORDER BY o, pos) AS int) AS rank, ip, reason, n FROM k JOIN w USING (label) WHERE pos <= 3)"""
 
 
+_RANKED = _ranked_sql()
+
+
+def threat_sql(threshold: int) -> tuple[str, str]:
+    """The threat summary and the ranked addresses for a threshold of failed logins."""
+    return _summary_sql(list(fv.THREAT_LABELS), _label_rows(threshold)), f"{_ranked_sql(threshold)} SELECT * FROM q"
+
+
 def _ranked(spark, d):
     summary = threats.threat_summary(view(spark, d, "auth_log"), None, DOMAIN_RULES, T, "Content")
     return threats.ranked_threat_ips(summary)
@@ -108,15 +122,15 @@ def top_threat_ips(spark, d):
     return _ranked(spark, d).filter("rank <= 5")
 
 
-def _action_sql() -> str:
+def actions_sql(ranked: str) -> str:
     cases = []
     for reason, text in fv.ACTION_TEXTS.items():
         before, after = text.split("{ip}")
         cases.append(f"WHEN {lit(reason)} THEN {lit(before)} || ip || {lit(after)}")
-    return f"{_RANKED} SELECT rank, ip, CASE reason {' '.join(cases)} END AS action FROM (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY rank) AS f FROM q) WHERE f = 1 ORDER BY rank LIMIT 3"
+    return f"SELECT rank, ip, CASE reason {' '.join(cases)} END AS action FROM (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY rank) AS f FROM {ranked}) WHERE f = 1 ORDER BY rank LIMIT 3"
 
 
-@query("ip_actions", _action_sql())
+@query("ip_actions", f"{_RANKED} " + actions_sql("q"))
 def ip_actions(spark, d):
     return threats.ip_actions(_ranked(spark, d))
 

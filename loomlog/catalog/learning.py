@@ -8,7 +8,8 @@ from loomlog import fixed_values as fv
 from loomlog import streaming
 from loomlog.catalog.forest_sql import forest, report
 from loomlog.catalog.registry import SQL, query
-from loomlog.catalog.sql import frm, union
+from loomlog.catalog.entities import actions_sql, threat_sql
+from loomlog.catalog.sql import any_has, frm, lit, union
 from loomlog.catalog.template_sql import mined
 from loomlog.catalog.tags import _TEXT, _reason_sql, classify
 from loomlog.catalog.web import ACCESS, OPTS, _counters_sql, _signals
@@ -21,7 +22,7 @@ from loomlog.operators.forest import fit_forest
 from loomlog.options import COMPACT_TEMPLATES, ForestOptions, ReportOptions, TemplateOptions
 from loomlog.plans import reports, training, unsupervised
 from loomlog.sources import readers, sinks
-from loomlog.sources.views import VIEWS, geo_ranges, render, reputation, spread, table, view
+from loomlog.sources.views import VIEWS, geo_ranges, render, reputation, reputation_sql, spread, table, view
 
 APP = frm("app_log")
 
@@ -264,17 +265,81 @@ def report_sections(spark, d):
     return reports.combined({"parsing": total, **{k: parts[k] for k in wanted}})
 
 
-@query("standard_report")
+_RULES = {**fv.BASELINE_CATEGORIES, **fv.DOMAIN_CATEGORIES}
+_A = "a AS (SELECT *, " + ", ".join(f'{any_has(chr(34) + "Content" + chr(34), pats, True)} AS "c_{n}"' for n, pats in _RULES.items()) + f" FROM {frm('auth_log')})"
+_FLAGGED = " OR ".join(f'"c_{n}"' for n in ("authentication_errors", "linux_auth_errors") if n in _RULES)
+_CATS = "cats AS (" + union([f"SELECT {lit(n)} AS category, {i} AS ord, count(*) FILTER (\"c_{n}\") AS n, count(*) AS total FROM a" for i, n in enumerate(_RULES)]) + ")"
+
+
+def _attackers(where: str, name: str) -> str:
+    return f"{name} AS (SELECT ip, count(*) AS n FROM a WHERE ({where}) AND ip IS NOT NULL GROUP BY ip ORDER BY n DESC, ip LIMIT 10)"
+
+
+def _standard_sql() -> str:
+    texts = fv.RECOMMENDATION_TEXTS
+    before, after = texts["block_top_ip"].split("{ip}")
+    rich = (f"rich AS (SELECT t.ip, t.n AS events, r.abuse_score, t.n * r.abuse_score AS risk FROM (SELECT * FROM top ORDER BY n DESC, ip LIMIT {REPORT.enrich.top_n}) t"
+            f" LEFT JOIN {reputation_sql()} r ON t.ip = r.ip)")
+    best = "(SELECT ip FROM top ORDER BY n DESC, ip LIMIT 1)"
+    advice = union([f"SELECT 0 AS o, {lit(before)} || {best} || {lit(after)} AS t WHERE {best} IS NOT NULL", f"SELECT 1, {lit(texts['fail2ban'])} WHERE {best} IS NOT NULL",
+                    f"SELECT 6, {lit(texts['auth'])} WHERE (SELECT n FROM cats WHERE category = 'authentication_errors') > 0 OR {'true' if 'linux_auth_errors' in _RULES else 'false'}"])
+    one = "(SELECT ip, n, sum(n) OVER () AS total, count(*) OVER () AS ips, row_number() OVER (ORDER BY n DESC, ip) AS r FROM top)"
+    return f"WITH {_A}, {_CATS}, {_attackers(_FLAGGED, 'top')}, {rich} " + union([
+        "SELECT 'parsing' AS section, 1 AS ord, 'total_logs' AS key, CAST(count(*) AS varchar) AS value FROM a",
+        "SELECT 'parsing', 2, 'sample_message', min_by(\"Content\", line_id) FROM a",
+        "SELECT 'errors', row_number() OVER (ORDER BY n DESC, ord), category, n || '|' || round(n * 100.0 / total, 2) FROM cats WHERE n > 0",
+        f"SELECT 'levels', row_number() OVER (ORDER BY level), level, CAST(n AS varchar) FROM ({SQL['level_fallback_counts']})",
+        f"SELECT 'performance', 1, 'alerts_flagged', CAST(count(*) AS varchar) FROM a WHERE {_FLAGGED}",
+        "SELECT 'insights', row_number() OVER (ORDER BY n DESC, ip), ip, CAST(n AS varchar) FROM top",
+        f"SELECT 'targeted', 1, ip, round(n * 100.0 / total, 2) || '|' || total FROM {one} WHERE r = 1 AND (n * 100.0 / total >= 80 OR ips = 1)",
+        f"SELECT 'recommendations', row_number() OVER (ORDER BY o), CAST(o AS varchar), t FROM ({advice})",
+        "SELECT 'threat_intel', row_number() OVER (ORDER BY risk DESC, events DESC, ip), ip, concat_ws('|', events, abuse_score, risk) FROM rich",
+    ])
+
+
+@query("standard_report", _standard_sql())
 def standard_report(spark, d):
+    """Every section of the standard report over the authentication log."""
     opts = REPORT.replace(enrich={"enabled": True})
     return reports.combined(reports.standard_sections(
         view(spark, d, "auth_log").withColumnRenamed("Content", "message"), opts, scores=reputation(spark, d), ranges=geo_ranges(spark, d)))
 
 
-@query("intel_report")
+_DASHBOARD_SQL = f"""(SELECT ip, n, row_number() OVER (ORDER BY score DESC, n DESC, ip) AS rank, score FROM (SELECT t.ip, t.n, CAST(round_even(least(1000.0,
+ 700.0 * t.n / (SELECT max(n) FROM top) + coalesce(r.abuse_score, 0) * 3.0), 0) AS int) AS score FROM top t
+ LEFT JOIN (SELECT e.ip, p.abuse_score FROM (SELECT * FROM top ORDER BY n DESC, ip LIMIT {REPORT.enrich.top_n}) e LEFT JOIN {reputation_sql()} p ON e.ip = p.ip) r ON t.ip = r.ip))"""
+
+
+def _intel_sql() -> str:
+    flagged = f"{_FLAGGED} OR {any_has(chr(34) + 'Content' + chr(34), fv.LINUX_AUTH_PATTERNS)}"
+    notes = "''"
+    for pattern, label in reversed(fv.PAYLOAD_NOTES):
+        notes = f"CASE WHEN regexp_matches(t, {lit(pattern)}) THEN {lit(label)} ELSE {notes} END"
+    first = "(SELECT ip, line_id, \"Content\" AS m, row_number() OVER (PARTITION BY ip ORDER BY line_id) AS pos FROM a WHERE ip IN (SELECT ip FROM top))"
+    summary, ranked = threat_sql(REPORT.web.bruteforce_threshold)
+    brute = "(SELECT n FROM cats WHERE category = 'authentication_errors')"
+    linux = "coalesce((SELECT n FROM cats WHERE category = 'linux_auth_errors'), 0)"
+    return f"WITH {_A}, {_CATS}, {_attackers(flagged, 'top')}, summary AS ({summary}), q AS ({ranked}), dash AS {_DASHBOARD_SQL} " + union([
+        "SELECT 'events' AS section, 1 AS ord, 'events_analyzed' AS key, CAST(count(*) AS varchar) AS value FROM a",
+        "SELECT 'time_range', 1, 'start', strftime(min(ts), '%Y-%m-%d %H:%M:%S') FROM a",
+        "SELECT 'time_range', 2, 'end', strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM a",
+        f"SELECT 'top_threat', 1, 'threat_type', CASE WHEN {brute} > 0 OR {linux} > 0 THEN 'Brute-Force Attack' ELSE 'Suspicious Activity' END",
+        f"SELECT 'top_threat', 2, 'row_label', CASE WHEN {brute} > 0 OR {linux} > 0 THEN 'Brute-Force' ELSE 'Probing' END",
+        "SELECT 'unique_threats', 1, 'unique_threats', CAST(count(*) AS varchar) FROM dash WHERE rank <= 10",
+        "SELECT 'dashboard', rank, ip, score || '|' || n FROM dash WHERE rank <= 10",
+        "SELECT 'threat_summary', row_number() OVER (ORDER BY ord), label, concat_ws('|', matches, unique_ips, top_ips) FROM summary",
+        "SELECT 'top_threat_ips', rank, ip, reason || '|' || n FROM q WHERE rank <= 5",
+        f"SELECT 'actions', row_number() OVER (ORDER BY rank), ip, action FROM ({actions_sql('q')})",
+        f"SELECT 'dashboard_notes', row_number() OVER (ORDER BY ip), ip, {notes} FROM (SELECT ip, string_agg(m, ' ' ORDER BY pos) AS t FROM {first} WHERE pos <= 10 GROUP BY ip)",
+        f"SELECT 'evidence', row_number() OVER (ORDER BY pos), ip, m FROM {first} WHERE pos <= 2 AND ip = (SELECT ip FROM dash WHERE rank = 1)",
+    ])
+
+
+@query("intel_report", _intel_sql())
 def intel_report(spark, d):
+    """Every section of the threat-intelligence report over the authentication log."""
     opts = REPORT.replace(enrich={"enabled": True})
-    return reports.combined(reports.intel_sections(view(spark, d, "auth_log"), opts, scores=reputation(spark, d), ranges=geo_ranges(spark, d)))
+    return reports.combined(reports.intel_sections(view(spark, d, "auth_log").withColumnRenamed("ts", "timestamp"), opts, scores=reputation(spark, d), ranges=geo_ranges(spark, d)))
 
 
 def _comparison_sql() -> str:

@@ -65,21 +65,30 @@ def threat_counts(df: DataFrame, rules: RuleSet = DOMAIN_RULES, threshold: int =
 
     ``origin`` is ``primary``, ``by_ip`` (the address column itself matched) or ``fallback``.
     """
-    ip_name, ua_name = schema.ip_column(df), schema.agent_column(df)
-    msg = F.col(message or schema.message_column(df))
-    ip = F.col(ip_name).cast("string") if ip_name else None
-    hits = _label_hits(df, rules, msg, ip, F.col(ua_name) if ua_name else None, fallback)
-    address = ip if ip is not None else F.lit(None).cast("string")
+    ip_name = schema.ip_column(df)
+    address = F.col(ip_name).cast("string") if ip_name else F.lit(None).cast("string")
     counts = (
-        df.select(address.alias("ip"), F.explode(hits).alias("key"))
+        df.select(address.alias("ip"), F.explode(label_hits(df, rules, message, fallback)).alias("key"))
         .groupBy("key", "ip").agg(F.count(F.lit(1)).alias("n"))
     )
+    return labelled_counts(counts, threshold, ip_name is not None)
+
+
+def label_hits(df: DataFrame, rules: RuleSet = DOMAIN_RULES, message: str | None = None, fallback: bool = True) -> Column:
+    """Array of the label keys each row of ``df`` contributes to."""
+    ip_name, ua_name = schema.ip_column(df), schema.agent_column(df)
+    ip = F.col(ip_name).cast("string") if ip_name else None
+    return _label_hits(df, rules, F.col(message or schema.message_column(df)), ip, F.col(ua_name) if ua_name else None, fallback)
+
+
+def labelled_counts(counts: DataFrame, threshold: int, by_address: bool = True) -> DataFrame:
+    """origin, label, ip, n from counts by label key and address; brute force is split by volume if addresses are known."""
     origin = F.substring("key", 1, 1)
     split = counts.select(
         F.when(origin == "p", "primary").when(origin == "i", "by_ip").otherwise("fallback").alias("origin"),
         F.expr("substring(key, 3)").alias("label"), "ip", "n",
     )
-    if ip is None:
+    if not by_address:
         return split
     high, low_p = bucket_limits(threshold)
     low_f = bucket_limits(threshold, fallback=True)[1]
@@ -110,8 +119,13 @@ def threat_summary(df: DataFrame, labels: list[str] | None = None, rules: RuleSe
     An address-column hit on the known-bad list replaces the text-based rows of that label. The
     fallback patterns count only when every primary label is empty.
     """
+    return summary_of(threat_counts(df, rules, threshold, message, fallback), labels)
+
+
+def summary_of(counts: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """The summary of :func:`threat_summary` from the counts of :func:`threat_counts`."""
     wanted = labels or list(fv.THREAT_LABELS)
-    found = summarize(threat_counts(df, rules, threshold, message, fallback))
+    found = summarize(counts)
     # From here on there are at most three rows per label.
     everything = Window.partitionBy()
     tagged = found.withColumn("_any_primary", F.max((F.col("origin") != "fallback").cast("int")).over(everything)).withColumn(
@@ -119,7 +133,7 @@ def threat_summary(df: DataFrame, labels: list[str] | None = None, rules: RuleSe
     replaced = (F.col("origin") == "primary") & (F.col("label") == "Known Malicious IP") & (F.col("_by_ip") == 1)
     unused = (F.col("origin") == "fallback") & (F.col("_any_primary") == 1)
     kept = tagged.filter(~replaced & ~unused).select("label", "matches", "unique_ips", "top_ips")
-    frame = df.sparkSession.createDataFrame([(n, i) for i, n in enumerate(wanted)], "label string, ord int")
+    frame = counts.sparkSession.createDataFrame([(n, i) for i, n in enumerate(wanted)], "label string, ord int")
     text = F.concat_ws(", ", F.transform("top_ips", lambda t: F.concat(t["ip"], F.lit(" ("), t["n"].cast("string"), F.lit(" events)"))))
     return frame.join(kept, "label", "left").select(
         "ord", "label", F.coalesce("matches", F.lit(0)).alias("matches"), F.coalesce("unique_ips", F.lit(0)).alias("unique_ips"),
@@ -304,7 +318,11 @@ def first_messages(df: DataFrame, top_ips: DataFrame, n: int, ip: str = "ip", me
 def payload_notes(df: DataFrame, top_ips: DataFrame, ip: str = "ip", message: str = "message", order: str = "line_id",
                   limit: int = 10) -> DataFrame:
     """A short note per top address from its first ten messages; empty when nothing stands out."""
-    first = first_messages(df, top_ips, 10, ip, message, order, limit)
+    return notes_of(first_messages(df, top_ips, 10, ip, message, order, limit), ip, message)
+
+
+def notes_of(first: DataFrame, ip: str, message: str) -> DataFrame:
+    """ip, note from the first messages of each address (pos, message)."""
     joined = first.groupBy(ip).agg(F.array_sort(F.collect_list(F.struct("pos", F.col(message).alias("m")))).alias("ms"))
     text = F.concat_ws(" ", F.col("ms.m"))
     note = F.lit("")

@@ -1,7 +1,7 @@
 """Report sections as tables.
 
-A report is the union of short ``(section, ord, key, value)`` frames; each section
-is an aggregate of its own, so nothing row-sized ever reaches the driver.
+A report is the union of short ``(section, ord, key, value)`` frames, most of them cut from
+one table of counts; nothing row-sized ever reaches the driver.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog import schema
+from loomlog.checkpoints import written
 from loomlog.functions.severity import classify_entry, rule_reason
 from loomlog.operators import aggregates as agg
 from loomlog.operators import categories as cats
@@ -17,6 +18,7 @@ from loomlog.operators import evaluation, threats
 from loomlog.operators import websignals as web
 from loomlog.operators.features import full_text
 from loomlog.options import ReportOptions
+from loomlog.plans.facts import Facts, collect_facts
 from loomlog.rules import BASELINE_RULES, RuleSet
 
 
@@ -41,53 +43,62 @@ def rules_for(opts: ReportOptions) -> RuleSet:
     return BASELINE_RULES.extended(opts.custom_categories)
 
 
+def _facts(df: DataFrame, opts: ReportOptions, threat: bool) -> tuple[Facts, str, Column, Column]:
+    """The counts of ``df`` (with its request parts), its message column and what is flagged for either report."""
+    msg, rules = schema.message_column(df), rules_for(opts)
+    linux_msg = "Content" if "Content" in df.columns else msg
+    flagged = cats.flagged_for_insight(F.col(msg), rules)
+    linux = flagged | cats.is_linux_auth_error(F.col(linux_msg))
+    threat_rules = RuleSet.of(opts.custom_categories, ignore_case=False) if threat else None
+    return collect_facts(df, opts, rules, msg, linux_msg, flagged, linux, threat_rules), msg, flagged, linux
+
+
 def standard_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth: DataFrame | None = None,
                       scores: DataFrame | None = None, ranges: DataFrame | None = None,
                       order: str = "line_id", truth_order: str | None = None) -> dict[str, DataFrame]:
-    """The standard report: parsing, HTTP distributions, categories, signals, performance, insights, advice."""
+    """The standard report: parsing, HTTP distributions, categories, signals, performance, insights, advice.
+
+    One scan counts all that is counted (:mod:`loomlog.plans.facts`). Only the first message, the quantiles and the largest
+    responses of an access log, and a comparison with a truth table read the rows again.
+    """
     df = web.with_request_parts(df)
-    msg, rules = schema.message_column(df), rules_for(opts)
-    out: dict[str, DataFrame] = {}
+    facts, msg, _, _ = _facts(df, opts, False)
+    rules, out = rules_for(opts), {}
     out["parsing"] = _wide(agg.sample_message(df, order, msg), "parsing")
     if "status" in df.columns:
-        out["status"] = section(agg.status_distribution(df), "status", "status", F.concat_ws("|", "n", "pct"), ["status"])
-        out["status_classes"] = _wide(agg.status_classes(df), "status_classes")
+        out["status"] = section(facts.statuses(), "status", "status", F.concat_ws("|", "n", "pct"), ["status"])
+        out["status_classes"] = _wide(facts.status_classes(), "status_classes")
     for name, column, top in (("methods", "method", None), ("paths", "path", opts.top_n_paths)):
         if column in df.columns:
-            out[name] = section(agg.value_counts(df, column, top), name, column, "n", [F.desc("n"), column])
+            out[name] = section(facts.values(column, column, top), name, column, "n", [F.desc("n"), column])
     if schema.size_column(df):
         out["response_size"] = _wide(agg.response_sizes(df), "response_size")
-    counts = cats.category_counts(df, msg, rules)
-    shown = counts.filter(F.col("n") > 0)
-    out["errors"] = section(shown, "errors", "category", F.concat_ws("|", "n", F.round("pct", 2)), [F.desc("n"), "ord"])
+    counts, counters = facts.categories(), facts.counters()
+    out["errors"] = section(counts.filter(F.col("n") > 0), "errors", "category", F.concat_ws("|", "n", F.round("pct", 2)), [F.desc("n"), "ord"])
     if schema.level_column(df):
-        out["levels"] = section(cats.level_counts(df), "levels", "level", "n", ["level"])
-    counters = web.signal_counters(df, opts.web)
-    if web.is_access_like(df):
+        out["levels"] = section(facts.levels(), "levels", "level", "n", ["level"])
+    if facts.access_like:
         out["signals"] = section(counters.filter(F.col("n") > 0), "signals", "counter", "n", ["counter"])
         if "path" in df.columns:
             out["top_suspicious_paths"] = section(
-                web.top_suspicious_paths(df, opts.web, min(5, opts.top_n_paths)), "top_suspicious_paths", "path", "n", [F.desc("n"), "path"])
+                facts.values("suspicious_path", "path", min(5, opts.top_n_paths)), "top_suspicious_paths", "path", "n", [F.desc("n"), "path"])
             if "bytes" in df.columns:
                 out["top_large_paths"] = section(
                     web.top_large_paths(df, opts.web, min(5, opts.top_n_large_paths), order), "top_large_paths", "path", "bytes", [F.desc("bytes"), "path"])
         if "user_agent" in df.columns:
             out["top_malicious_agents"] = section(
-                web.top_malicious_agents(df, opts.web, min(5, opts.top_n_user_agents)), "top_malicious_agents", "user_agent", "n", [F.desc("n"), "user_agent"])
-        out["bruteforce_ips"] = section(
-            web.bruteforce_offenders(df, opts.web).orderBy(F.desc("failures"), "ip"), "bruteforce_ips", "ip", "failures", [F.desc("failures"), "ip"])
+                facts.values("malicious_agent", "user_agent", min(5, opts.top_n_user_agents)), "top_malicious_agents", "user_agent", "n", [F.desc("n"), "user_agent"])
+        out["bruteforce_ips"] = section(facts.failed_logins(), "bruteforce_ips", "ip", "failures", [F.desc("failures"), "ip"])
         if "timestamp" in df.columns:
-            out["high_freq_ips"] = section(
-                web.high_frequency_ips(df, opts.web), "high_freq_ips", "ip", "max_per_minute", [F.desc("max_per_minute"), "ip"])
-    flagged = cats.flagged_for_insight(F.col(msg), rules)
+            out["high_freq_ips"] = section(facts.busy_ips(), "high_freq_ips", "ip", "max_per_minute", [F.desc("max_per_minute"), "ip"])
     if truth is not None:
         scored = evaluation.score_against_truth(
             df.select("LineId", _any_category(F.col(msg), rules).alias("flagged")),
             truth, order=truth_order)
         out["performance"] = _wide(scored, "performance")
     else:
-        out["performance"] = _wide(df.agg(F.count_if(flagged).alias("alerts_flagged")), "performance")
-    top = agg.top_attackers(df, flagged, opts.top_n_paths, msg)
+        out["performance"] = _wide(facts.total("flagged", "alerts_flagged"), "performance")
+    top = facts.attackers(opts.top_n_paths)
     out["insights"] = section(top, "insights", "ip", "n", [F.desc("n"), "ip"])
     out["targeted"] = section(threats.dominant_ip(top), "targeted", "ip", F.concat_ws("|", F.round("share_pct", 2), "total"), ["ip"])
     out["recommendations"] = section(
@@ -108,23 +119,21 @@ def _any_category(message: Column, rules: RuleSet) -> Column:
 def intel_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth: DataFrame | None = None,
                    scores: DataFrame | None = None, ranges: DataFrame | None = None,
                    order: str = "line_id", truth_order: str | None = None) -> dict[str, DataFrame]:
-    """The threat-intelligence report: headline, ranked addresses, threat summaries, actions, evidence."""
+    """The threat-intelligence report: headline, ranked addresses, threat summaries, actions, evidence.
+
+    Three scans: one counts all that is counted, one finds the time range, one reads the first messages of the top addresses.
+    """
     df = web.with_request_parts(df)
-    msg, rules = schema.message_column(df), rules_for(opts)
-    linux_msg = "Content" if "Content" in df.columns else msg
-    flagged = cats.flagged_for_insight(F.col(msg), rules) | cats.is_linux_auth_error(F.col(linux_msg))
-    counters, counts = web.signal_counters(df, opts.web), cats.category_counts(df, msg, rules)
-    top = agg.top_attackers(df, flagged, max(10, opts.top_n_paths), linux_msg)
+    facts, msg, _, flagged = _facts(df, opts, True)
+    top = written(facts.attackers(max(10, opts.top_n_paths), linux=True), "attackers")
     enriched = threats.enrich(top, scores, ranges, opts.enrich.top_n) if opts.enrich.enabled and scores is not None else None
-    ranked = threats.ranked_ips(threats.threat_scores(top, enriched))
-    kind = threats.top_threat_type(counters, counts)
-    threat_rules = RuleSet.of(opts.custom_categories, ignore_case=False)
-    summary = threats.threat_summary(df, None, threat_rules, opts.web.bruteforce_threshold, msg)
+    ranked = written(threats.ranked_ips(threats.threat_scores(top, enriched)), "ranked")
+    summary = written(facts.threats(), "threats")
     rank_ips = threats.ranked_threat_ips(summary)
     out = {
-        "events": _wide(df.agg(F.count(F.lit(1)).alias("events_analyzed")), "events"),
+        "events": _wide(facts.total("all", "events_analyzed"), "events"),
         "time_range": _wide(agg.time_range(df), "time_range"),
-        "top_threat": _wide(kind, "top_threat"),
+        "top_threat": _wide(threats.top_threat_type(facts.counters(), facts.categories()), "top_threat"),
         "unique_threats": _wide(ranked.agg(F.count(F.lit(1)).alias("unique_threats")), "unique_threats"),
         "dashboard": section(ranked, "dashboard", "ip", F.concat_ws("|", "score", "n"), ["rank"]),
         "threat_summary": section(summary, "threat_summary", "label", F.concat_ws("|", "matches", "unique_ips", "top_ips"), ["ord"]),
@@ -133,11 +142,16 @@ def intel_sections(df: DataFrame, opts: ReportOptions = ReportOptions(), truth:
     }
     ip, ua = schema.ip_column(df), schema.agent_column(df)
     if ip and ua:
-        out["dashboard_agents"] = section(threats.agent_per_ip(df, top, ip, ua), "dashboard_agents", ip, "user_agent", [ip])
+        out["dashboard_agents"] = section(facts.agents(top), "dashboard_agents", "ip", "user_agent", ["ip"])
+    # the first messages of the top addresses, the first ranked one among them, serve the notes and the evidence
+    best = ranked.filter(F.col("rank") == 1).select("ip", "n")
     if ip:
-        out["dashboard_notes"] = section(threats.payload_notes(df, top, ip, msg, order), "dashboard_notes", ip, "note", [ip])
-    first = threats.evidence(df, ranked.filter(F.col("rank") == 1).select("ip", "n"), 2, msg, order, 1)
-    out["evidence"] = section(first, "evidence", "ip", msg, ["ip", "pos"])
+        first = written(threats.first_messages(df, top, 10, ip, msg, order).select(F.col(ip).alias("ip"), "pos", F.col(msg).alias("m")), "first")
+        out["dashboard_notes"] = section(threats.notes_of(first, "ip", "m"), "dashboard_notes", "ip", "note", ["ip"])
+        lines = first.join(F.broadcast(best.select("ip")), "ip", "left_semi").filter("pos <= 2")
+    else:
+        lines = threats.evidence(df, best, 2, msg, order, 1).withColumnRenamed(msg, "m")
+    out["evidence"] = section(lines, "evidence", "ip", "m", ["ip", "pos"])
     if truth is not None and "LineId" in df.columns:
         out["performance"] = _wide(evaluation.score_against_truth(df.select("LineId", flagged.alias("flagged")), truth, order=truth_order), "performance")
     return out
