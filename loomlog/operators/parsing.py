@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loomlog import fixed_values as fv
 from loomlog import schema
 from loomlog.functions.severity import infer_level
-from loomlog.functions.text import parse_time
+from loomlog.functions.text import parse_month_day, parse_time
 from loomlog.operators.lookups import lookup
 
 _MARK = "\x1f"
@@ -70,14 +70,17 @@ def _known(name: str) -> LineFormat:
     return FORMATS[name]
 
 
-def event_time(fields: dict[str, Column]) -> Column | None:
-    """Normalised time from ``datetime`` (two layouts) or ``date`` + ``time``, on the UTC clock."""
+def event_time(fields: dict[str, Column], year: int | None = None) -> Column | None:
+    """Normalised time from ``datetime`` (two layouts) or ``date`` + ``time``, on the UTC clock; with a ``year`` also from a
+    ``timestamp`` of month, day and time, which names none."""
     if "datetime" in fields:
         zoned = F.try_to_timestamp(fields["datetime"], F.lit("dd/MMM/yyyy:HH:mm:ss Z")).cast("timestamp_ntz")
         utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), zoned)
         return F.coalesce(utc, parse_time(fields["datetime"], "yyyy/MM/dd HH:mm:ss"))
     if "date" in fields and "time" in fields:
         return parse_time(F.concat_ws(" ", fields["date"], fields["time"]), "yyyy-MM-dd HH:mm:ss")
+    if year is not None and "timestamp" in fields:
+        return parse_month_day(fields["timestamp"], year)
     return None
 
 
@@ -91,13 +94,16 @@ def stripped(value: str) -> Column:
     return F.regexp_replace(F.col(value), r"^\s+|\s+$", "")
 
 
-def parse_lines(lines: DataFrame, format_name: str, value: str = "value") -> DataFrame:
-    """Parse every line with one format. Unmatched lines stay, with ``parsed`` false and null fields."""
+def parse_lines(lines: DataFrame, format_name: str, value: str = "value", year: int | None = None) -> DataFrame:
+    """Parse every line with one format. Unmatched lines stay, with ``parsed`` false and null fields.
+
+    ``year`` is that of times which name none, as syslog's; with it such formats get a ``datetime_obj`` too.
+    """
     fmt = _known(format_name)
     keep = [c for c in lines.columns if c != value and c not in fmt.fields]
     staged = lines.select(*keep, F.col(value).alias("raw_content"), fmt.parts(F.col(value)).alias("_parts"))
     fields = {name: fmt.field(F.col("_parts"), name) for name in fmt.fields}
-    when = event_time(fields)
+    when = event_time(fields, year)
     return staged.select(
         *keep, *[c.alias(n) for n, c in fields.items()],
         *([when.alias("datetime_obj")] if when is not None else []),
