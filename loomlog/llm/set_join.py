@@ -126,16 +126,17 @@ def connected(members: DataFrame, meet: Callable[[DataFrame], DataFrame]) -> Dat
     own = ["grp", "id", *[c for c in members.columns if c not in ("grp", "id", "weight")]]
     sizes = saved(members.groupBy("grp").agg(F.count("*").alias("size"), F.sum("weight").alias("total")).filter("size > 1").select(
         "grp", F.ceil(F.greatest(F.col("size") / MEMBERS, F.col("total") / TOKENS)).cast("int").alias("parts")), "sizes")
-    dealt = members.join(sizes, "grp").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+
+    def dealt(groups: DataFrame) -> DataFrame:
+        return members.join(groups, "grp").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     blocks = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
-    star = dealt.withColumn("block", F.explode(blocks.cast("array<long>"))).withColumn("query", F.col("part") == F.col("block"))
+    star = dealt(sizes).withColumn("block", F.explode(blocks.cast("array<long>"))).withColumn("query", F.col("part") == F.col("block"))
     links = saved(meet(star.select(*own, "block", "query")), "links")
     labels = labels_of(links)
     large = saved(sizes.filter("parts > 1"), "large")
     if not large.limit(1).count():
         return labels
-    parted = dealt.join(large.select("grp"), "grp", "left_semi")
-    lists = saved(parted.join(labels.withColumnRenamed("fp", "i"), F.col("id") == F.col("i"), "left").select(
+    lists = saved(dealt(large).join(labels.withColumnRenamed("fp", "i"), F.col("id") == F.col("i"), "left").select(
         *own, "parts", "part", F.coalesce("label", "id").alias("label")), "parted")
     largest = lists.groupBy("grp", "label").count().groupBy("grp").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
     apart = saved(lists.join(largest, "grp").filter("label <> most").select(*own, "parts", "part"), "apart")
