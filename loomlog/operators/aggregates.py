@@ -12,7 +12,7 @@ from loomlog.functions.text import let, percent, to_number
 from loomlog.operators.lookups import lookup
 from loomlog.operators.numbering import with_numbers
 from loomlog.operators.parsing import epoch_to_ntz
-from loomlog.operators.quantiles import exact_quantiles
+from loomlog.operators.quantiles import quantiles_and
 from loomlog.operators.websignals import number_column
 
 
@@ -44,11 +44,9 @@ def response_sizes(df: DataFrame, column: str | None = None) -> DataFrame:
     """total, mean, p50, p95 of the response size; bad values count as 0."""
     name = column or schema.size_column(df)
     sizes = df.select(number_column(df, name, 0.0).alias("v"))
-    p50, p95 = exact_quantiles(sizes, "v", [0.5, 0.95])
-    return sizes.agg(
-        F.sum("v").cast("long").alias("total_bytes"), F.avg("v").alias("mean_bytes"),
-        F.lit(p50).cast("double").alias("p50_bytes"), F.lit(p95).cast("double").alias("p95_bytes"),
-    )
+    (p50, p95), row = quantiles_and(sizes, "v", [0.5, 0.95], [F.sum("v").cast("long").alias("total"), F.avg("v").alias("mean")])
+    return df.sparkSession.createDataFrame(
+        [(row["total"], row["mean"], p50, p95)], "total_bytes long, mean_bytes double, p50_bytes double, p95_bytes double")
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from loomlog.operators.lookups import lookup
@@ -28,16 +28,21 @@ def _ranks(n: int, prob: float) -> tuple[int, int, float]:
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> list[float | None]:
     """Linear-interpolated quantiles of a numeric column, nulls ignored; None for no rows."""
+    return quantiles_and(df, column, probs, [])[0]
+
+
+def quantiles_and(df: DataFrame, column: str, probs: list[float], also: list[Column]) -> tuple[list[float | None], Row]:
+    """The quantiles and, from the same first pass, a row with the aggregates ``also`` of the values ``v``."""
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     slack = 4.0 / SKETCH_ACCURACY
     cuts = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
     head = values.agg(
         F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-        F.percentile_approx("v", cuts, SKETCH_ACCURACY).alias("cuts"),
+        F.percentile_approx("v", cuts, SKETCH_ACCURACY).alias("cuts"), *also,
     ).first()
     n = head["n"]
     if n == 0:
-        return [None] * len(probs)
+        return [None] * len(probs), head
     brackets = []
     for i, p in enumerate(probs):
         low = head["lo"] if p <= slack else head["cuts"][2 * i]
@@ -49,7 +54,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> list[floa
     for p in probs:
         low, high, weight = _ranks(n, p)
         out.append(found[low] + (found[high] - found[low]) * weight)
-    return out
+    return out, head
 
 
 def _values_at(values: DataFrame, ranks: list[int], brackets: list[tuple[float, float]], n: int,
