@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from loomlog import fixed_values as fv
 from loomlog import streaming
-from loomlog.catalog.forest_sql import forest, report
+from loomlog.catalog.forest_sql import forest, log_features, report
+from loomlog.catalog.measures import _NUM
 from loomlog.catalog.registry import SQL, query
 from loomlog.catalog.entities import actions_sql, threat_sql
 from loomlog.catalog.sql import any_has, frm, lit, union
@@ -132,10 +133,24 @@ def logreg_anomaly(spark, d):
     return training.train_log_model(logs, kind="supervised")[1]
 
 
-@query("forest_on_logs")
+_Y = "CASE WHEN log_level IN (" + ", ".join(lit(x) for x in fv.ANOMALY_LEVELS) + ") THEN 1 ELSE 0 END"
+_ALL_LOGS = f"SELECT line_id::varchar AS id, log_level, module, message, false AS held FROM {APP}"
+_SPLIT_LOGS = (f"SELECT id, log_level, module, message, r <= ceil(n * 0.25) AS held FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42|' || id)) AS r,"
+               f" count(*) OVER (PARTITION BY y) AS n FROM (SELECT line_id::varchar AS id, log_level, module, message, {_Y} AS y FROM {APP}))")
+
+
+def _log_forest(logs: str, contamination: float) -> str:
+    """CTEs that end in rated (id, log_level, held, y, pred)."""
+    return (log_features(logs, _NUM, fv.ENGLISH_STOP_WORDS) + ",\n "
+            + forest("SELECT id, f, v FROM points", "SELECT id FROM logs WHERE NOT held", 200, contamination, ids="SELECT id FROM logs")
+            + f",\n rated AS MATERIALIZED (SELECT id, held, {_Y} AS y, CASE WHEN -score - q < 0 THEN 1 ELSE 0 END AS pred FROM logs JOIN scored USING (id), cut)")
+
+
+@query("forest_on_logs", f"WITH {_log_forest(_SPLIT_LOGS, 0.15)}, " + report("SELECT y, pred FROM rated WHERE held"))
 def forest_on_logs(spark, d):
+    """A forest over log features, fitted on three quarters of the rows and reported on the rest."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
-    return training.train_log_model(logs)[1]
+    return rounded(training.train_log_model(logs)[1])
 
 
 def _sources(spark, d):
@@ -155,15 +170,24 @@ def best_contamination(spark, d):
     return evaluation.best_by_mean_f1(training.leave_one_out(_sources(spark, d)))
 
 
-@query("evaluate_by_source")
+_RATIO = "CASE WHEN {b} = 0 THEN 0 ELSE ({a})::double / ({b}) END"
+_BY_SOURCE = ("SELECT 'set' || (id::bigint % 3) AS source_file, count(*) FILTER (y = 1 AND pred = 1) AS tp, count(*) FILTER (y = 0 AND pred = 1) AS fp,"
+              " count(*) FILTER (y = 1 AND pred = 0) AS fn, count(*) FILTER (y = pred) AS ok, count(*) AS total FROM rated GROUP BY 1")
+_PRECISION, _RECALL = _RATIO.format(a="tp", b="tp + fp"), _RATIO.format(a="tp", b="tp + fn")
+
+
+@query("evaluate_by_source", f"WITH {_log_forest(_ALL_LOGS, 0.2)}, s AS ({_BY_SOURCE}) SELECT source_file, round(ok::double / total, 6) AS accuracy,"
+       f" round(CASE WHEN tp = 0 THEN 0 ELSE 2.0::double * tp / (2 * tp + fp + fn) END, 6) AS f1_anomaly, round({_RECALL}, 6) AS recall_anomaly, round({_PRECISION}, 6) AS precision_anomaly,"
+       " tp + fn AS true_anomalies, tp + fp AS predicted_anomalies, total FROM s")
 def evaluate_by_source(spark, d):
     """Train on everything, then per-source accuracy, f1 and counts from one scoring pass."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message", F.concat(F.lit("set"), (F.col("line_id") % 3).cast("string")).alias("source_file"))
     model, _ = training.train_log_model(logs, test=logs, forest=ForestOptions(trees=200, contamination=0.2))
-    return training.evaluate_by_source(model, logs)
+    out = training.evaluate_by_source(model, logs)
+    return out.withColumns({c: F.round(c, 6) for c in ("accuracy", "f1_anomaly", "recall_anomaly", "precision_anomaly")})
 
 
-@query("saved_model_scores")
+@query("saved_model_scores", f"WITH {_log_forest(_ALL_LOGS, 0.10)} SELECT CASE pred WHEN 1 THEN 'ANOMALY' ELSE 'NORMAL' END AS status, count(*) AS n FROM rated GROUP BY 1")
 def saved_model_scores(spark, d):
     """Train, save, load and score: ANOMALY / NORMAL counts."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")
@@ -231,7 +255,7 @@ def stream_parse_tag(spark, d):
     return streaming.run_available(out, "parsed")
 
 
-@query("stream_score")
+@query("stream_score", f"WITH {_log_forest(_ALL_LOGS, 0.2)} SELECT pred, count(*) AS n FROM rated GROUP BY 1")
 def stream_score(spark, d):
     """Score a stream of log rows with a model fitted on the table."""
     logs = view(spark, d, "app_log").select("line_id", "log_level", "module", "message")

@@ -28,8 +28,8 @@ from loomlog.operators.sampling import borders, digest_of
 from loomlog.options import ForestOptions
 
 NODE_SCHEMA = "tree int, node int, feature int, cut double, path double"
-#: Digits that scores are rounded to, so that sums in another order give the same score.
-DIGITS = 12
+#: Digits that scores and features are rounded to, so that sums in another order give the same trees and scores.
+DIGITS, FEATURE_DIGITS = 12, 9
 #: Cells of a scoring batch's matrix.
 CELLS = 1 << 22
 
@@ -69,7 +69,7 @@ class Entries:
         feature = np.concatenate([*places, np.zeros(0, dtype=np.int64)]).astype(np.int64)
         order = np.lexsort((row, feature))
         self.row, self.feature = row[order], feature[order]
-        self.value = np.concatenate([*stored, np.zeros(0)])[order]
+        self.value = np.round(np.concatenate([*stored, np.zeros(0)])[order], FEATURE_DIGITS)
 
     def ranges(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Features that differ among the rows of the mask, their least and greatest values; absent entries are 0."""
