@@ -64,9 +64,10 @@ def malformed_csv(spark: SparkSession, path, sep: str = ",", recursive: bool = F
     names = [f.name for f in reader.option("inferSchema", False).csv(path).schema]
     columns = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_record"]])
     rows = reader.schema(columns).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").csv(path)
-    # the record is read together with a value: alone it would be read from no column at all
-    return rows.select(F.col("_metadata.file_path").alias("source_file"), F.col(f"`{names[0]}`").alias("_first"), "_record").filter(
-        "_record is not null").select("source_file", decoded(F.col("_record")).alias("record"))
+    # The reader gives records only together with a value, so both are written, and later queries may prune.
+    kept = written(rows.select(F.col("_metadata.file_path").alias("source_file"), F.col(f"`{names[0]}`").alias("first"), "_record").filter(
+        "_record is not null"), "malformed")
+    return kept.select("source_file", decoded(F.col("_record")).alias("record"))
 
 
 def read_text_lines(spark: SparkSession, path, recursive: bool = False, glob: str | None = None) -> DataFrame:

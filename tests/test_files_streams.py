@@ -114,3 +114,30 @@ def test_report_is_written_by_section(spark, tmp_path):
     path = sinks.write_report(reports.combined(sections), str(tmp_path / "r"))
     back = spark.read.option("header", True).csv(path)
     assert back.filter("section = 'insights'").first()["key"] == "1.1.1.1"
+
+
+def test_csv_in_two_encodings_with_quoted_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('Time,Größe,Content\n1,2,"first\nsecond, ""quoted"""\n2,3,café\n'.encode())
+    (tmp_path / "b.csv").write_bytes("Time,Größe,Content\n3,4,caf\xe9\n4,5,too,many\n".encode("latin-1"))
+    a = readers.read_csv_log(spark, str(tmp_path / "a.csv"))
+    assert a.columns == ["Time", "Größe", "Content"] and [r["Content"] for r in a.orderBy("Time").collect()] == ['first\nsecond, "quoted"', "café"]
+    b = readers.read_csv_log(spark, str(tmp_path / "b.csv"), infer=False)
+    assert [tuple(r) for r in b.collect()] == [("3", "4", "café")]
+    bad = readers.malformed_csv(spark, str(tmp_path / "b.csv")).collect()
+    assert [r["record"] for r in bad] == ["4,5,too,many"] and bad[0]["source_file"].endswith("b.csv")
+    assert readers.malformed_csv(spark, str(tmp_path / "a.csv")).count() == 0
+
+
+def test_many_files_of_different_headers(spark, tmp_path):
+    for k in range(40):
+        names = [["id", "bytes"], ["bytes", "proto", "id"], ["id", "label"]][k % 3]
+        values = {"id": k, "bytes": 10 * k, "proto": 'tc"p' if k % 2 else "ud,p", "label": "Benign"}
+        line = ",".join('"' + str(values[n]).replace('"', '""') + '"' if n == "proto" else str(values[n]) for n in names)
+        (tmp_path / f"f{k}.csv").write_text(",".join(names) + "\n" + line + "\n" + ("1,2,3,4,5\n" if k == 0 else "") + "\n")
+    df = readers.load_ctu_iot(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"bytes": "double", "id": "double", "label": "string", "proto": "string"}
+    rows = {int(r["id"]): r for r in df.collect()}
+    assert len(rows) == 40
+    for k, r in rows.items():
+        assert r["bytes"] == (None if k % 3 == 2 else 10.0 * k) and r["label"] == ("Benign" if k % 3 == 2 else None)
+        assert r["proto"] == (('tc"p' if k % 2 else "ud,p") if k % 3 == 1 else None)

@@ -99,3 +99,48 @@ def test_buckets_and_actions(spark):
     assert [r["ip"] for r in ranked.orderBy("rank").collect()] == ["1.1.1.1", "2.2.2.2"]
     assert threats.ip_actions(ranked).count() == 2
     assert threats.rows_of(df, ranked.filter(F.col("rank") == 1)).count() == 12
+
+
+def test_addresses_as_ordered_keys(spark):
+    import ipaddress
+    texts = ["1.2.3.4", "255.255.255.255", "::", "::1", "2001:db8::1", "2001:0DB8:0:0:8:800:200C:417A", "fe80::1%eth0", "::ffff:10.0.0.1",
+             "1:2:3:4:5:6:7:8", "1::8", "64:ff9b::192.0.2.33", "no", "1.2.3", "1:2", "", None]
+    from loomlog.functions.ip import ip_key
+    got = dict(spark.createDataFrame([(t,) for t in texts], "t string").select("t", ip_key(F.col("t")).alias("k")).collect())
+    for t in texts[:11]:
+        a = ipaddress.ip_address(t.split("%")[0])
+        number = int(a) if a.version == 6 else int(a) + (0xFFFF << 32)
+        assert got[t] == f"{number:032x}", t
+    assert all(got[t] is None for t in texts[11:])
+
+
+def test_smallest_range_of_an_address(spark):
+    from loomlog.operators.lookups import with_geo
+    ranges = spark.createDataFrame([
+        ("10.0.0.0", "10.255.255.255", "WIDE", None), ("10.1.2.3", "10.1.2.200", "NARROW", "x"), ("2001:db8::", "2001:db8::ffff", "SIX", "y"),
+        ("9.0.0.9", "9.0.0.1", "NONE", None), ("bad", "10.0.0.1", "NONE", None)], "start string, end string, country string, city string")
+    ips = spark.createDataFrame([("10.1.2.2",), ("10.1.2.3",), ("10.1.2.200",), ("10.1.2.201",), ("2001:db8::12",), ("2001:db9::",), ("9.0.0.5",), ("x",), (None,), ("10.1.2.3",)], "ip string")
+    got = sorted(((r["ip"], r["country"], r["city"]) for r in with_geo(ips, ranges).collect()), key=str)
+    assert got == sorted([("10.1.2.2", "WIDE", None), ("10.1.2.3", "NARROW", "x"), ("10.1.2.3", "NARROW", "x"), ("10.1.2.200", "NARROW", "x"), ("10.1.2.201", "WIDE", None),
+                          ("2001:db8::12", "SIX", "y"), ("2001:db9::", None, None), ("9.0.0.5", None, None), ("x", None, None), (None, None, None)], key=str)
+
+
+def test_report_facts_are_what_the_operators_count(spark):
+    from loomlog.operators import aggregates as agg
+    from loomlog.operators import categories as cats
+    from loomlog.options import ReportOptions
+    from loomlog.plans import reports
+    rows = [(k, ["1.1.1.1", "2.2.2.2", None][k % 3], ["GET", "POST", None][k % 3 - 1], ["/login", "/a?id=1 union select 1", None, "/x"][k % 4],
+             ["200", "401", "bad", "404.0"][k % 4], 9000 * (k % 2), ["curl", "sqlmap", None][k % 3], None, f"2024-01-01 00:00:{k % 60:02d}", "Failed password error")
+            for k in range(130)]
+    df = spark.createDataFrame(rows, "line_id int, ip string, method string, path string, status string, bytes int, user_agent string, referer string, timestamp string, message string")
+    opts = ReportOptions()
+    facts, _, _, _ = reports._facts(df, opts, True)
+    from loomlog.operators import threats
+    from loomlog.operators import websignals as w
+    pairs = [(facts.counters(), w.signal_counters(df, opts.web)), (facts.categories(), cats.category_counts(df, "message", reports.rules_for(opts))),
+             (facts.statuses(), agg.status_distribution(df)), (facts.status_classes(), agg.status_classes(df)), (facts.values("path", "path", 3), agg.value_counts(df, "path", 3)),
+             (facts.failed_logins(), w.bruteforce_offenders(df, opts.web)), (facts.busy_ips(), w.high_frequency_ips(df, opts.web)),
+             (facts.threats().drop("_top"), threats.threat_summary(df, None, reports.RuleSet.of({}, ignore_case=False), opts.web.bruteforce_threshold, "message").drop("_top"))]
+    for got, want in pairs:
+        assert sorted(map(str, got.select(*sorted(got.columns)).collect())) == sorted(map(str, want.select(*sorted(want.columns)).collect()))

@@ -111,3 +111,34 @@ def test_truth_without_an_order_must_agree(spark):
     assert ev.score_against_truth(pred, truth, order="o").first()["tp"] == 0
     with pytest.raises(Exception, match="row order"):
         ev.score_against_truth(pred, truth).collect()
+
+
+def test_numbers_in_an_order(spark):
+    from loomlog.operators.numbering import with_numbers
+    df = spark.range(1000).select(F.pmod(F.xxhash64("id"), F.lit(5000)).alias("x"), "id").repartition(7)
+    got = with_numbers(df, ["x", "id"], "n", start=1).collect()
+    order = sorted((r["x"], r["id"]) for r in got)
+    assert {(r["x"], r["id"]): r["n"] for r in got} == {x: k for k, x in enumerate(order, 1)}
+    assert with_numbers(df.limit(0), ["x"], "n").count() == 0
+
+
+def test_samples_follow_digests_and_stay_exact_with_repeated_ids(spark):
+    import hashlib
+    rows = [(k % 60, "ab"[k % 2]) for k in range(400)]
+    df = spark.createDataFrame(rows, "id int, g string")
+    quotas = spark.createDataFrame([("a", 37), ("b", 5000)], "g string, quota long")
+    for parts in (1, 5):
+        marked = sampling.mark_by_quota(df.repartition(parts), "g", quotas, ["id"]).collect()
+        assert len(marked) == 400 and sum(r["_in"] for r in marked if r["g"] == "a") == 37 and all(r["_in"] for r in marked if r["g"] == "b")
+        key = {r["id"]: hashlib.md5(f"42|{r['id']}".encode()).hexdigest() for r in marked}
+        taken = [key[r["id"]] for r in marked if r["g"] == "a" and r["_in"]]
+        left = [key[r["id"]] for r in marked if r["g"] == "a" and not r["_in"]]
+        assert max(taken) <= min(left)
+    assert sampling.sample_rows(df, 0, ["id"]).count() == 0
+
+
+def test_sampling_ranks_no_group(spark):
+    df = spark.range(5_000).withColumn("g", F.col("id") % 3)
+    quotas = df.groupBy("g").agg(F.lit(100).cast("long").alias("quota"))
+    plan = sampling.mark_by_quota(df, "g", quotas, ["id"])._jdf.queryExecution().toString()
+    assert "row_number" not in plan
