@@ -158,16 +158,37 @@ def _sources(spark, d):
     return view(spark, d, "app_log").select("line_id", "log_level", "module", "message", source.alias("source_file"))
 
 
-@query("leave_one_out")
+def _folds_sql() -> str:
+    """test_dataset, contamination and scores: a forest on all other sources, for each of the three."""
+    folds = []
+    for k in range(3):
+        logs = f"SELECT line_id::varchar AS id, log_level, module, message, line_id % 3 = {k} AS held FROM {APP}"
+        grown = forest("SELECT id, f, v FROM points", "SELECT id FROM logs WHERE NOT held", 100, 0.05, ids="SELECT id FROM logs")
+        cuts = union([f"SELECT {c}::double AS contamination, quantile_cont(-score, {c}::double) AS q FROM scored JOIN logs USING (id) WHERE NOT held" for c in training.CONTAMINATIONS])
+        folds.append(f"""SELECT * FROM (WITH {log_features(logs, _NUM, fv.ENGLISH_STOP_WORDS)}, {grown}, cuts AS ({cuts})
+ SELECT 'set{k}' AS test_dataset, contamination, {_Y} AS y, CASE WHEN -score < cuts.q THEN 1 ELSE 0 END AS pred FROM logs JOIN scored USING (id), cuts WHERE held)""")
+    return f"""WITH r AS ({union(folds)}),
+ n AS (SELECT test_dataset, contamination, count(*) FILTER (y = 1 AND pred = 1) AS tp, count(*) FILTER (y = 0 AND pred = 1) AS fp, count(*) FILTER (y = 1 AND pred = 0) AS fn,
+  count(*) FILTER (y = 0 AND pred = 0) AS tn FROM r GROUP BY 1, 2),
+ f AS (SELECT *, CASE WHEN tp = 0 THEN 0 ELSE 2.0::double * tp / (2 * tp + fp + fn) END AS f1, CASE WHEN tn = 0 THEN 0 ELSE 2.0::double * tn / (2 * tn + fp + fn) END AS f0,
+  tp + fp + fn + tn AS total FROM n)
+ SELECT test_dataset, contamination, round(f1, 6) AS f1_anomaly, round(CASE WHEN tp = 0 THEN 0 ELSE tp::double / (tp + fn) END, 6) AS recall_anomaly,
+  round(CASE WHEN tp = 0 THEN 0 ELSE tp::double / (tp + fp) END, 6) AS precision_anomaly, round((tp + tn)::double / total, 6) AS accuracy,
+  round((f1 * (tp + fn) + f0 * (tn + fp)) / total, 6) AS f1_weighted FROM f"""
+
+
+@query("leave_one_out", _folds_sql())
 def leave_one_out(spark, d):
     """Scores of each held-out source at every contamination."""
-    return training.leave_one_out(_sources(spark, d))
+    out = training.leave_one_out(_sources(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("f1_anomaly", "recall_anomaly", "precision_anomaly", "accuracy", "f1_weighted")})
 
 
-@query("best_contamination")
+@query("best_contamination", f"SELECT contamination, round(avg(f1_anomaly), 5) AS mean_f1 FROM ({_folds_sql()}) GROUP BY 1 ORDER BY mean_f1 DESC, contamination LIMIT 1")
 def best_contamination(spark, d):
     """The contamination with the best mean score over all held-out sources."""
-    return evaluation.best_by_mean_f1(training.leave_one_out(_sources(spark, d)))
+    best = evaluation.best_by_mean_f1(leave_one_out(spark, d))
+    return best.withColumn("mean_f1", F.round("mean_f1", 5))
 
 
 _RATIO = "CASE WHEN {b} = 0 THEN 0 ELSE ({a})::double / ({b}) END"
