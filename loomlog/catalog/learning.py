@@ -12,7 +12,7 @@ from loomlog.catalog.registry import SQL, query
 from loomlog.catalog.entities import actions_sql, threat_sql
 from loomlog.catalog.sql import any_has, frm, lit, union
 from loomlog.catalog.template_sql import mined
-from loomlog.catalog.tags import _TEXT, _reason_sql, classify
+from loomlog.catalog.tags import _LINE_SEV, _PASSED, _TEXT, _keyword_sql, _reason_sql, _usage, classify
 from loomlog.catalog.web import ACCESS, OPTS, _counters_sql, _signals
 from loomlog.checkpoints import fresh_path
 from loomlog.operators import aggregates as agg
@@ -218,7 +218,34 @@ def saved_model_scores(spark, d):
     return scored.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("line_anomalies")
+def _line_run_sql() -> str:
+    """The per-line run: features, forest, the contamination with the best f1 against the rules, and the rules on top."""
+    event = "regexp_extract(line, '\\[(.*?)\\]', 1)"
+    stops = ", ".join(lit(w) for w in fv.ENGLISH_STOP_WORDS)
+    severe = "(kw >= 2 OR sev IN ('WARN', 'ERROR'))"
+    features = f"""signals AS MATERIALIZED (SELECT line_id::varchar AS id, line, array_to_string(template, ' ') AS template, {_LINE_SEV} AS sev, {event} AS ev, {_keyword_sql('line')} AS kw,
+  {_usage('CPU')} AS cpu, {_usage('Memory')} AS mem, {_PASSED} AS passed FROM {APP} JOIN mined ON mined.id = line_id),
+ kinds AS (SELECT 1 AS k, template AS v FROM signals GROUP BY template UNION ALL SELECT 2, sev FROM signals GROUP BY sev UNION ALL SELECT 3, ev FROM signals GROUP BY ev),
+ places AS (SELECT k, v, row_number() OVER (ORDER BY k, v) - 1 AS f FROM kinds),
+ base AS (SELECT (SELECT count(*) FROM kinds) AS b),
+ tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(list_filter(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda x: x NOT IN ({stops}))) AS term FROM signals) GROUP BY 1, 2),
+ vocabulary AS (SELECT term, df, row_number() OVER (ORDER BY n DESC, term) - 1 AS f FROM (SELECT term, sum(tf) AS n, count(*) AS df FROM tf GROUP BY term ORDER BY n DESC, term LIMIT 20)),
+ weighed AS (SELECT id, f, tf * (ln((1.0 + (SELECT count(*) FROM signals)) / (1.0 + df)) + 1.0) AS w FROM tf JOIN vocabulary USING (term)),
+ numbers AS (SELECT id, unnest([0, 1, 2, 3]) AS j, unnest([count(*) OVER (PARTITION BY ev)::double, kw::double,
+   coalesce((cpu - min(cpu) OVER ()) / nullif(max(cpu) OVER () - min(cpu) OVER (), 0), 0), coalesce((mem - min(mem) OVER ()) / nullif(max(mem) OVER () - min(mem) OVER (), 0), 0)]) AS v FROM signals),
+ points AS (SELECT id, f, 1.0::double AS v FROM signals JOIN places ON (k = 1 AND v = template) OR (k = 2 AND v = sev) OR (k = 3 AND v = ev)
+  UNION ALL SELECT id, b + j, v FROM numbers, base UNION ALL SELECT id, b + 4 + f, w / sqrt(sum(w * w) OVER (PARTITION BY id)) FROM weighed, base)"""
+    cuts = union([f"SELECT {i} AS place, quantile_cont(-score, {c}::double) AS q FROM scored" for i, c in enumerate(unsupervised.CONTAMINATIONS)])
+    return f"""WITH {mined(f"SELECT line_id AS id, line AS message FROM {APP}", TemplateOptions().similarity)}, {features},
+ {forest("SELECT id, f, v FROM points", "SELECT id FROM signals", 100, 0.2, ids="SELECT id FROM signals")}, cuts AS ({cuts}),
+ judged AS (SELECT place, sum(CASE WHEN {severe} AND NOT passed AND hit THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN NOT ({severe} AND NOT passed) AND hit THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN {severe} AND NOT passed AND NOT hit THEN 1 ELSE 0 END) AS fn FROM (SELECT *, -score < cuts.q AND NOT passed AS hit FROM signals JOIN scored USING (id), cuts) GROUP BY place),
+ chosen AS (SELECT cuts.q AS best FROM cuts JOIN (SELECT place FROM judged ORDER BY CASE WHEN tp = 0 THEN 0 ELSE round(2.0 * tp / (2 * tp + fp + fn), 12) END DESC, place LIMIT 1) USING (place))
+ SELECT severity, event_type, is_anomaly, benign, count(*) AS n FROM (SELECT sev AS severity, ev AS event_type, CASE WHEN passed THEN 0 WHEN -score - best < 0 OR {severe} THEN 1 ELSE 0 END AS is_anomaly,
+  sev = 'INFO' AND ev IN ({", ".join(lit(x) for x in fv.BENIGN_EVENT_TYPES)}) AND count(*) OVER (PARTITION BY ev) > 1 AS benign FROM signals JOIN scored USING (id), chosen) GROUP BY ALL"""
+
+
+@query("line_anomalies", _line_run_sql())
 def line_anomalies(spark, d):
     """The whole per-line run; rows by severity, event type and verdict."""
     run = unsupervised.detect_line_anomalies(view(spark, d, "app_log").select("line_id", "line"))

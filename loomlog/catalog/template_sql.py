@@ -21,9 +21,9 @@ def mined(lines: str, similarity: float) -> str:
     step = (f"list_transform([{alike}], lambda s: CASE WHEN len(s) > 0 AND list_max(s) >= {similarity} THEN {{'t': x.t, 'c': {joined}, 'a': list_append(y.a, {best})}}"
             " ELSE {'t': x.t, 'c': list_append(y.c, x.t), 'a': list_append(y.a, len(y.c) + 1)} END)[1]")
     empty = "CAST([] AS varchar[][])"
-    return f"""cut AS (SELECT id, list_filter(regexp_split_to_array(message, '\\s+'), lambda w: w <> '') AS tokens FROM ({lines})),
+    return f"""pieces AS (SELECT id, list_filter(regexp_split_to_array(message, '\\s+'), lambda w: w <> '') AS tokens FROM ({lines})),
  plain AS (SELECT id, tokens, list_transform(tokens, lambda w: CASE WHEN regexp_matches(w, {_VALUE}) OR (regexp_matches(w, {_HEX}) AND regexp_matches(w, '[0-9]'))
-   THEN {wild} ELSE w END) AS t FROM cut),
+   THEN {wild} ELSE w END) AS t FROM pieces),
  texts AS (SELECT DISTINCT t, len(t) || ' ' || t[1] AS key FROM plain WHERE len(t) > 0),
  folded AS (SELECT key, list(t ORDER BY encode(array_to_string(t, ' '))) AS ts, list_reduce(list({{'t': t, 'c': {empty}, 'a': CAST([] AS bigint[])}} ORDER BY encode(array_to_string(t, ' '))),
    lambda y, x: {step}, {{'t': CAST([] AS varchar[]), 'c': {empty}, 'a': CAST([] AS bigint[])}}) AS f FROM texts GROUP BY key),
