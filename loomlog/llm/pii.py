@@ -35,7 +35,7 @@ Span = tuple[int, int]
 
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"[0-9](?<![0-9]{2})[0-9]*+(?:\.[0-9]++){3}")  # a class comes first: a search skips to it
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SEPARATORS = re.compile("[ -]")
@@ -69,12 +69,16 @@ def look_alikes() -> dict[str, str]:
 
 
 _PLAIN = look_alikes()
-_ALIKE = re.compile("[" + "".join(map(re.escape, _PLAIN)) + "]")
+#: Look-alikes; beyond U+FFFF, where a class is tried item by item, the whole block of mathematical letters.
+_ALIKE = re.compile("[" + "".join(re.escape(c) for c in _PLAIN if c <= "\uffff") + "\U0001d400-\U0001d7ff]")
 _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 #: At least four spelled or written digits in a row, one of them spelled.
 _SPELLED_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:{_DIGIT_WORD}|[0-9])(?:(?:[ ,.-]|, )?(?:{_DIGIT_WORD}|[0-9])){{3,}}+(?![A-Za-z])", re.I)
 _ONE_DIGIT = re.compile(rf"{_DIGIT_WORD}|[0-9]", re.I)
 _ANY_SPELLED = re.compile(rf"\b{_DIGIT_WORD}\b", re.I)
+_AFTER_WORD = "(?:" + "|".join(f"(?<={word}.)" for word in SPELLED) + ")"
+#: In lower case, a sign between two spelled digits or a spelled and a written one; every row with a spelled digit has one.
+_SPELLED_PAIR = re.compile(rf"[ ,.-](?= ?(?:{_DIGIT_WORD}|[0-9]))(?:{_AFTER_WORD}|(?<=[0-9].)(?! ?[0-9]))")
 _ANY_BRACKETED = re.compile(r"[\[({<] ?(?:at|dot|@|\.) ?[\])}>]", re.I)
 _BRACKETED = re.compile(r" ?[\[({<] ?(at|dot|@|\.) ?[\])}>] ?", re.I)
 #: "name at host dot org": the words only count together, the dot word right after one label.
@@ -151,7 +155,7 @@ class Traced:
 
 
 def plain_characters(t: Traced) -> Traced:
-    return t.replaced([(m.start(), m.end(), _PLAIN[m[0]]) for m in _ALIKE.finditer(t.text)])
+    return t.replaced([(m.start(), m.end(), _PLAIN[m[0]]) for m in _ALIKE.finditer(t.text) if m[0] in _PLAIN])
 
 
 def plain_digits(t: Traced) -> Traced:
@@ -177,12 +181,13 @@ def plain_signs(t: Traced) -> Traced:
 
 
 def disguised(text: str) -> bool:
-    """Whether a transducer would rewrite anything."""
+    """Whether a transducer might rewrite anything."""
+    lower = text.lower()
     return bool(
         (not text.isascii() and _ALIKE.search(text))
         or _ANY_BRACKETED.search(text)
-        or (" dot " in text.lower() and (_WORDED.search(text) or _DOT_CHAIN.search(text) or _DOT_NUMBERS.search(text)))
-        or (_ANY_SPELLED.search(text) and any(_ANY_SPELLED.search(m[0]) for m in _SPELLED_RUN.finditer(text))))
+        or (" dot " in lower and (_WORDED.search(text) or _DOT_CHAIN.search(text) or _DOT_NUMBERS.search(text)))
+        or ((_SPELLED_PAIR.search(lower) or "ſ" in text or "İ" in text) and any(_ANY_SPELLED.search(m[0]) for m in _SPELLED_RUN.finditer(text))))
 
 
 def uncovered_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -223,6 +224,31 @@ def test_long_runs_are_quick():
         pii.all_spans(text)
 
 
+def test_disguise_does_not_hang_on_words_elsewhere():
+    row = "4539578763621486 eight_"
+    alone, beside = pii.all_spans(row)[1], pii.all_spans(f"one\n{row}")[1]
+    assert alone["card"] == [(0, 16), (0, 22)] and beside["card"] == [(4, 20), (4, 26)]
+
+
+def test_rare_look_alikes_are_told_from_other_characters():
+    chars, plain = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000], pii.look_alikes()
+    assert pii.plain_characters(pii.Traced.of("".join(chars))).text == "".join(plain.get(c, c) for c in chars)
+
+
+def _seconds(run):
+    best = float("inf")
+    for _ in range(3):
+        start = time.process_time()
+        run()
+        best = min(best, time.process_time() - start)
+    return best
+
+
+def test_accented_text_costs_a_few_scans():
+    text, scan = "de aiè ñandú Óími crème œuvre quelqu’un " * 10_000, re.compile("[0-9]")
+    assert _seconds(lambda: pii.all_spans(text)) < 40 * _seconds(lambda: scan.search(text))
+
+
 def test_personal_data_rows(spark):
     rows = [(1, "a@b.cc 1.2.3.4", "en"), (1, "a@b.cc 1.2.3.4", "en"), (2, None, "en"), (None, "me (at) b (dot) cc", "en"), (3, "", None)]
     docs = docs_frame(spark, rows)
