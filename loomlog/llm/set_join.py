@@ -117,18 +117,21 @@ def index_rows(distinct: DataFrame, percent: int) -> DataFrame:
 
 # Lists and groups, whole or dealt into parts.
 
-def connected(members: DataFrame, meet: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def connected(members: DataFrame, marks: DataFrame, meet: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """fp (an id) and label of what is linked within the groups of ``members`` (grp, id, weight and other columns).
 
-    ``meet`` gets the members' rows with a block and query and returns a, b: ids that connect what is linked in a block by
-    links of which one end at least is a query.
+    ``meet`` gets the members' rows with what ``marks`` has of their id, a block and query, and returns a, b: ids that connect
+    what is linked in a block by links of which one end at least is a query. The marks join before rows are dealt, and by
+    merging: the planner goes by the size of files, which is far below that of the rows they are dealt into, and would
+    broadcast those.
     """
-    own = ["grp", "id", *[c for c in members.columns if c not in ("grp", "id", "weight")]]
+    own = ["grp", "id", *[c for c in members.columns + marks.columns if c not in ("grp", "id", "weight")]]
     sizes = saved(members.groupBy("grp").agg(F.count("*").alias("size"), F.sum("weight").alias("total")).filter("size > 1").select(
         "grp", F.ceil(F.greatest(F.col("size") / MEMBERS, F.col("total") / TOKENS)).cast("int").alias("parts")), "sizes")
 
     def dealt(groups: DataFrame) -> DataFrame:
-        return members.join(groups, "grp").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+        marked = members.join(groups, "grp").join(marks.hint("merge"), "id")
+        return marked.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     blocks = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
     star = dealt(sizes).withColumn("block", F.explode(blocks.cast("array<long>"))).withColumn("query", F.col("part") == F.col("block"))
     links = saved(meet(star.select(*own, "block", "query")), "links")
@@ -138,17 +141,18 @@ def connected(members: DataFrame, meet: Callable[[DataFrame], DataFrame]) -> Dat
         return labels
     lists = saved(dealt(large).join(labels.withColumnRenamed("fp", "i"), F.col("id") == F.col("i"), "left").select(
         *own, "parts", "part", F.coalesce("label", "id").alias("label")), "parted")
-    largest = lists.groupBy("grp", "label").count().groupBy("grp").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
-    apart = saved(lists.join(largest, "grp").filter("label <> most").select(*own, "parts", "part"), "apart")
+    # a row for each group here and in ``asked``, which are the smaller side whatever the files' sizes
+    largest = saved(lists.groupBy("grp", "label").count().groupBy("grp").agg(F.max_by("label", F.struct("count", "label")).alias("most")), "largest")
+    apart = saved(lists.join(small(largest), "grp").filter("label <> most").select(*own, "parts", "part"), "apart")
     if not apart.limit(1).count():
         return labels
-    asked = apart.groupBy("grp").agg(F.collect_set("part").alias("asking"))
+    asked = saved(apart.groupBy("grp").agg(F.collect_set("part").alias("asking")), "asked")
 
     def block(asking: Column, part: Column) -> Column:
         return (asking.cast("long") * (1 << 31) + part).alias("block")
     queries = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         *own, block(F.col("part"), F.col("other")), F.lit(True).alias("query"))
-    index = lists.join(asked, "grp").withColumn("from", F.explode("asking")).select(
+    index = lists.join(small(asked), "grp").withColumn("from", F.explode("asking")).select(
         *own, block(F.col("from"), F.col("part")), F.lit(False).alias("query"))
     more = saved(meet(queries.unionByName(index)), "links")
     return labels_of(links.unionByName(more))
@@ -346,11 +350,11 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SH
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("bits").alias("bits")
     ).withColumn("id", F.monotonically_increasing_id()), "distinct")
     lists = index_rows(distinct, percent).withColumn("weight", F.lit(0))
-    near = connected(lists, lambda rows: listed(rows.join(distinct.select("id", "bits"), "id"), percent))
+    near = connected(lists, distinct.select("id", "bits"), lambda rows: listed(rows, percent))
     wanted = saved(near.withColumnRenamed("fp", "id").join(distinct.select("id", "key", "least", "n"), "id"), "wanted")
     tokens = saved(exact_sets(docs, wanted, shingle), "tokens")
     groups = wanted.select(F.col("label").alias("grp"), "id", F.col("n").alias("weight"))
-    labels = connected(groups, lambda rows: settled(rows.join(tokens, "id"), percent))
+    labels = connected(groups, tokens, lambda rows: settled(rows, percent))
     grouped = distinct.select("id", "key", "least").join(labels, F.col("id") == F.col("fp"), "left").withColumn("label", F.coalesce("label", "id"))
     smallest = grouped.groupBy("label").agg(F.min("least").alias("component"))
     of_key = grouped.join(smallest, "label").select("key", "component")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -97,6 +98,29 @@ def test_a_large_group_in_parts(spark, monkeypatch):
     assert found(set_join.linked_components(frame(spark, rows))) == brute(rows)
 
 
+def test_dealt_rows_are_not_joined(spark, monkeypatch):
+    """What is compared joins before rows are dealt to blocks: dealt rows may be many more than the planner expects."""
+    plans = []
+    for name in ("listed", "settled"):
+        def watched(rows, percent, meet=getattr(set_join, name)):
+            plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+            return meet(rows, percent)
+        monkeypatch.setattr(set_join, name, watched)
+    monkeypatch.setattr(set_join, "MEMBERS", 4)
+    draw, docs = random.Random(8), []
+    shared = [f"s{k}" for k in range(12)]
+    for _ in range(30):  # of one list or more, but apart
+        docs.append(" ".join(shared + [f"w{draw.random()}" for _ in range(20)]))
+    base = [f"b{k}" for k in range(120)]
+    for k in range(20):
+        docs.append(" ".join([*base[:k], f"c{k}", *base[k + 1:]]))
+    rows = list(enumerate(docs))
+    assert found(set_join.linked_components(frame(spark, rows))) == brute(rows)
+    assert len(plans) >= 3 and any("Union" in plan for plan in plans)
+    assert [re.search("Join|Generate", plan)[0] for plan in plans] == ["Generate"] * len(plans)
+    assert all("SortMergeJoin [id#" in plan for plan in plans if "Union" not in plan)
+
+
 def test_empty_table(spark):
     assert found(set_join.linked_components(frame(spark, []))) == []
     assert found(set_join.linked_components(frame(spark, [(3, ""), (3, None)]))) == [(3, 0, 3), (3, 0, 3)]
